@@ -4,17 +4,73 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm.common import table
+from pyspark.sql import functions as F
+
+from tradelens.llm.common import crc_mod, table
+from tradelens.llm.decontaminate import contained_items
 from tradelens.llm.near_dedup import near_duplicates
+from tradelens.llm.packing import packed_sequences
+from tradelens.llm.quality import fit_quality, quality_scores
+from tradelens.llm.search import top_k
+from tradelens.llm.sharding import extendible_shards
+from tradelens.llm.token_files import token_files
+from tradelens.llm.toxicity import fit_toxicity, toxicity_scores
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '%s', '%s'), '[^\x20\x09-\x0D]+')" % (UPPER, LOWER)
 
 
+def labelled(spark: SparkSession, sf_dir: str, label: str, n: int = 0, held: int = 0) -> DataFrame:
+    """Texts with their label; with ``n``, only rows whose crc32(doc_id as text) mod n is not ``held``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
+    rows = docs.join(labels, "doc_id")
+    return rows.where(crc_mod(F.col("doc_id"), n) != held) if n else rows
+
+
+def _verdicts(scores: DataFrame, n: int, held: int) -> DataFrame:
+    out = scores.withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), n) == held, F.lit(False)))
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    net = fit_toxicity(labelled(spark, sf_dir, "toxic", 4, 2))
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), net)
+    return _verdicts(scores, 4, 2).select("doc_id", "held_out", "score", "predicted", "n_windows")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fit_quality(labelled(spark, sf_dir, "quality", 5, 0))
+    scores = quality_scores(table(spark, sf_dir, "documents"), model)
+    return _verdicts(scores, 5, 0).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound"]
+    return packed_sequences(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 10)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_shards(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 s AS (
@@ -30,5 +86,34 @@ k AS (SELECT a, min(z) AS component_id FROM r GROUP BY a)
 SELECT n.doc_id, n.n_shingles, k.component_id, n.doc_id = k.component_id AS kept FROM n JOIN k ON k.a = n.doc_id
 """
 
-QUERIES = {"op7_near_dedup": op7_near_dedup}
-ORACLES = {"op7_near_dedup": OP7_SQL}
+SHINGLES = """CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END"""
+
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws FROM documents), b AS (SELECT item_id, {WORDS} AS ws FROM benchmark),
+ds AS (SELECT doc_id, unnest({SHINGLES}) AS x FROM d), bl AS (SELECT item_id, {SHINGLES} AS sh FROM b),
+bs AS (SELECT item_id, CAST(len(sh) AS BIGINT) AS n_item, unnest(sh) AS x FROM bl)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+FROM ds JOIN bs USING (x) GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+"""
+
+OP8_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, e.vec_id AS neighbor_id,
+        CAST(len(list_filter(range(1, len(e.code) + 1), lambda i: e.code[i] <> q.code[i])) AS BIGINT) AS distance
+      FROM e, e q WHERE q.vec_id % 20 = 0 AND q.vec_id <> e.vec_id)
+SELECT query_id, neighbor_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank
+FROM p QUALIFY rank <= 10
+"""
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
+    "op5_decontamination": op5_decontamination,
+    "op6_packing": op6_packing,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_top_k": op8_top_k,
+    "op9_token_files": op9_token_files,
+    "op10_sharding": op10_sharding,
+}
+ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL}
