@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.common import crc_mod, table
 from tradelens.llm.decontaminate import contained_items
+from tradelens.llm.lm_score import lm_scores
 from tradelens.llm.near_dedup import near_duplicates
 from tradelens.llm.packing import packed_sequences
 from tradelens.llm.quality import fit_quality, quality_scores
@@ -45,6 +46,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(scores, 5, 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    scores = lm_scores(docs, docs.where(~held_out)).withColumn("held_out", held_out)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -109,6 +117,7 @@ FROM p QUALIFY rank <= 10
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op4_lm_score": op4_lm_score,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_near_dedup": op7_near_dedup,
