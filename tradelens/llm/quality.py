@@ -136,3 +136,20 @@ def quality_scores(docs: DataFrame, model: CompressionClassifier) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_score(held), "doc_id long, score double")
+
+
+def _accept(model, threshold: float):
+    def run(batches):
+        import pyarrow as pa
+
+        own = model.value
+        for batch in slices(batches, 1000):
+            yield batch.filter(pa.array([own.score(t) >= threshold for t in text_bytes(batch, "text")], pa.bool_()))
+
+    return run
+
+
+def quality_mask(docs: DataFrame, model: CompressionClassifier, threshold: float) -> DataFrame:
+    """The rows whose text scores at least ``threshold``, with all their columns; nothing is shuffled."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_accept(held, threshold), docs.schema)

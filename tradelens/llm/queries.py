@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.common import crc_mod, table
 from tradelens.llm.decontaminate import contained_items
+from tradelens.llm.html_extract import fit_extractor, main_text
 from tradelens.llm.lm_score import lm_scores
 from tradelens.llm.near_dedup import near_duplicates
 from tradelens.llm.packing import packed_sequences
@@ -46,6 +47,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(scores, 5, 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, fit_extractor(pages))
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
@@ -117,6 +123,7 @@ FROM p QUALIFY rank <= 10
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_html_text": op3_html_text,
     "op4_lm_score": op4_lm_score,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,

@@ -325,3 +325,22 @@ def toxicity_scores(docs: DataFrame, net: ToxicityNet) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(net)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_score(held), "doc_id long, score double, n_windows long, worst_word long")
+
+
+def _reject(held, threshold: float):
+    def run(batches):
+        import pyarrow as pa
+
+        scorer = Scorer(held.value)
+        for batch in slices(batches, 200):
+            if batch.num_rows:
+                top = [z.max() for z in scorer.logits(batch.column("text").to_pylist())]
+                yield batch.filter(pa.array(scorer.net.probability(top) < threshold))
+
+    return run
+
+
+def toxicity_mask(docs: DataFrame, net: ToxicityNet, threshold: float) -> DataFrame:
+    """The rows whose text scores below ``threshold``, with all their columns; nothing is shuffled."""
+    held = docs.sparkSession.sparkContext.broadcast(net)
+    return docs.mapInArrow(_reject(held, threshold), docs.schema)
