@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tradelens.plans import expressions, signal_queries  # noqa: F401
+from tradelens.plans.catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
