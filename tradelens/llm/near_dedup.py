@@ -11,14 +11,17 @@ from tradelens.llm.common import WordHashes, cut, shingle_sequence, slices, text
 from tradelens.llm.components import connected_components
 
 COORDINATES = 128
-TREES = 8
-#: Depths below a root branch; each takes two coordinates of its own per tree.
-DEPTHS = 2
-BRANCHES = 2
+TREES = 12
+#: Depths below a root branch; each takes a coordinate of its own per tree.
+DEPTHS = 4
 NODE_LIMIT = 64
 PIVOTS = 4
-#: How far a sketch may fall below the threshold before its pair is not verified (about five standard deviations).
-MARGIN = 0.15
+#: Members of an oversized node that all its members are compared with to find the most central ones.
+SAMPLE = 32
+#: Members of an oversized node that meet its members at once.
+STRAYS = 32
+#: How far a sketch may fall below the threshold before its pair is not verified (about four standard deviations).
+MARGIN = 0.12
 _BLOCK = 2048
 
 
@@ -141,10 +144,9 @@ def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 
 def _branch(rows: DataFrame, sketches: DataFrame, depth: int) -> DataFrame:
-    """Children of oversized nodes: each member goes to one child for each of the depth's coordinates."""
-    first = TREES + (depth * TREES + F.col("tree")) * BRANCHES
-    children = [F.xxhash64("node", F.lit(k), F.element_at("sketch", (first + k + 1).cast("int"))) for k in range(BRANCHES)]
-    return rows.join(sketches, "rid").select("tree", F.explode(F.array(*children)).alias("node"), "rid")
+    """Children of oversized nodes: members go on by the depth's coordinate of their tree."""
+    child = F.xxhash64("node", F.element_at("sketch", (TREES + depth * TREES + F.col("tree") + 1).cast("int")))
+    return rows.join(sketches, "rid").select("tree", child.alias("node"), "rid")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -155,11 +157,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     * Documents with equal sets share one representative, found by aggregation, so copies meet no pair stage.
     * ``TREES`` independent trees branch representatives by minwise tokens. Nodes of up to ``NODE_LIMIT``
-      members are compared exhaustively on 128 16-bit minima; larger ones branch on two more coordinates
-      for each of ``DEPTHS`` levels. A pair at the threshold misses one tree with a probability of about
-      1 - percent/100, all eight with less than 3e-6.
-    * What is still oversized is one mass of near copies: members are compared with a few pivots, then
-      members outside the node's main component with all its members, in blocks. Nothing is capped.
+      members are compared exhaustively on 128 16-bit minima; larger ones branch on a further coordinate
+      for each of ``DEPTHS`` levels. A pair at a threshold of 0.85 misses all twelve trees with less than 1e-9 at
+      the first level, 2e-5 at the third.
+    * What is still oversized is one mass of near copies: members are compared with its few most central
+      members, then those outside the node's main component with all its members, in blocks. Nothing is capped.
     * Every candidate is confirmed on the full sets before it becomes a link.
 
     Null or empty texts and texts of white space have no shingles and link with nothing: component_id is
@@ -194,13 +196,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     gathered = nodes.join(sketches, "rid").groupBy("node").agg(F.collect_list("rid").alias("rids"), F.collect_list("sketch").alias("sketches"))
     pairs = gathered.select("rids", "sketches").mapInArrow(_compare_nodes(least), "a long, b long").where("a <> b")
     if masses is not None:
-        w = W.partitionBy("node").orderBy(F.xxhash64("rid"))
-        pivots = masses.withColumn("k", F.row_number().over(w)).where(F.col("k") <= PIVOTS).select("node", F.col("rid").alias("p"))
-        pairs = pairs.union(_alike(masses.join(pivots, "node").where("rid <> p"), sketches, least))
+        pairs = pairs.union(_alike(masses.join(_pivots(masses, sketches), "node").where("rid <> p"), sketches, least))
     links = _links(pairs, docs, percent)
     parts = connected_components(links)
     if masses is not None:
-        more = _links(_strays(masses, parts, sketches, least), docs, percent)
+        more = _strays(masses, parts, docs, percent)
         if not more.isEmpty():
             parts = connected_components(links.union(more))
     out = base.select("doc_id", *key).join(first, key, "left")
@@ -216,37 +216,65 @@ def _alike(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_compare_sketches(least), "a long, b long")
 
 
-def _strays(masses: DataFrame, parts: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """In each oversized node, pairs of a member outside the main component with any member of another component."""
+def _pivots(masses: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The most central members (node, p) of each oversized node: those that agree best with a sample of it."""
+    spread = W.partitionBy("node").orderBy(F.xxhash64("rid"))
+    sample = masses.withColumn("k", F.row_number().over(spread)).where(F.col("k") <= SAMPLE).join(sketches, "rid").groupBy("node").agg(F.collect_list("sketch").alias("sample"))
+    central = masses.join(sketches, "rid").join(sample, "node").select("node", "rid", "sketch", "sample").mapInArrow(_agreement, "node long, rid long, agreement double")
+    best = W.partitionBy("node").orderBy(F.desc("agreement"), "rid")
+    return central.withColumn("k", F.row_number().over(best)).where(F.col("k") <= PIVOTS).select("node", F.col("rid").alias("p"))
+
+
+def _agreement(batches):
+    import pyarrow as pa
+
+    for batch in slices(batches, 500):
+        mine, sample = _matrix(batch.column("sketch")), batch.column("sample")
+        bounds, flat = sample.offsets.to_numpy(), sample.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+        means = [float((flat[bounds[k] : bounds[k + 1]] == mine[k]).mean()) for k in range(batch.num_rows)]
+        yield pa.record_batch([batch.column("node"), batch.column("rid"), pa.array(means, pa.float64())], names=["node", "rid", "agreement"])
+
+
+def _strays(masses: DataFrame, parts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """In each oversized node, links of a member outside the main component with members of other components.
+
+    Strays come in blocks, and every member of the node meets every block with both full sets at hand.
+    """
     labelled = cut(
         masses.join(parts.withColumnRenamed("node", "rid"), "rid", "left").select("node", "rid", F.coalesce("component", "rid").alias("part")),
         "labelled",
     )
     main = labelled.groupBy("node", "part").count().groupBy("node").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-    strays = labelled.join(main, "node").where("part <> main").select("node", F.col("rid").alias("p"), F.col("part").alias("own"))
-    packed = strays.join(sketches.withColumnRenamed("rid", "p"), "p").withColumn("block", F.pmod(F.xxhash64("p"), F.lit(1 << 20)))
-    w = W.partitionBy("node").orderBy("block", "p")
-    packed = packed.withColumn("block", F.floor(F.row_number().over(w) / NODE_LIMIT)).groupBy("node", "block").agg(F.collect_list(F.struct("p", "own", "sketch")).alias("strays"))
-    met = labelled.join(packed, "node").join(sketches, "rid").select("rid", "part", "sketch", "strays")
-    return met.mapInArrow(_compare_blocks(least), "a long, b long").distinct()
+    strays = cut(labelled.join(main, "node").where("part <> main").select("node", "rid", "part"), "strays")
+    open_nodes = labelled.join(strays.select("node").distinct(), "node", "left_semi")
+    ids = open_nodes.select(F.col("rid").alias("doc_id")).distinct()
+    sets = cut(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_token_sets, "rid long, tokens binary"), "sets")
+    w = W.partitionBy("node").orderBy("rid")
+    blocks = strays.withColumn("block", F.floor((F.row_number().over(w) - 1) / STRAYS)).join(sets, "rid").groupBy("node", "block").agg(F.collect_list(F.struct(F.col("rid").alias("p"), F.col("part").alias("own"), "tokens")).alias("strays"))
+    met = open_nodes.join(sets, "rid").join(blocks, "node").select("rid", "part", "tokens", "strays")
+    return cut(met.mapInArrow(_compare_blocks(percent), "a long, b long").distinct(), "more")
 
 
-def _compare_blocks(least: float):
+def _compare_blocks(percent: int):
     def run(batches):
         import pyarrow as pa
 
         for batch in slices(batches, 200):
             a, b = [], []
-            mine = _matrix(batch.column("sketch"))
-            rid, part = batch.column("rid").to_numpy(), batch.column("part").to_numpy()
             strays = batch.column("strays")
             bounds, flat = strays.offsets.to_numpy(), strays.values
-            p, own, m = flat.field("p").to_numpy(), flat.field("own").to_numpy(), _matrix(flat.field("sketch"))
-            for k in range(batch.num_rows):
-                s, e = bounds[k], bounds[k + 1]
-                hit = np.flatnonzero(((m[s:e] == mine[k]).mean(axis=1) >= least) & (own[s:e] != part[k]))
-                a.append(np.minimum(p[s:e][hit], rid[k])), b.append(np.maximum(p[s:e][hit], rid[k]))
-            if a:
-                yield pa.record_batch([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], names=["a", "b"])
+            p, own = flat.field("p").to_numpy(), flat.field("own").to_numpy()
+            others = [np.frombuffer(t, np.uint64) for t in flat.field("tokens").to_pylist()]
+            for k, (rid, part, tokens) in enumerate(zip(batch.column("rid").to_pylist(), batch.column("part").to_pylist(), batch.column("tokens").to_pylist(), strict=True)):
+                mine = np.frombuffer(tokens, np.uint64)
+                for i in range(bounds[k], bounds[k + 1]):
+                    n, m = len(others[i]), len(mine)
+                    if own[i] == part or 100 * min(n, m) < percent * max(n, m):
+                        continue
+                    merged = np.sort(np.concatenate([others[i], mine]), kind="stable")
+                    both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+                    if both and 100 * both >= percent * (n + m - both):
+                        a.append(min(rid, int(p[i]))), b.append(max(rid, int(p[i])))
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
