@@ -40,7 +40,7 @@ def price_returns(prices: DataFrame, days: int) -> DataFrame:
 
 def trailing_regime(dates: DataFrame, benchmark: DataFrame, days: int = 61) -> DataFrame:
     """Regime of each reference_date from the benchmark's first and last close in the window before it."""
-    met = dates.join(F.broadcast(benchmark) if False else benchmark, (benchmark.date >= F.date_sub("reference_date", days)) & (benchmark.date <= F.date_sub("reference_date", 1)), "left")
+    met = dates.join(benchmark, (benchmark.date >= F.date_sub("reference_date", days)) & (benchmark.date <= F.date_sub("reference_date", 1)), "left")
     agg = met.groupBy("reference_date").agg(F.count("date").alias("n"), F.min_by("close", "date").alias("a"), F.max_by("close", "date").alias("b"))
     change = F.when(F.col("n") >= 2, (F.col("b") - F.col("a")) / F.col("a"))
     return agg.select("reference_date", change.alias("change"), regime_of(change).alias("r")).select("reference_date", "change", "r.regime", "r.weight")
@@ -50,8 +50,8 @@ def directional_study(returns: DataFrame, groups: list[list[str]], up: Column) -
     """Accuracy and mean return per horizon and grouping: ``groups`` are sets of columns; columns outside a set are null."""
     known = returns.where("forward_return is not null").withColumn("hit", F.when(up, F.col("forward_return") > 0).otherwise(F.col("forward_return") < 0))
     names = sorted({c for g in groups for c in g})
-    sets = [[known[c] for c in ["forward_days", *g]] for g in groups]
-    agg = known.groupingSets(sets, *[known[c] for c in ["forward_days", *names]]).agg(F.count("*").alias("n"), F.avg(F.col("hit").cast("double")).alias("accuracy"), F.avg("forward_return").alias("mean_return"))
+    sets = [[F.col(c) for c in ["forward_days", *g]] for g in groups]
+    agg = known.groupingSets(sets, *[F.col(c) for c in ["forward_days", *names]]).agg(F.count("*").alias("n"), F.avg(F.col("hit").cast("double")).alias("accuracy"), F.avg("forward_return").alias("mean_return"))
     return agg
 
 
