@@ -27,13 +27,13 @@ SIMILARITY, CONTAINMENT = 80, 0.8
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier does not reject."""
-    model = fit_quality(labelled(spark, sf_dir, "quality"))
+    model = fit_quality(*labelled(spark, sf_dir, "quality"))
     return quality_mask(docs, model, THRESHOLD)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the recurrent network does not reject."""
-    net = fit_toxicity(labelled(spark, sf_dir, "toxic"))
+    net = fit_toxicity(*labelled(spark, sf_dir, "toxic"))
     return toxicity_mask(docs, net, THRESHOLD)
 
 

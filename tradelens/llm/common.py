@@ -100,3 +100,22 @@ def slices(batches: Iterable, rows: int = 2000):
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: dict[int, int]) -> tuple[dict[int, list[str]], dict[int, int]]:
+    """Texts of at most ``rows[label]`` labelled documents of each label, and how many rows each label has.
+
+    ``docs``: doc_id, text; ``labels``: doc_id, label. The sample is drawn from the label table by hash of the
+    id, so only the documents that are drawn are joined, by a broadcast of that bounded sample, and no text is shuffled.
+    Rows with a null id, label or text take no part.
+    """
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).where("doc_id is not null and label is not null")
+    counts = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
+    drawn = None
+    for label, n in rows.items():
+        own = labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        drawn = own if drawn is None else drawn.union(own)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    found = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "label", "text").collect()
+    found.sort(key=lambda r: (r.doc_id, r.text))
+    return {label: [r.text for r in found if r.label == label] for label in rows}, {label: counts.get(label, 0) for label in rows}

@@ -6,9 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import slices, text_bytes
+from tradelens.llm.common import labelled_sample, slices, text_bytes
 
-#: Labelled rows used for fitting, at most, of each label; the rows of least hash are taken.
+#: Labelled rows used for fitting, at most, of each label; those of least hash of the id are taken.
 FIT_ROWS = 3000
 #: Dictionaries are trained on samples of so many bytes, about eight from each text, spread over it.
 SAMPLE = 1024
@@ -77,8 +77,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def fit_quality(labelled: DataFrame, rows: int = FIT_ROWS) -> CompressionClassifier:
-    """Fit on labelled rows (text, label 0 or 1): at most ``rows`` of each label, those of least hash.
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> CompressionClassifier:
+    """Fit on documents (doc_id, text) with labels (doc_id, label 0 or 1): at most ``rows`` of each label, those of least hash.
 
     Half of the rows build the dictionaries, the other half the calibration, so that no text is compressed
     with a dictionary that has seen it; the calibration is weighted back to the labels' true shares. With one label missing or
@@ -86,14 +86,12 @@ def fit_quality(labelled: DataFrame, rows: int = FIT_ROWS) -> CompressionClassif
     """
     import zstandard as zstd
 
-    labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
-    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    texts, counts = labelled_sample(docs, labels, {0: rows, 1: rows})
+    share = (counts[1] + 1) / (sum(counts.values()) + 2)
     flat = CompressionClassifier(b"\0" * 8, b"\0" * 8, np.array([np.log(share / (1 - share)), *[0.0] * 6]))
-    taken = {}
-    for label in (0, 1):
-        own = labelled.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(rows)
-        taken[label] = [r.text.encode() for r in own.select("text").toLocalIterator()]
+    taken = {label: [t.encode() for t in own] for label, own in texts.items()}
+    if not taken[0] or not taken[1]:
+        return flat
     dictionaries = []
     for label in (1, 0):
         samples = [t[i : i + SAMPLE] for t in taken[label][::2] for i in range(0, len(t), max(SAMPLE, len(t) // 8))]

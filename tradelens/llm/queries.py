@@ -22,12 +22,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '%s', '%s'), '[^\x20\x09-\x0D]+')" % (UPPER, LOWER)
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str, n: int = 0, held: int = 0) -> DataFrame:
-    """Texts with their label; with ``n``, only rows whose crc32(doc_id as text) mod n is not ``held``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+def labelled(spark: SparkSession, sf_dir: str, label: str, n: int = 0, held: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Documents and the rows of one label; with ``n``, only rows whose crc32(doc_id as text) mod n is not ``held``."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
-    rows = docs.join(labels, "doc_id")
-    return rows.where(crc_mod(F.col("doc_id"), n) != held) if n else rows
+    return table(spark, sf_dir, "documents"), labels.where(crc_mod(F.col("doc_id"), n) != held) if n else labels
 
 
 def _verdicts(scores: DataFrame, n: int, held: int) -> DataFrame:
@@ -36,13 +34,13 @@ def _verdicts(scores: DataFrame, n: int, held: int) -> DataFrame:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    net = fit_toxicity(labelled(spark, sf_dir, "toxic", 4, 2))
+    net = fit_toxicity(*labelled(spark, sf_dir, "toxic", 4, 2))
     scores = toxicity_scores(table(spark, sf_dir, "documents"), net)
     return _verdicts(scores, 4, 2).select("doc_id", "held_out", "score", "predicted", "n_windows")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit_quality(labelled(spark, sf_dir, "quality", 5, 0))
+    model = fit_quality(*labelled(spark, sf_dir, "quality", 5, 0))
     scores = quality_scores(table(spark, sf_dir, "documents"), model)
     return _verdicts(scores, 5, 0).select("doc_id", "held_out", "score", "predicted")
 

@@ -8,9 +8,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import mix, slices
+from tradelens.llm.common import labelled_sample, mix, slices
 
-#: Labelled rows used for fitting, at most, with label 1 and with label 0; the rows of least hash are taken.
+#: Labelled rows used for fitting, at most, with label 1 and with label 0; those of least hash of the id are taken.
 FIT_TOXIC, FIT_CLEAN = 2500, 3500
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
@@ -234,6 +234,9 @@ def train_toxicity(toxic: list[str], clean: list[str], share: float, seed: int =
         counts[label] = [word_docs, *gram_docs]
     word_table, *gram_tables = (_log_odds(t, c, len(toxic), len(clean)) for t, c in zip(counts[1], counts[0], strict=True))
     net = ToxicityNet(word_table, gram_tables, seed)
+    if not toxic or not clean:
+        net.scale = np.array([1e-3, np.log(share / (1 - share))])
+        return net
     texts, labels = toxic + clean, np.array([1] * len(toxic) + [0] * len(clean))
     vocabulary: dict[str, int] = {}
     ids = [np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_in(t)), np.int32) for t in texts]
@@ -284,20 +287,15 @@ def train_toxicity(toxic: list[str], clean: list[str], share: float, seed: int =
     return net
 
 
-def fit_toxicity(labelled: DataFrame, n_toxic: int = FIT_TOXIC, n_clean: int = FIT_CLEAN) -> ToxicityNet:
-    """Train on at most ``n_toxic`` and ``n_clean`` labelled rows (text, label), those of least hash.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, n_toxic: int = FIT_TOXIC, n_clean: int = FIT_CLEAN) -> ToxicityNet:
+    """Train on documents (doc_id, text) with labels (doc_id, label): at most ``n_toxic`` and ``n_clean`` rows, those of least hash.
 
     Rows without a label or text are left out. With no toxic or no clean row the evidence tables are empty
     and the score is about their share.
     """
-    labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
-    taken = {
-        label: [r.text for r in labelled.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(n).select("text").toLocalIterator()]
-        for label, n in ((1, n_toxic), (0, n_clean))
-    }
-    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    return train_toxicity(taken[1], taken[0], share)
+    texts, counts = labelled_sample(docs, labels, {1: n_toxic, 0: n_clean})
+    share = (counts[1] + 1) / (sum(counts.values()) + 2)
+    return train_toxicity(texts[1], texts[0], share)
 
 
 def _score(held):
