@@ -114,11 +114,11 @@ def s17(spark, sf_dir):
     return forms.parse_committee_roster(files.select(F.concat(F.lit("f"), n.cast("string")).alias("file"), content.alias("content")))
 
 
-@query("s19_read_prices", f"{WITH} SELECT ticker, execution_date AS date, round(avg(price), 4) AS close FROM trades GROUP BY ALL")
+@query("s19_read_prices", f"{WITH} SELECT ticker, execution_date AS date, round(avg(price), 6) AS close FROM trades GROUP BY ALL")
 def s19(spark, sf_dir):
     from tradelens.plans.trades import prices
 
-    return prices(spark, sf_dir).withColumn("close", F.round("close", 4))
+    return prices(spark, sf_dir)
 
 
 @query("s20_read_vendor_trades", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(1001 AS DOUBLE) ELSE CAST(o_orderkey * 1000 AS DOUBLE) END AS low, CASE WHEN o_orderkey % 2 = 0 THEN CAST(15000 AS DOUBLE) ELSE CAST(o_orderkey * 1000 AS DOUBLE) END AS high FROM orders")
