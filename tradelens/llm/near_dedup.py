@@ -22,6 +22,8 @@ SAMPLE = 32
 STRAYS = 32
 #: How far a sketch may fall below the threshold before its pair is not verified (about four standard deviations).
 MARGIN = 0.12
+#: Ids of candidates that are broadcast at most (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 _BLOCK = 2048
 
 
@@ -133,11 +135,17 @@ def _verify(percent: int):
     return run
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Shingle sets (rid, tokens) of some documents. Up to ``BROADCAST_IDS`` ids travel to the texts; beyond that the texts are shuffled."""
+    ids = cut(ids.distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_merge")
+    return cut(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_token_sets, "rid long, tokens binary"), "sets")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of representatives that pass the exact test on their full shingle sets."""
     pairs = cut(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = cut(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_token_sets, "rid long, tokens binary"), "sets")
+    sets = _sets_of(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
     with_a = pairs.join(sets.select(F.col("rid").alias("a"), F.col("tokens").alias("tokens_a")), "a")
     with_b = with_a.join(sets.select(F.col("rid").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     return cut(with_b.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_verify(percent), "a long, b long"), "links")
@@ -247,8 +255,7 @@ def _strays(masses: DataFrame, parts: DataFrame, docs: DataFrame, percent: int)
     main = labelled.groupBy("node", "part").count().groupBy("node").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
     strays = cut(labelled.join(main, "node").where("part <> main").select("node", "rid", "part"), "strays")
     open_nodes = labelled.join(strays.select("node").distinct(), "node", "left_semi")
-    ids = open_nodes.select(F.col("rid").alias("doc_id")).distinct()
-    sets = cut(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_token_sets, "rid long, tokens binary"), "sets")
+    sets = _sets_of(docs, open_nodes.select(F.col("rid").alias("doc_id")))
     w = W.partitionBy("node").orderBy("rid")
     blocks = strays.withColumn("block", F.floor((F.row_number().over(w) - 1) / STRAYS)).join(sets, "rid").groupBy("node", "block").agg(F.collect_list(F.struct(F.col("rid").alias("p"), F.col("part").alias("own"), "tokens")).alias("strays"))
     met = open_nodes.join(sets, "rid").join(blocks, "node").select("rid", "part", "tokens", "strays")
