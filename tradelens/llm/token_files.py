@@ -41,7 +41,7 @@ class ShardWriter:
 
         self.fs, base = _filesystem(folder)
         self.fs.create_dir(base, recursive=True)
-        self.final = _paths(base, shard)
+        self.shard, self.final = shard, _paths(base, shard)
         self.open = [f"{p}.{np.random.default_rng().integers(1 << 62)}" for p in self.final]
         self.dtype, self.length = np.dtype(dtype), length
         item = pa.uint16() if self.dtype == np.uint16 else pa.uint32()
@@ -68,7 +68,7 @@ class ShardWriter:
         import pyarrow as pa
 
         data = np.concatenate(self.buffer) if self.buffer else np.empty(0, self.dtype)
-        full = len(data) // self.length * self.length
+        full = len(data) // (BATCH * self.length) * BATCH * self.length
         used = len(data) if last else full
         rows = -(-used // self.length)
         for i in range(0, rows, BATCH):
@@ -90,7 +90,8 @@ class ShardWriter:
             self.writers[1].write_batch(pa.record_batch([pa.array(c, pa.int64()) for c in zip(*self.rows, strict=True)], schema=self.index))
         self.rows = []
 
-    def close(self) -> None:
+    def close(self) -> tuple[int, int, int]:
+        """Give the files their names; returns the shard, its documents and its tokens."""
         self._flush(True)
         self._flush_index()
         for writer, stream in zip(self.writers, self.streams, strict=True):
@@ -98,6 +99,7 @@ class ShardWriter:
             stream.close()
         for temporary, final in zip(self.open, self.final, strict=True):
             self.fs.move(temporary, final)
+        return self.shard, self.documents, self.written
 
 
 class ShardReader:
@@ -142,22 +144,34 @@ class ShardReader:
             yield from zip(batch.column("doc_id").to_pylist(), batch.column("start").to_pylist(), batch.column("n_tokens").to_pylist(), strict=True)
 
 
-def _write(folder: str, path: str, length: int):
+def _encode(path: str):
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        writer = encoder = None
-        shard = TaskContext.get().partitionId()
+        encoder = Encoder(path)
         for batch in slices(batches, 500):
-            if batch.num_rows:
-                encoder = encoder or Encoder(path)
-                writer = writer or ShardWriter(folder, shard, encoder.dtype, length)
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
-                    writer.add(doc_id, ids)
+            ids = [x.tobytes() for x in encoder.encode(batch.column("text").to_pylist())]
+            yield pa.record_batch([*(batch.column(c) for c in ("shard", "doc_id", "tie")), pa.array(ids, pa.binary())], names=["shard", "doc_id", "tie", "ids"])
+
+    return run
+
+
+def _write(folder: str, dtype: str, length: int):
+    def run(batches):
+        import pyarrow as pa
+
+        writer, rows = None, []
+        for batch in slices(batches, 500):
+            for shard, doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "ids")), strict=True):
+                if writer is None or writer.shard != shard:
+                    if writer:
+                        rows.append(writer.close())
+                    writer = ShardWriter(folder, shard, dtype, length)
+                writer.add(doc_id, np.frombuffer(ids, dtype))
         if writer:
-            writer.close()
-            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([writer.documents], pa.int64()), pa.array([writer.written], pa.int64())], names=["shard", "n_documents", "n_tokens"])
+            rows.append(writer.close())
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["shard", "n_documents", "n_tokens"])
 
     return run
 
@@ -165,14 +179,22 @@ def _write(folder: str, path: str, length: int):
 def write_token_files(docs: DataFrame, folder: str, length: int = LENGTH, path: str | None = None) -> DataFrame:
     """Write all documents in ascending doc_id order below ``folder``; returns a row per shard: shard, n_documents, n_tokens.
 
-    Documents are divided by ranges of doc_id, and each range becomes a shard; shards in order give the
-    documents in order. Null ids come first; rows that repeat an id follow one another, by hash of the text. A
-    null or empty text has just the end id. Memory holds one batch of sequences, however long a text is.
+    Documents are divided by ranges of doc_id (quantiles of the ids), and each range becomes a shard; shards in
+    order give the documents in order. Texts are encoded where they are read, and only ids are shuffled. Null
+    ids come first; rows that repeat an id follow one another, by hash of the text. A null or empty text has
+    just the end id. A writer's memory holds one batch of sequences and one document.
     """
+    path = path or tokenizer_path()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return cut(ordered.mapInArrow(_write(folder, path or tokenizer_path(), length), SHARD), "shards")
+    bounds = sorted(set(docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts)))
+    above = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col("doc_id")))
+    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(above)
+    named = docs.select(shard.cast("int").alias("shard"), "doc_id", F.xxhash64("text").alias("tie"), "text")
+    encoded = named.mapInArrow(_encode(path), "shard int, doc_id long, tie long, ids binary")
+    ordered = encoded.repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "tie")
+    dtype = np.dtype(Encoder(path).dtype).name
+    return cut(ordered.mapInArrow(_write(folder, dtype, length), SHARD), "shards")
 
 
 def _read(folder: str):
