@@ -9,8 +9,22 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
-_SPACE = re.compile(r"[ \t\n\r]+")
+#: A comma or full stop between a letter and a blank is a token of its own, so the word before it can be looked up without it.
+_STOP = re.compile(r"(?<=[A-Za-z])[,.](?=[ \n])")
+#: Words of one generation of the table of known words.
 _CACHE = 400_000
+#: Stands between words that are encoded together.
+_BETWEEN = "\x07"
+#: Words of these letters are one run for the tokenizer's splitter, so its model can take them directly.
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+_PROBES = ("hello", "Éclair", "straße", "ÿèñ", "A", "thntionhe")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the n-th other byte for character 256 + n."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + n for n, b in enumerate(others)}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -19,32 +33,67 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _words(text: str) -> list[str]:
+    text = text.lower() if text.isascii() else text
+    text = _STOP.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    return text.split(" ")
+
+
 class Encoder:
     """Ids of whole texts as the tokenizer gives them without special tokens, then an end id.
 
-    The tokenizer drops white space before it forms tokens, so the text's ids are those of its words in
-    turn; words that came before are looked up. The table of known words is emptied when it is full.
+    The tokenizer drops white space and case before it forms tokens, so the text's ids are those of its words in
+    turn; words that came before are looked up. Known words are kept for two generations: words that come
+    again move to the younger one, the older one is dropped when the younger is full.
     """
 
     def __init__(self, path: str, end: int = END):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype = np.uint16 if self.small else np.uint32
+        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.end = np.array([end], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        mark = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.letters = _byte_letters()
+        # only a tokenizer that gives the same ids either way is asked directly
+        self.direct = all(self._ids(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES)
+
+    def _ids(self, word: str) -> list[int]:
+        """Ids of a word of ``_LETTERS``: lower case, bytes as letters, merges."""
+        return [t.id for t in self.tokenizer.model.tokenize(word.lower().encode().decode("latin-1").translate(self.letters))]
+
+    def _learn(self, words: list[str]) -> None:
+        if self.direct:
+            plain = list(filter(_LETTERS.fullmatch, words))
+            model, letters, dtype = self.tokenizer.model, self.letters, self.dtype
+            for word in plain:
+                ids = [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(letters))]
+                self.known[word] = np.array(ids, dtype).tobytes()
+            words = list(set(words).difference(plain))
+        alone = [w for w in words if self.mark is None or _BETWEEN in w or "<|" in w or not w]
+        joined = list(set(words).difference(alone)) if alone else words
+        for word in alone:
+            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+        for i in range(0, len(joined), 500):
+            part = joined[i : i + 500]
+            text = f" {_BETWEEN} ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            stops = np.flatnonzero(ids == self.mark).tolist()
+            raw, size = ids.tobytes(), self.dtype().itemsize
+            starts = [0, *[p + 1 for p in stops]]
+            self.known.update((w, raw[s * size : e * size]) for w, s, e in zip(part, starts, [*stops, len(ids)], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [_SPACE.split(t) if t else [] for t in texts]
-        new = list({w for ws in words for w in ws}.difference(self.known))
-        if len(self.known) + len(new) > _CACHE:
-            self.known.clear()
-            new = list({w for ws in words for w in ws})
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(code.ids, self.dtype).tobytes()
+        words = [_words(t) if t else [] for t in texts]
+        if len(self.known) > _CACHE:
+            self.older, self.known = self.known, {}
+        new = {w for ws in words for w in ws}.difference(self.known)
+        again = new.intersection(self.older) if self.older else ()
+        self.known.update((w, self.older[w]) for w in again)
+        self._learn(list(new.difference(again)))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)) + self.end, self.dtype) for ws in words]
 
