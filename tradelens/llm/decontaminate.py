@@ -10,7 +10,11 @@ from tradelens.llm.common import WordHashes, mix, shingle_sequence, slices, text
 
 HASHES = 64
 #: Smallest size class of items in shingles; each further class doubles it.
-LEAST_SPAN = 16
+LEAST_SPAN = 1
+#: Shingles of a text that are windowed at once.
+SEGMENT = 1 << 18
+#: Bits of the table that tells which keys no item has.
+FILTER_BITS = 22
 #: Items that are broadcast at once (their sets and minima take a few hundred bytes to a few KB each); larger benchmarks are searched in several passes.
 ITEMS_PER_PASS = 20_000
 
@@ -21,15 +25,21 @@ def _hash_family() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return draw() | np.uint32(1), draw(), mix(rng.integers(1, 2**63, HASHES, dtype=np.uint64))
 
 
-def _minima(tokens: np.ndarray, starts: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """For each run of tokens that begins at ``starts``, the minimum of every hash function."""
+def _minima(tokens: np.ndarray, span: int, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The minimum of every hash function over each block of ``span`` tokens."""
     x = (tokens >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(starts), HASHES), np.uint32)
-    ends = np.append(starts[1:], len(x))
-    for i in range(0, len(starts), 64):
-        lo, hi = starts[i], ends[min(i + 64, len(starts)) - 1]
-        out[i : i + 64] = np.minimum.reduceat(x[lo:hi, None] * mul + add, starts[i : i + 64] - lo, axis=0)
-    return out
+    x = np.pad(x, (0, -len(x) % span), mode="edge")
+    step = max(span, 2048 // span * span)
+    out, buffer = [], np.empty((min(step, len(x)), HASHES), np.uint32)
+    for i in range(0, len(x), step):
+        part = x[i : i + step, None]
+        values = np.multiply(part, mul, out=buffer[: len(part)])
+        values += add
+        values = values.reshape(-1, span, HASHES)
+        while values.shape[1] > 1 and values.shape[1] % 2 == 0:
+            values = np.minimum(values[:, ::2], values[:, 1::2])
+        out.append(values.min(axis=1))
+    return np.concatenate(out)
 
 
 class ContainmentIndex:
@@ -50,10 +60,12 @@ class ContainmentIndex:
             self.ids.append(item_id), self.sets.append(tokens)
         self.classes = {}
         for span, members in sorted(classes.items()):
-            low = np.vstack([_minima(self.sets[k], np.zeros(1, np.int64), mul, add) for k in members])
+            low = np.vstack([_minima(self.sets[k], len(self.sets[k]), mul, add) for k in members])
             keys = (low.astype(np.uint64) ^ salt).ravel()
             order = np.argsort(keys, kind="stable")
-            self.classes[span] = (keys[order], np.repeat(members, HASHES)[order])
+            present = np.zeros(1 << FILTER_BITS, bool)
+            present[keys & np.uint64((1 << FILTER_BITS) - 1)] = True
+            self.classes[span] = (keys[order], np.repeat(members, HASHES)[order], present)
 
     def candidates(self, sequence: np.ndarray, mul: np.ndarray, add: np.ndarray, salt: np.ndarray) -> set[int]:
         """Items that agree with some window of the text in some minimum.
@@ -63,14 +75,16 @@ class ContainmentIndex:
         """
         found: set[int] = set()
         blocks, size = None, LEAST_SPAN
-        for span, (keys, members) in self.classes.items():
+        for span, (keys, members, present) in self.classes.items():
             if blocks is None:
                 size = span
-                blocks = _minima(sequence, np.arange(0, len(sequence), span), mul, add)
+                blocks = _minima(sequence, span, mul, add)
             while size < span:
-                blocks, size = np.minimum.reduceat(blocks, np.arange(0, len(blocks), 2), axis=0), size * 2
+                pairs = blocks if len(blocks) % 2 == 0 else np.concatenate([blocks, blocks[-1:]])
+                blocks, size = np.minimum(pairs[0::2], pairs[1::2]), size * 2
             windows = np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
-            probe = np.unique(windows.astype(np.uint64) ^ salt)
+            probe = (windows.astype(np.uint64) ^ salt).ravel()
+            probe = np.unique(probe[present[probe & np.uint64((1 << FILTER_BITS) - 1)]])
             at = np.searchsorted(keys, probe)
             for lo, key in zip(at, probe, strict=True):
                 while lo < len(keys) and keys[lo] == key:
@@ -84,7 +98,9 @@ class ContainmentIndex:
         if not len(sequence) or not self.ids:
             return []
         out, own = [], None
-        for k in sorted(self.candidates(sequence, *family)):
+        overlap = 2 * max(self.classes)
+        found = set().union(*(self.candidates(sequence[i : i + SEGMENT + overlap], *family) for i in range(0, len(sequence), SEGMENT)))
+        for k in sorted(found):
             own = np.unique(sequence) if own is None else own
             at = np.minimum(np.searchsorted(own, self.sets[k]), len(own) - 1)
             shared = int(np.count_nonzero(own[at] == self.sets[k]))
