@@ -55,7 +55,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     total = np.concatenate([[0], np.cumsum(lengths)])
     best = -(-int(total[-1]) // capacity)
     small = np.unique(lengths[lengths <= capacity // 2])
-    for t in small[:: max(1, len(small) // 256)]:
+    for t in [*small[:: max(1, len(small) // 256)], capacity // 2]:
         large, least = np.searchsorted(lengths, capacity - t, "right"), np.searchsorted(lengths, t, "left")
         best = max(best, len(lengths) - large + -(-int(total[large] - total[least]) // capacity))
     for k in range(2, 21):
