@@ -13,6 +13,8 @@ HASHES = 64
 LEAST_SPAN = 1
 #: Shingles of a text that are windowed at once.
 SEGMENT = 1 << 18
+#: Shingles of texts that are laid out together, about.
+LAID_OUT = 1 << 16
 #: Bits of the table that tells which keys no item has.
 FILTER_BITS = 22
 #: Items that are broadcast at once (their sets and minima take a few hundred bytes to a few KB each); larger benchmarks are searched in several passes.
@@ -67,45 +69,71 @@ class ContainmentIndex:
             present[keys & np.uint64((1 << FILTER_BITS) - 1)] = True
             self.classes[span] = (keys[order], np.repeat(members, HASHES)[order], present)
 
-    def candidates(self, sequence: np.ndarray, mul: np.ndarray, add: np.ndarray, salt: np.ndarray) -> set[int]:
-        """Items that agree with some window of the text in some minimum.
+    def candidates(self, units: list[np.ndarray], mul: np.ndarray, add: np.ndarray, salt: np.ndarray) -> list[set[int]]:
+        """For each sequence of shingles, the items that agree with some window of it in some minimum.
 
         A window has two blocks of the class's span and moves by one block, so that a passage as long as an
-        item lies whole in one of them, whatever the length of the text.
+        item lies whole in one of them, whatever the length of the text. Sequences are laid out one after the
+        other, each filled up to whole blocks of the largest span.
         """
-        found: set[int] = set()
-        blocks, size = None, LEAST_SPAN
+        found: list[set[int]] = [set() for _ in units]
+        widest, size, blocks = max(self.classes), LEAST_SPAN, None
+        filled = [np.pad(u, (0, -len(u) % widest), mode="edge") for u in units]
+        ends = np.cumsum([len(u) for u in filled])
         for span, (keys, members, present) in self.classes.items():
             if blocks is None:
                 size = span
-                blocks = _minima(sequence, span, mul, add)
+                blocks = _minima(np.concatenate(filled), span, mul, add)
             while size < span:
-                pairs = blocks if len(blocks) % 2 == 0 else np.concatenate([blocks, blocks[-1:]])
-                blocks, size = np.minimum(pairs[0::2], pairs[1::2]), size * 2
-            windows = np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
-            probe = (windows.astype(np.uint64) ^ salt).ravel()
-            probe = np.unique(probe[present[probe & np.uint64((1 << FILTER_BITS) - 1)]])
-            at = np.searchsorted(keys, probe)
-            for lo, key in zip(at, probe, strict=True):
-                while lo < len(keys) and keys[lo] == key:
-                    found.add(int(members[lo]))
-                    lo += 1
+                blocks, size = np.minimum(blocks[0::2], blocks[1::2]), size * 2
+            windows = np.concatenate([np.minimum(blocks[:-1], blocks[1:]), blocks[-1:]]).astype(np.uint64)
+            windows ^= salt
+            hits = np.flatnonzero(present[(windows & np.uint64((1 << FILTER_BITS) - 1)).ravel().view(np.int64)])
+            values = windows.ravel()[hits]
+            lo, hi = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
+            true = hi > lo
+            owners = np.searchsorted(ends, hits[true] // HASHES * span, "right")
+            for unit, i, j in zip(owners.tolist(), lo[true].tolist(), hi[true].tolist(), strict=True):
+                found[unit].update(members[i:j].tolist())
         return found
 
-    def matches(self, text: bytes | None, hashes: WordHashes, family) -> list[tuple[int, int, int]]:
-        """(item_id, item's shingles, shared shingles) for each item contained in the text."""
-        sequence = shingle_sequence(words_of(text), hashes)
-        if not len(sequence) or not self.ids:
-            return []
-        out, own = [], None
+    def matches(self, texts: list[bytes | None], hashes: WordHashes, family) -> list[list[tuple[int, int, int]]]:
+        """For each text (item_id, item's shingles, shared shingles) of each item it contains."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        if not self.ids:
+            return out
         overlap = 2 * max(self.classes)
-        found = set().union(*(self.candidates(sequence[i : i + SEGMENT + overlap], *family) for i in range(0, len(sequence), SEGMENT)))
-        for k in sorted(found):
-            own = np.unique(sequence) if own is None else own
-            at = np.minimum(np.searchsorted(own, self.sets[k]), len(own) - 1)
-            shared = int(np.count_nonzero(own[at] == self.sets[k]))
-            if shared >= self.threshold * len(self.sets[k]) - 1e-9:
-                out.append((self.ids[k], len(self.sets[k]), shared))
+        units, owners, held = [], [], 0
+        sequences = {}
+
+        def settle() -> None:
+            wanted: dict[int, set[int]] = {}
+            for owner, items in zip(owners, self.candidates(units, *family), strict=True):
+                if items:
+                    wanted.setdefault(owner, set()).update(items)
+            for owner, items in wanted.items():
+                own = np.unique(sequences[owner])
+                for k in sorted(items):
+                    at = np.minimum(np.searchsorted(own, self.sets[k]), len(own) - 1)
+                    shared = int(np.count_nonzero(own[at] == self.sets[k]))
+                    if shared >= self.threshold * len(self.sets[k]) - 1e-9:
+                        out[owner].append((self.ids[k], len(self.sets[k]), shared))
+
+        for k, text in enumerate(texts):
+            sequence = shingle_sequence(words_of(text), hashes)
+            if not len(sequence):
+                continue
+            sequences[k] = sequence
+            for i in range(0, len(sequence), SEGMENT):
+                units.append(sequence[i : i + SEGMENT + overlap])
+                owners.append(k)
+            held += len(sequence)
+            if held >= LAID_OUT:
+                settle()
+                units, owners, held = [], [], 0
+                sequences = {}
+        if units:
+            settle()
         return out
 
 
@@ -115,7 +143,8 @@ def _search(index):
 
         hashes, family, own = WordHashes(), _hash_family(), index.value
         for batch in slices(batches, 1000):
-            rows = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), text_bytes(batch, "text"), strict=True) for m in own.matches(t, hashes, family)]
+            found = own.matches(text_bytes(batch, "text"), hashes, family)
+            rows = [(d, *m) for d, ms in zip(batch.column("doc_id").to_pylist(), found, strict=True) for m in ms]
             columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_item", "n_shared"])
 
