@@ -132,7 +132,7 @@ def vendor_pair_scores(ours: DataFrame, theirs: DataFrame, least: float = 0.5) -
 def match_vendor_trades(pairs: DataFrame, rounds: int = 20) -> DataFrame:
     """One-to-one matches from pair scores: in each round pairs that are best for both sides are taken (ties: smaller ids).
 
-    The reference goes through our rows in order instead; where best partners are mutual both agree. Rounds
+    A sequential matcher would go through our rows in order; where best partners are mutual both agree. Rounds
     end when no pair is left.
     """
     from tradelens.sinks import staged
