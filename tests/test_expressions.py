@@ -14,25 +14,30 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-DAY, REFERENCE = F.lit(dt.date(2026, 3, 1)), F.lit(dt.date(2026, 4, 2))
+def day():
+    return F.lit(dt.date(2026, 3, 1))
+
+
+def reference():
+    return F.lit(dt.date(2026, 4, 2))
 
 
 def test_insider_recency_and_size(spark):
-    assert one(spark, N.recency(DAY, REFERENCE)) == pytest.approx(0.6109134395363373)
+    assert one(spark, N.recency(day(), reference())) == pytest.approx(0.6109134395363373)
     assert one(spark, N.size_signal(F.lit(0.05))) == 0.8
     assert one(spark, N.size_signal(F.lit(None).cast("double"))) == 0.6
 
 
 def test_legislator_score(spark):
     none = F.lit(None).cast("date")
-    row = one(spark, N.legislator_txn_score(F.lit("purchase"), F.lit(15001), F.lit(50000), F.lit("self"), DAY, none, REFERENCE, F.lit(1.0), F.lit(1.0)))
+    row = one(spark, N.legislator_txn_score(F.lit("purchase"), F.lit(15001), F.lit(50000), F.lit("self"), day(), none, reference(), F.lit(1.0), F.lit(1.0)))
     assert (row.base, row.stale, row.raw, row.final) == pytest.approx((27387.040730973473, 0.6910106796357246, 18924.73762872125, 13247.316340104875))
 
 
 @pytest.mark.parametrize(("days", "weight"), [(30, 1.0), (45, 0.85), (90, 0.6), (180, 0.3), (None, 0.7)])
 def test_lag_weight(spark, days, weight):
-    disclosed = F.lit(None).cast("date") if days is None else F.date_add(DAY, days)
-    assert one(spark, N.disclosure_lag_weight(DAY, disclosed)) == weight
+    disclosed = F.lit(None).cast("date") if days is None else F.date_add(day(), days)
+    assert one(spark, N.disclosure_lag_weight(day(), disclosed)) == weight
 
 
 @pytest.mark.parametrize(("a", "b", "m", "tier"), [(0.8, 0.75, 0.5, "strong"), (0.5, 0.5, 0.1, "moderate"), (0.3, 0.8, 0.5, "weak"), (0.8, 0.8, 0.2, "moderate")])
@@ -41,8 +46,8 @@ def test_strength_tier(spark, a, b, m, tier):
 
 
 def test_rank(spark):
-    assert one(spark, N.insider_rank(F.lit("ceo"), F.lit(False), F.lit("D"), F.lit(0.02), F.date_sub(REFERENCE, 4), REFERENCE)["rank"]) == 8
-    assert one(spark, N.insider_rank(F.lit("officer_other"), F.lit(True), F.lit("I"), F.lit(None).cast("double"), F.lit(None).cast("date"), REFERENCE)["rank"]) == 1
+    assert one(spark, N.insider_rank(F.lit("ceo"), F.lit(False), F.lit("D"), F.lit(0.02), F.date_sub(reference(), 4), reference())["rank"]) == 8
+    assert one(spark, N.insider_rank(F.lit("officer_other"), F.lit(True), F.lit("I"), F.lit(None).cast("double"), F.lit(None).cast("date"), reference())["rank"]) == 1
 
 
 @pytest.mark.parametrize(("change", "weight"), [(-0.05, 1.1), (0.1, 0.95), (0.0, 1.0), (None, 1.0)])
@@ -71,7 +76,7 @@ def test_nulls_do_not_fail(spark):
 def test_lone_insider_is_not_capped_and_others_are(spark):
     rows = [("entity:a", i, dt.date(2026, 3, 20), True, 1.0, s) for i, s in ((1, 1.0), (1, 1.0))] + [("entity:b", i, dt.date(2026, 3, 20), True, 1.0, s) for i, s in ((1, 9.0), (2, 1.0))]
     df = spark.createDataFrame(rows, "subject_key string, actor_id long, execution_date date, included boolean, direction_weight double, signal double")
-    out = {r.subject_key: r for r in signals.insider_company_signal(df, REFERENCE).where("window_days = 30").collect()}
+    out = {r.subject_key: r for r in signals.insider_company_signal(df, reference()).where("window_days = 30").collect()}
     assert out["entity:a"].score == pytest.approx(0.964, abs=1e-3)
     assert out["entity:b"].unique_buyers == 2 and out["entity:b"].buy_count == 2
 

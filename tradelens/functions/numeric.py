@@ -19,7 +19,8 @@ def size_signal(pct: Column) -> Column:
 
 
 def days_before(date: Column, reference: Column) -> Column:
-    return F.greatest(F.lit(0), F.datediff(reference, date))
+    """Days from the date to the reference, at least 0; null without a date."""
+    return F.when(date.isNotNull(), F.greatest(F.lit(0), F.datediff(reference, date)))
 
 
 def recency(date: Column, reference: Column, cfg: Config = V2) -> Column:

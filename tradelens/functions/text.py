@@ -165,7 +165,7 @@ def committee_sectors(codes: Column) -> Column:
 
 
 def filing_format(doc_id: Column) -> Column:
-    return F.when(F.startswith(doc_id, F.lit("822")), "paper").otherwise("electronic")
+    return F.when(F.startswith(doc_id, F.lit("822")), "paper").when(doc_id.isNotNull(), "electronic")
 
 
 def asset_name_plausible(name: Column) -> Column:
