@@ -87,6 +87,29 @@ def test_large_mass_of_near_copies_is_one_component(spark, monkeypatch):
     assert got == brute_components(rows, 85)
 
 
+def test_near_duplicates_at_the_threshold_meet_on_the_deepest_level(spark, monkeypatch):
+    from tradelens.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "NODE_LIMIT", 1)
+    rows, rng = [], random.Random(21)
+    for k in range(800):
+        # 90 shingles each, 80 of them shared
+        words = [f"w{rng.randrange(10**9)}" for _ in range(94)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:84] + [f"v{rng.randrange(10**9)}" for _ in range(10)]))]
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, rows), 80).collect()}
+    assert [i for i in got if got[i] != i - i % 2] == []
+
+
+def test_sketches_of_pairs_at_the_threshold_pass_the_filter():
+    from tradelens.llm import near_dedup
+
+    for percent in (60, 80, 85, 95):
+        trees, depths, coordinates, least = near_dedup.plan(percent)
+        j = percent / 100
+        assert (1 - j ** (depths + 1)) ** trees <= 1e-5 and trees * (depths + 1) <= coordinates
+        assert j - least >= 5 * (j * (1 - j) / coordinates) ** 0.5 - 1e-9
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = sorted(near_duplicates(docs_of(spark, ODD)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
     assert [(r.doc_id, r.component_id, r.kept) for r in got] == [(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True), (6, 6, True), (7, 7, True), (None, None, False)]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -10,63 +13,103 @@ from pyspark.sql import functions as F
 from tradelens.llm.common import WordHashes, cut, shingle_sequence, slices, text_bytes, words_of
 from tradelens.llm.components import connected_components
 
+#: Minima of a sketch at least.
 COORDINATES = 128
-TREES = 12
-#: Depths below a root branch; each takes a coordinate of its own per tree.
+#: Most depths below a root branch; each takes a coordinate of its own per tree.
 DEPTHS = 4
+#: Trees that deeper branching may ask for; where a threshold needs more, oversized nodes count as masses earlier.
+MOST_TREES = 32
+#: Share of pairs at the threshold that no tree brings together on its deepest level, at most.
+MISSED = 1e-5
+#: Standard deviations, at least, that a sketch may fall below the threshold before its pair is not verified.
+DEVIATIONS = 5
 NODE_LIMIT = 64
 PIVOTS = 4
 #: Members of an oversized node that all its members are compared with to find the most central ones.
 SAMPLE = 32
 #: Members of an oversized node that meet its members at once.
 STRAYS = 32
-#: How far a sketch may fall below the threshold before its pair is not verified (about four standard deviations).
-MARGIN = 0.12
 #: Ids of candidates that are broadcast at most (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _BLOCK = 2048
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
+class Plan(NamedTuple):
+    """Trees, depths below their roots, coordinates of a sketch, and the share of them that a pair must agree on."""
+
+    trees: int
+    depths: int
+    coordinates: int
+    least: float
+
+
+def plan(percent: int) -> Plan:
+    """Enough trees that a pair at the threshold misses all of them on the deepest level with ``MISSED`` at most.
+
+    A pair survives a tree down to depth d with J^(d + 1), since every level takes one more coordinate. The
+    filter on sketches loses no more of the pairs at the threshold than that either.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be above 0 and at most 100, not {percent}")
+    j = percent / 100
+
+    def needed(depths: int) -> int:
+        stays = j ** (depths + 1)
+        return 1 if stays == 1 else math.ceil(math.log(MISSED) / math.log1p(-stays))
+
+    depths = max((d for d in range(DEPTHS + 1) if needed(d) <= MOST_TREES), default=0)
+    trees = needed(depths)
+    coordinates = max(COORDINATES, trees * (depths + 1))
+    agreed, below = -1, 0.0
+    while below <= MISSED and agreed < coordinates:
+        agreed += 1
+        below += math.comb(coordinates, agreed) * j**agreed * (1 - j) ** (coordinates - agreed)
+    return Plan(trees, depths, coordinates, min(agreed / coordinates, j - DEVIATIONS * math.sqrt(j * (1 - j) / coordinates)))
+
+
+def _permutations(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(7)
-    return rng.integers(0, 2**32, COORDINATES, dtype=np.uint32) | np.uint32(1), rng.integers(0, 2**32, COORDINATES, dtype=np.uint32)
+    return rng.integers(0, 2**32, coordinates, dtype=np.uint32) | np.uint32(1), rng.integers(0, 2**32, coordinates, dtype=np.uint32)
 
 
-def sketch(tokens: np.ndarray, mul: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The minwise tokens of the first ``TREES`` coordinates and 16 bits of each coordinate's minimum."""
+def sketch(tokens: np.ndarray, trees: int, mul: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The minwise tokens of the first ``trees`` coordinates and 16 bits of each coordinate's minimum."""
     x = (tokens >> np.uint64(32)).astype(np.uint32)
-    low = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    chosen = np.zeros(TREES, np.uint64)
+    low = np.full(len(mul), 0xFFFFFFFF, np.uint32)
+    chosen = np.zeros(trees, np.uint64)
     for i in range(0, len(x), _BLOCK):
         values = x[i : i + _BLOCK, None] * mul + add
         least = values.min(axis=0)
-        better = np.flatnonzero(least[:TREES] < low[:TREES])
+        better = np.flatnonzero(least[:trees] < low[:trees])
         if len(better):
             chosen[better] = tokens[i + values[:, better].argmin(axis=0)]
         low = np.minimum(low, least)
     return chosen, ((low * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16).view(np.int16)
 
 
-def _signatures(batches):
-    import pyarrow as pa
+def _signatures(trees: int, coordinates: int):
+    def run(batches):
+        import pyarrow as pa
 
-    hashes, (mul, add) = WordHashes(), _permutations()
-    for batch in slices(batches, 1000):
-        n, s1, s2, roots, sketches = [], [], [], [], []
-        for text in text_bytes(batch, "text"):
-            tokens = np.unique(shingle_sequence(words_of(text), hashes))
-            n.append(len(tokens))
-            if not len(tokens):
-                s1.append(0), s2.append(0), roots.append(None), sketches.append(None)
-                continue
-            s1.append(int(tokens.sum(dtype=np.uint64).view(np.int64)))
-            s2.append(int(np.bitwise_xor.reduce(tokens * np.uint64(0xD6E8FEB86659FD93) ^ (tokens >> np.uint64(31))).view(np.int64)))
-            chosen, bits = sketch(tokens, mul, add)
-            roots.append(chosen.view(np.int64)), sketches.append(bits)
-        yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int16()))],
-            names=["doc_id", "n_shingles", "s1", "s2", "roots", "sketch"],
-        )
+        hashes, (mul, add) = WordHashes(), _permutations(coordinates)
+        for batch in slices(batches, 1000):
+            n, s1, s2, roots, sketches = [], [], [], [], []
+            for text in text_bytes(batch, "text"):
+                tokens = np.unique(shingle_sequence(words_of(text), hashes))
+                n.append(len(tokens))
+                if not len(tokens):
+                    s1.append(0), s2.append(0), roots.append(None), sketches.append(None)
+                    continue
+                s1.append(int(tokens.sum(dtype=np.uint64).view(np.int64)))
+                s2.append(int(np.bitwise_xor.reduce(tokens * np.uint64(0xD6E8FEB86659FD93) ^ (tokens >> np.uint64(31))).view(np.int64)))
+                chosen, bits = sketch(tokens, trees, mul, add)
+                roots.append(chosen.view(np.int64)), sketches.append(bits)
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int16()))],
+                names=["doc_id", "n_shingles", "s1", "s2", "roots", "sketch"],
+            )
+
+    return run
 
 
 def _token_sets(batches):
@@ -79,8 +122,8 @@ def _token_sets(batches):
 
 
 def _matrix(column) -> np.ndarray:
-    """A list column whose lists have ``COORDINATES`` values, as a matrix."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+    """A list column whose lists have one length, as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _compare_nodes(least: float):
@@ -93,8 +136,7 @@ def _compare_nodes(least: float):
             a, b = [], []
             ids, sketches = batch.column("rids"), batch.column("sketches")
             bounds = ids.offsets.to_numpy()
-            rid, m = ids.values.to_numpy(), sketches.values.flatten().to_numpy(zero_copy_only=False)
-            m = m.reshape(-1, COORDINATES)
+            rid, m = ids.values.to_numpy(), _matrix(sketches.values)
             for s, e in zip(bounds[:-1], bounds[1:], strict=True):
                 group, own = m[s:e], rid[s:e]
                 agree = (group[:, None, :] == group[None, :, :]).mean(axis=2, dtype=np.float32)
@@ -151,9 +193,9 @@ def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return cut(with_b.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
-def _branch(rows: DataFrame, sketches: DataFrame, depth: int) -> DataFrame:
+def _branch(rows: DataFrame, sketches: DataFrame, depth: int, trees: int) -> DataFrame:
     """Children of oversized nodes: members go on by the depth's coordinate of their tree."""
-    child = F.xxhash64("node", F.element_at("sketch", (TREES + depth * TREES + F.col("tree") + 1).cast("int")))
+    child = F.xxhash64("node", F.element_at("sketch", ((depth + 1) * trees + F.col("tree") + 1).cast("int")))
     return rows.join(sketches, "rid").select("tree", child.alias("node"), "rid")
 
 
@@ -164,10 +206,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id).
 
     * Documents with equal sets share one representative, found by aggregation, so copies meet no pair stage.
-    * ``TREES`` independent trees branch representatives by minwise tokens. Nodes of up to ``NODE_LIMIT``
-      members are compared exhaustively on 128 16-bit minima; larger ones branch on a further coordinate
-      for each of ``DEPTHS`` levels. A pair at a threshold of 0.85 misses all twelve trees with less than 1e-9 at
-      the first level, 2e-5 at the third.
+    * Independent trees branch representatives by minwise tokens. Nodes of up to ``NODE_LIMIT`` members are
+      compared exhaustively on their 16-bit minima; larger ones branch on a further coordinate for each of up to
+      ``DEPTHS`` levels. ``plan`` derives the number of trees from the threshold: on the deepest level, the worst,
+      a pair at 0.85 misses all 20 trees with 8.1e-6, a pair at 0.80 all 29 with 1.0e-5 (by calculation). The sketch
+      filter before the exact test loses another 2.8e-6 and 1.2e-6 of such pairs, and pairs above the threshold less.
     * What is still oversized is one mass of near copies: members are compared with its few most central
       members, then those outside the node's main component with all its members, in blocks. Nothing is capped.
     * Every candidate is confirmed on the full sets before it becomes a link.
@@ -176,26 +219,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     their own id. A null doc_id gets a null component_id and kept = false. Rows that repeat a doc_id are
     one node; any of their texts may link it. An empty table gives an empty result.
     """
+    trees, depths, coordinates, least = plan(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = cut(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, s1 long, s2 long, roots array<long>, sketch array<short>"), "signatures")
+    base = cut(docs.mapInArrow(_signatures(trees, coordinates), "doc_id long, n_shingles long, s1 long, s2 long, roots array<long>, sketch array<short>"), "signatures")
     key = ["n_shingles", "s1", "s2"]
     named = base.where("n_shingles > 0 and doc_id is not null")
     first = cut(named.groupBy(*key).agg(F.min("doc_id").alias("rid")), "representatives")
     reps = cut(named.join(first, [*key], "inner").where("doc_id = rid").select("rid", "roots", "sketch").dropDuplicates(["rid", "roots"]), "sketches")
     sketches = reps.select("rid", "sketch")
-    least = percent / 100 - MARGIN
 
     rows = reps.select(F.posexplode("roots").alias("tree", "token"), "rid").select("tree", F.xxhash64("tree", "token").alias("node"), "rid")
     small, masses = [], None
-    for depth in range(DEPTHS + 1):
+    for depth in range(depths + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
         rows = cut(rows.join(sizes, "node"), f"depth{depth}")
         small.append(rows.where(F.col("members") <= NODE_LIMIT).select("node", "rid"))
         rows = rows.where(F.col("members") > NODE_LIMIT).select("tree", "node", "rid")
         if rows.isEmpty():
             break
-        if depth < DEPTHS:
-            rows = _branch(rows, sketches, depth)
+        if depth < depths:
+            rows = _branch(rows, sketches, depth, trees)
         else:
             masses = cut(rows.select("node", "rid").distinct(), "masses")
     nodes = small[0]
@@ -238,7 +281,7 @@ def _agreement(batches):
 
     for batch in slices(batches, 500):
         mine, sample = _matrix(batch.column("sketch")), batch.column("sample")
-        bounds, flat = sample.offsets.to_numpy(), sample.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+        bounds, flat = sample.offsets.to_numpy(), _matrix(sample.values)
         means = [float((flat[bounds[k] : bounds[k + 1]] == mine[k]).mean()) for k in range(batch.num_rows)]
         yield pa.record_batch([batch.column("node"), batch.column("rid"), pa.array(means, pa.float64())], names=["node", "rid", "agreement"])
 
