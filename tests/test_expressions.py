@@ -92,3 +92,12 @@ def test_matches_are_one_to_one(spark):
     pairs = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.9), ("b", "x", 0.8), ("b", "y", 0.6)], "a_id string, b_id string, score double")
     got = {(r.a_id, r.b_id) for r in resolve.match_vendor_trades(pairs).collect()}
     assert got == {("a", "x"), ("b", "y")}
+
+
+def test_all_ties_are_matched(spark):
+    block = [(f"a{i:02}", f"b{j:02}", 0.8) for i in range(50) for j in range(50)]
+    ladder = [(f"c{i:02}", f"d{j:02}", 0.8) for i in range(30) for j in range(i + 1)]
+    got = resolve.match_vendor_trades(spark.createDataFrame(block + ladder, "a_id string, b_id string, score double")).collect()
+    assert sum(r.a_id < "b" for r in got) == 50 and len({r.a_id for r in got}) == len({r.b_id for r in got}) == len(got)
+    free = [(a, b) for a, b, _ in block + ladder if a not in {r.a_id for r in got} and b not in {r.b_id for r in got}]
+    assert free == []

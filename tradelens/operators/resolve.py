@@ -129,24 +129,33 @@ def vendor_pair_scores(ours: DataFrame, theirs: DataFrame, least: float = 0.5) -
     return by_ticker.unionByName(by_week).select("a_id", "b_id", F.round(score, 4).alias("score")).where(F.col("score") >= least)
 
 
-def match_vendor_trades(pairs: DataFrame, rounds: int = 20) -> DataFrame:
-    """One-to-one matches from pair scores: in each round pairs that are best for both sides are taken (ties: smaller ids).
+def match_vendor_trades(pairs: DataFrame) -> DataFrame:
+    """One-to-one matches from pair scores (a_id, b_id, score): higher scores go first; no pair of two unmatched trades is left.
 
-    A sequential matcher would go through our rows in order; where best partners are mutual both agree. Rounds
-    end when no pair is left.
+    A sequential matcher would go through our rows in order; where best partners are mutual both agree. In each
+    round every trade keeps its pairs of best score. Both sides are ranked among the trades that meet one set of
+    partners there, so equal ranks match a block of ties at once; of the other pairs those of least hash for both
+    sides are taken, which a round always has. Rounds end when no pair is left.
     """
     from tradelens.sinks import staged
 
-    taken = None
-    for _ in range(rounds):
-        order = [F.desc("score"), "a_id", "b_id"]
-        best = pairs.withColumn("i", F.row_number().over(W.partitionBy("a_id").orderBy(*order))).withColumn("j", F.row_number().over(W.partitionBy("b_id").orderBy(*order)))
-        new = staged(best.where("i = 1 and j = 1").select("a_id", "b_id", "score"), "matches")
-        if new.isEmpty():
-            break
+    taken, pairs = None, staged(pairs.select("a_id", "b_id", "score").distinct(), "pairs")
+    while not pairs.isEmpty():
+        top = lambda side: F.max("score").over(W.partitionBy(side))
+        tied = pairs.withColumns({"x": top("a_id"), "y": top("b_id")}).where("score = x and score = y").select("a_id", "b_id", "score")
+        # trades of one block have the same set of partners, known by its size and two sums of hashes
+        sets = [F.count("*"), F.sum(F.xxhash64("other").cast("decimal(38,0)")), F.sum(F.xxhash64("other", F.lit(1)).cast("decimal(38,0)"))]
+        of = lambda one, other: tied.withColumnRenamed(other, "other").groupBy(one).agg(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(sets)]).alias(f"{one}_set"))
+        blocks = staged(tied.join(of("a_id", "b_id"), "a_id").join(of("b_id", "a_id"), "b_id"), "tied")
+        own = W.partitionBy("a_id_set", "b_id_set")
+        rank = lambda one: blocks.select(one, "a_id_set", "b_id_set").distinct().withColumn("i", F.row_number().over(own.orderBy(one)))
+        equal = rank("a_id").join(rank("b_id"), ["a_id_set", "b_id_set", "i"])
+        first = lambda side: F.row_number().over(W.partitionBy(side).orderBy(F.col("i").isNull(), F.xxhash64("a_id", "b_id"), "a_id", "b_id"))
+        ordered = blocks.join(equal.select("a_id", "b_id", "i"), ["a_id", "b_id"], "left")
+        new = staged(ordered.withColumns({"k": first("a_id"), "l": first("b_id")}).where("k = 1 and l = 1").select("a_id", "b_id", "score"), "matches")
         taken = new if taken is None else taken.union(new)
         pairs = staged(pairs.join(new.select("a_id"), "a_id", "left_anti").join(new.select("b_id"), "b_id", "left_anti"), "pairs")
-    return taken if taken is not None else pairs.limit(0)
+    return taken if taken is not None else pairs
 
 
 def reconcile_counts(ours: DataFrame, theirs: DataFrame, key: str, absolute: int = 5, relative: float = 0.2) -> DataFrame:
