@@ -41,3 +41,22 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_other_queries_run(spark, name):
     assert registry.QUERIES[name](spark, FOLDER).count() >= 0
+
+
+@pytest.mark.parametrize("name, parser", [("s5_read_house_index_xml", "parse_house_index"), ("s14_read_company_tickers", "parse_company_tickers"), ("s17_read_committee_yaml", "parse_committee_roster")])
+def test_generated_files_stay_bounded(spark, tmp_path, monkeypatch, name, parser):
+    from tradelens.plans import source_queries
+
+    table = "customer" if name[1:3] in ("14", "17") else "orders"
+    key, other = ("c_custkey", "c_nationkey") if table == "customer" else ("o_orderkey", "o_custkey")
+    rows = spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(1).drop(key, other).crossJoin(spark.range(40_000).selectExpr(f"id as {key}", f"cast(0 as int) as {other}"))
+    rows.write.parquet(str(tmp_path / f"{table}.parquet"))
+    parse, longest = getattr(source_queries.forms, parser), []
+
+    def spy(files):
+        longest.append(files.selectExpr("max(length(content))").first()[0])
+        return parse(files)
+
+    monkeypatch.setattr(source_queries.forms, parser, spy)
+    registry.QUERIES[name](spark, str(tmp_path))
+    assert longest[0] < 250_000

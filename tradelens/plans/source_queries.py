@@ -21,6 +21,15 @@ def tag(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
 
 
+#: Keys of the rows that share a generated file: files grow in number with the table, not in size.
+FILE_KEYS = 1000
+
+
+def file_of(key: Column) -> Column:
+    """Number of the generated file a row goes to."""
+    return F.floor(key / FILE_KEYS)
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -73,7 +82,7 @@ def s4(spark, sf_dir):
 def s5(spark, sf_dir):
     k = F.col("o_orderkey")
     member = tag("Member", F.concat(tag("First", F.lit("Ann")), tag("Last", F.lit("Lee")), tag("Suffix", F.when(k % 2 == 0, "Jr").otherwise("")), tag("FilingType", F.when(k % 4 == 0, "C").otherwise("P")), tag("FilingDate", F.date_format("o_orderdate", "M/d/yyyy")), tag("DocID", k.cast("string"))))
-    files = table(spark, sf_dir, "orders").groupBy((k % 20).alias("year")).agg(F.array_join(F.collect_list(member), "").alias("m"))
+    files = table(spark, sf_dir, "orders").groupBy(file_of(k).alias("file")).agg(F.array_join(F.collect_list(member), "").alias("m"))
     return forms.parse_house_index(files.select(tag("FinancialDisclosure", F.col("m")).alias("content")))
 
 
@@ -91,7 +100,7 @@ def s8(spark, sf_dir):
 def s14(spark, sf_dir):
     k = F.col("c_custkey")
     entry = F.struct(k.alias("cik_str"), F.when(k % 9 == 0, " ").otherwise(F.concat(F.lit(" n"), F.col("c_nationkey").cast("string"))).alias("ticker"), F.col("c_name").alias("title"))
-    c = table(spark, sf_dir, "customer").groupBy((F.col("c_nationkey") % 5).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(k.cast("string"), entry)))).alias("content"))
+    c = table(spark, sf_dir, "customer").groupBy(file_of(k).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(k.cast("string"), entry)))).alias("content"))
     return forms.parse_company_tickers(c)
 
 
@@ -108,10 +117,13 @@ def s15(spark, sf_dir):
 def s17(spark, sf_dir):
     k = F.col("c_custkey").cast("string")
     member = F.concat(F.lit("- name: Member "), k, F.lit("\n  party: majority\n  rank: "), (F.col("c_custkey") % 9).cast("string"), F.when(F.col("c_custkey") % 4 == 0, "\n  title: Chair").otherwise(""), F.lit("\n  bioguide: B"), k)
-    files = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_join(F.collect_list(member), "\n").alias("m"))
+    files = table(spark, sf_dir, "customer").groupBy("c_nationkey", file_of(F.col("c_custkey")).alias("part")).agg(F.array_join(F.collect_list(member), "\n").alias("m"))
     n = F.col("c_nationkey")
     content = F.concat(F.lit("C"), (n % 3).cast("string"), F.lit(":\n"), "m", F.lit("\n"))
-    return forms.parse_committee_roster(files.select(F.concat(F.lit("f"), n.cast("string")).alias("file"), content.alias("content")))
+    # the reader goes through each file by its name, which carries the part until the rows are read
+    name = F.concat(F.lit("f"), n.cast("string"), F.lit("/"), F.col("part").cast("string"))
+    members = forms.parse_committee_roster(files.select(name.alias("file"), content.alias("content")))
+    return members.withColumn("file", F.substring_index("file", "/", 1))
 
 
 @query("s19_read_prices", f"{WITH} SELECT ticker, execution_date AS date, round(avg(price), 6) AS close FROM trades GROUP BY ALL")
