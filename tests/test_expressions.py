@@ -101,3 +101,15 @@ def test_all_ties_are_matched(spark):
     assert sum(r.a_id < "b" for r in got) == 50 and len({r.a_id for r in got}) == len({r.b_id for r in got}) == len(got)
     free = [(a, b) for a, b, _ in block + ladder if a not in {r.a_id for r in got} and b not in {r.b_id for r in got}]
     assert free == []
+
+
+def test_pair_scores_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    side = lambda p: [(f"{p}{i}", rng.choice("ABC"), rng.choice(["Purchase", "Sale"]), dt.date(1995, 1, 1) + dt.timedelta(rng.randrange(60)), float(rng.choice([100, 105, 120, 500]))) for i in range(60)]
+    a, b = side("a"), side("b")
+    kind = "id string, ticker string, action string, date date, amount double"
+    got = {(r.a_id, r.b_id): r.score for r in resolve.vendor_pair_scores(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind)).collect()}
+    score = lambda x, y: round(0.5 * (x[1] == y[1]) + 0.2 * (x[2] == y[2]) + 0.2 * (abs((x[3] - y[3]).days) <= 7) + 0.1 * (abs(x[4] - y[4]) <= 0.1 * max(x[4], y[4])), 4)
+    assert got == {(x[0], y[0]): score(x, y) for x in a for y in b if score(x, y) >= 0.5}

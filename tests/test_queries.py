@@ -60,3 +60,11 @@ def test_generated_files_stay_bounded(spark, tmp_path, monkeypatch, name, parser
     monkeypatch.setattr(source_queries.forms, parser, spy)
     registry.QUERIES[name](spark, str(tmp_path))
     assert longest[0] < 250_000
+
+
+def test_vendor_report_and_diagnostics_cover_all_trades(spark, duck):
+    from tradelens.plans.trades import trades
+
+    congress = trades(spark, FOLDER).where("source = 'congress'")
+    assert registry.QUERIES["a28_vendor_match_report"](spark, FOLDER).first().ours == congress.count()
+    assert registry.QUERIES["j19b_member_diagnostics_all"](spark, FOLDER).count() == congress.select("actor_id").distinct().count()

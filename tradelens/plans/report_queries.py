@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.config import V1
 from tradelens.operators import normalize, overlay, reports, resolve, signals
-from tradelens.plans.catalog import query
+from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, LEGISLATOR_SQL, insider_results, insiders, legislator_scores, legislators, positioning_sql
 from tradelens.plans.study_queries import _issuers, _vendor
@@ -107,6 +107,12 @@ def j19(spark, sf_dir):
     return d.withColumns({c: F.round(c, 1) for c in ("buy_volume", "sell_volume")}).select("actor_id", "n", "first_date", "last_date", "buy_volume", "sell_volume", "top_tickers")
 
 
+@query("j19b_member_diagnostics_all", ORACLES["j19_member_diagnostics"].replace(" WHERE actor_id % 25 = 0", ""))
+def j19b(spark, sf_dir):
+    d = reports.member_diagnostics(legislators(spark, sf_dir), F.lit(True))
+    return d.withColumns({c: F.round(c, 1) for c in ("buy_volume", "sell_volume")}).select("actor_id", "n", "first_date", "last_date", "buy_volume", "sell_volume", "top_tickers")
+
+
 @query("s21_import_insider_store", "SELECT 'insider-txn:' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS source_record_id, o_orderdate AS filed, c_name AS company FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 2 = 0 WHERE l_orderkey % 2 = 0")
 def s21(spark, sf_dir):
     t, f = table(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0"), table(spark, sf_dir, "orders")
