@@ -170,6 +170,25 @@ def test_packing_is_whole_and_certified(spark):
     assert packing.packed_sequences(docs_of(spark, [])).count() == 0
 
 
+def test_certified_partitions_never_exchange(spark, monkeypatch):
+    monkeypatch.setattr(packing, "DEAL", 500)
+    easy = [2000 + i % 100 for i in range(2000)]
+    out = packing.pack(spark.createDataFrame([(i, 0, 0, n, 1) for i, n in enumerate(easy)], packing.PIECES)).toPandas()
+    assert set(out["round"]) == {1} and (out.bins == out.bound).all()
+    rng = random.Random(31)
+    hard = [rng.randrange(1, 4096) for _ in range(2000)]
+    out = packing.pack(spark.createDataFrame([(i, 0, 0, n, 1) for i, n in enumerate(hard)], packing.PIECES))
+    by_round = out.toPandas().groupby("round")
+    assert len(out.toPandas()) == 2000 and len(by_round) > 1
+    for turn, g in by_round:
+        assert turn == max(by_round.groups) or (g.bins == g.bound).all()
+    total = packing.certificate(out).first()
+    assert total.bound <= total.bins <= 1.02 * total.bound
+    same = packing.pack(spark.createDataFrame([(1, 0, 0, 900, 7)] * 3000, packing.PIECES)).toPandas()
+    assert len(same) == 3000 and same.groupby("sequence_id").size().max() == 4 and same.groupby(same.sequence_id // (1 << 20)).size().max() < 1000
+    assert packing.pack(spark.createDataFrame([], packing.PIECES)).count() == 0
+
+
 def test_lower_bounds():
     assert packing.lower_bound(np.array([60, 60, 60]), 100) == 3
     assert packing.lower_bound(np.array([51, 51, 49, 49]), 100) == 2
@@ -203,10 +222,20 @@ def test_token_files_round_trip(spark, tmp_path):
     assert got == want
     reader = token_files.ShardReader(folder, shards.orderBy("shard").first().shard)
     ids, mask = reader.sequence(0)
-    assert ids.shape == (64,) and mask.all() and not ids.flags.owndata
+    assert ids.shape == (64,) and mask.all() and not ids.flags.owndata and not mask.flags.owndata
     assert token_files.token_files(docs_of(spark, ODD)).count() == len(ODD) and token_files.token_files(docs_of(spark, [])).count() == 0
 
 
+def test_token_files_spread_masses(spark, tmp_path):
+    """A mass of rows with one id, of equal rows and of rows without id takes several shards, in the order of ids."""
+    rows = [(7, f"text {i}") for i in range(400)] + [(9, "equal rows")] * 400 + [(None, "no id")] * 400 + [(i, "z") for i in range(100, 200)]
+    shards = token_files.write_token_files(docs_of(spark, rows), f"file://{tmp_path}/tokens", length=64)
+    got = token_files.read_token_files(shards, f"file://{tmp_path}/tokens").orderBy("start").collect()
+    ids = [r.doc_id for r in got]
+    assert ids == [None] * 400 + [7] * 400 + [9] * 400 + list(range(100, 200))
+    assert shards.count() == 4 and shards.toPandas().n_documents.max() < 700
+
+
 def test_shards_keep_their_limit(spark):
     rows = [(i, "x" * (i % 50)) for i in range(500)] + [(7, "y" * 30)] * 40 + [(None, None), (900, "z" * 500)]
     out = sharding.extendible_shards(docs_of(spark, rows), 200).toPandas()

@@ -1,24 +1,28 @@
 """Token ids in Arrow files of fixed-size-list batches, with zero-copy access to equal-length sequences and masks.
 
 A shard has two files. ``sequences``: batches of rows (ids: fixed-size list of unsigned integers, mask:
-fixed-size list of booleans), one row per sequence of ``length`` ids; documents follow one another, and only
-the shard's last sequence is padded (mask false). ``documents``: doc_id, start (ids of the shard before it)
+fixed-size list of bytes 0 and 1), one row per sequence of ``length`` ids; documents follow one another, and only
+the shard's last sequence is padded (mask 0). ``documents``: doc_id, start (ids of the shard before it)
 and n_tokens. Ids take 16 bits when the vocabulary allows it, else 32.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradelens.llm.common import cut, scratch, slices
-from tradelens.llm.tokens import Encoder, crc32_of, tokenizer_path
+from tradelens.llm.tokens import crc32_of, encoder, tokenizer_path
 
 LENGTH = 2048
 #: Sequences of one record batch.
 BATCH = 256
+#: Rows per shard that are sampled to place the limits between shards.
+SAMPLED = 60
 SHARD = "shard int, n_documents long, n_tokens long"
 
 
@@ -45,7 +49,7 @@ class ShardWriter:
         self.open = [f"{p}.{np.random.default_rng().integers(1 << 62)}" for p in self.final]
         self.dtype, self.length = np.dtype(dtype), length
         item = pa.uint16() if self.dtype == np.uint16 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.uint8(), length))])
         self.index = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.streams = [self.fs.open_output_stream(p) for p in self.open]
         self.writers = [pa.ipc.new_file(s, schema) for s, schema in zip(self.streams, (self.schema, self.index), strict=True)]
@@ -74,8 +78,8 @@ class ShardWriter:
         for i in range(0, rows, BATCH):
             part = data[i * self.length : min(used, (i + BATCH) * self.length)]
             n = -(-len(part) // self.length)
-            mask = np.zeros(n * self.length, bool)
-            mask[: len(part)] = True
+            mask = np.zeros(n * self.length, np.uint8)
+            mask[: len(part)] = 1
             padded = np.zeros(n * self.length, self.dtype)
             padded[: len(part)] = part
             columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)]
@@ -103,7 +107,7 @@ class ShardWriter:
 
 
 class ShardReader:
-    """Random access to a shard's sequences and documents; local files are memory-mapped and ids are not copied."""
+    """Random access to a shard's sequences and documents; local files are memory-mapped, and neither ids nor masks are copied."""
 
     def __init__(self, folder: str, shard: int):
         import pyarrow as pa
@@ -115,17 +119,16 @@ class ShardReader:
         self.length = self.files[0].schema.field("ids").type.list_size
         self._batch: dict[int, tuple] = {}
 
-    def _of(self, k: int) -> tuple[np.ndarray, int]:
+    def _of(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         if k not in self._batch:
             batch = self.files[0].get_batch(k)
-            self._batch = {k: (batch.column("ids").flatten().to_numpy().reshape(-1, self.length), batch.column("mask"))}
+            self._batch = {k: tuple(batch.column(c).flatten().to_numpy().reshape(-1, self.length) for c in ("ids", "mask"))}
         return self._batch[k]
 
     def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one sequence."""
+        """Ids and mask of one sequence, both views of the file."""
         ids, mask = self._of(row // BATCH)
-        own = mask[row % BATCH]
-        return ids[row % BATCH], np.array(own.as_py(), bool)
+        return ids[row % BATCH], mask[row % BATCH].view(bool)
 
     def document(self, start: int, n: int) -> np.ndarray:
         """Ids of one document; it may span sequences and batches."""
@@ -144,14 +147,37 @@ class ShardReader:
             yield from zip(batch.column("doc_id").to_pylist(), batch.column("start").to_pylist(), batch.column("n_tokens").to_pylist(), strict=True)
 
 
-def _encode(path: str):
+def _limits(docs: DataFrame, shards: int) -> list[tuple]:
+    """Limits between the shards, as (has an id, id, hash of the text, share): about as many bytes of text lie between any two.
+
+    They come from a sample of about ``SAMPLED`` rows a shard, whose size does not depend on the table. The
+    share is a random number that parts rows with the same id and text.
+    """
+    rows = docs.count()
+    share = min(1.0, SAMPLED * shards / max(1, rows))
+    size = (F.octet_length("text") + 16).alias("size")
+    drawn = docs.select(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tie", F.rand(5).alias("share"), size)
+    drawn = sorted(tuple(r) for r in (drawn.sample(share, 3) if share < 1 else drawn).collect())
+    passed = np.cumsum([r[4] for r in drawn])
+    at = np.searchsorted(passed, np.arange(1, shards) * (passed[-1] / shards)) if len(drawn) else []
+    return sorted({drawn[k][:4] for k in at})
+
+
+def _encode(path: str, limits: list[tuple]):
+    """Ids of each text with its shard; equal rows are dealt to shards by their place in the task, which repeats with it."""
+
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(path)
+        own, place = encoder(path), 0
         for batch in slices(batches, 500):
-            ids = [x.tobytes() for x in encoder.encode(batch.column("text").to_pylist())]
-            yield pa.record_batch([*(batch.column(c) for c in ("shard", "doc_id", "tie")), pa.array(ids, pa.binary())], names=["shard", "doc_id", "tie", "ids"])
+            ids, ties = batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist()
+            keys = [(i is not None, i or 0, t, (k * 0x9E3779B97F4A7C15) % (1 << 64) / (1 << 64)) for k, (i, t) in enumerate(zip(ids, ties, strict=True), place)]
+            place += batch.num_rows
+            shard = [bisect_right(limits, key) for key in keys]
+            tokens = [x.tobytes() for x in own.encode(batch.column("text").to_pylist())]
+            columns = [pa.array(shard, pa.int32()), batch.column("doc_id"), batch.column("tie"), pa.array(tokens, pa.binary())]
+            yield pa.record_batch(columns, names=["shard", "doc_id", "tie", "ids"])
 
     return run
 
@@ -179,21 +205,19 @@ def _write(folder: str, dtype: str, length: int):
 def write_token_files(docs: DataFrame, folder: str, length: int = LENGTH, path: str | None = None) -> DataFrame:
     """Write all documents in ascending doc_id order below ``folder``; returns a row per shard: shard, n_documents, n_tokens.
 
-    Documents are divided by ranges of doc_id (quantiles of the ids), and each range becomes a shard; shards in
+    Documents are divided by ranges of (doc_id, hash of the text), whose limits come from a sample of the table so that
+    shards hold about as much text; each range becomes a shard, written by a task of its own, and shards in
     order give the documents in order. Texts are encoded where they are read, and only ids are shuffled. Null
-    ids come first; rows that repeat an id follow one another, by hash of the text. A null or empty text has
-    just the end id. A writer's memory holds one batch of sequences and one document.
+    ids come first; rows that repeat an id follow one another, by hash of the text, and may take several shards. A
+    null or empty text has just the end id. A writer's memory holds one batch of sequences and one document.
     """
     path = path or tokenizer_path()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts)))
-    above = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col("doc_id")))
-    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(above)
-    named = docs.select(shard.cast("int").alias("shard"), "doc_id", F.xxhash64("text").alias("tie"), "text")
-    encoded = named.mapInArrow(_encode(path), "shard int, doc_id long, tie long, ids binary")
-    ordered = encoded.repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "tie")
-    dtype = np.dtype(Encoder(path).dtype).name
+    encoded = docs.mapInArrow(_encode(path, _limits(docs, parts)), "shard int, doc_id long, tie long, ids binary")
+    ordered = encoded.repartitionById(parts, "shard").sortWithinPartitions("shard", "doc_id", "tie")
+    dtype = np.dtype(encoder(path).dtype).name
     return cut(ordered.mapInArrow(_write(folder, dtype, length), SHARD), "shards")
 
 
@@ -223,7 +247,7 @@ def read_token_files(shards: DataFrame, folder: str) -> DataFrame:
     """
     before = F.coalesce(F.sum("n_tokens").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    based = shards.withColumn("base", before).select("shard", "base").repartition(parts, "shard")
+    based = shards.withColumn("base", before).select("shard", "base").repartitionById(parts, "shard")
     return based.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -1,23 +1,29 @@
-"""Token ids of a public tokenizer, encoded word by word."""
+"""Token ids of a public tokenizer, encoded piece by piece."""
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from functools import cache
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
-#: A comma or full stop between a letter and a blank is a token of its own, so the word before it can be looked up without it.
-_STOP = re.compile(r"(?<=[A-Za-z])[,.](?=[ \n])")
-#: Words of one generation of the table of known words.
+#: Pieces of one generation of the table of known pieces.
 _CACHE = 400_000
-#: Stands between words that are encoded together.
-_BETWEEN = "\x07"
-#: Words of these letters are one run for the tokenizer's splitter, so its model can take them directly.
-_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
-_PROBES = ("hello", "Éclair", "straße", "ÿèñ", "A", "thntionhe")
+#: Texts of one batch that the tokenizer takes whole.
+_BATCH = 64
+#: The tokenizer's splitter on lower-case text of Latin-1 characters: runs of letters, contractions, single digits, runs of the rest.
+_PIECES = re.compile("[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+#: What the piecewise path leaves to the tokenizer: characters beyond Latin-1, and what may be a special token.
+_OTHER = re.compile("[^\x00-\xff]|<\\|")
+_PROBES = (
+    "Hello, world! It's 42 o'clock... ÉCLAIR straße ÿèñ",
+    "they'll've DON'T 'sup x''s a1b2 $$$%%% #tag, a_b-c d\x0be\x1cf\x85g ªµº ²³¼ · « » \x00\x7f",
+    "thntionhe password=d42260c9a6 info@example.org 4758-5284 |a|b| <a href='#'>x</a>",
+)
 
 
 def _byte_letters() -> dict[int, int]:
@@ -33,69 +39,75 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _words(text: str) -> list[str]:
-    text = text.lower() if text.isascii() else text
-    text = _STOP.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
-    return text.split(" ")
+class _Known(dict):
+    """Ids of each piece as bytes. Pieces are kept for two generations: the older one is dropped when the younger is full."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn, self.older = learn, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.learn(piece)
+        if len(self) >= _CACHE:
+            self.older = self.copy()
+            self.clear()
+        self[piece] = ids
+        return ids
 
 
 class Encoder:
     """Ids of whole texts as the tokenizer gives them without special tokens, then an end id.
 
-    The tokenizer drops white space and case before it forms tokens, so the text's ids are those of its words in
-    turn; words that came before are looked up. Known words are kept for two generations: words that come
-    again move to the younger one, the older one is dropped when the younger is full.
+    The tokenizer drops case and white space and splits a text into pieces before it forms tokens, so the text's
+    ids are those of its pieces in turn, and pieces that came before are looked up. Words with characters beyond
+    Latin-1 or with marks of special tokens are encoded by the tokenizer as they stand, each as a piece. A tokenizer that
+    does not work this way (its ids of some probes differ) encodes whole texts instead.
     """
 
     def __init__(self, path: str, end: int = END):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.end = np.array([end], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        mark = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.dtype, self.code = (np.uint32, "I") if wide else (np.uint16, "H")
+        self.end = array(self.code, [end]).tobytes()
         self.letters = _byte_letters()
-        # only a tokenizer that gives the same ids either way is asked directly
-        self.direct = all(self._ids(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES)
-
-    def _ids(self, word: str) -> list[int]:
-        """Ids of a word of ``_LETTERS``: lower case, bytes as letters, merges."""
-        return [t.id for t in self.tokenizer.model.tokenize(word.lower().encode().decode("latin-1").translate(self.letters))]
-
-    def _learn(self, words: list[str]) -> None:
-        if self.direct:
-            plain = list(filter(_LETTERS.fullmatch, words))
-            model, letters, dtype = self.tokenizer.model, self.letters, self.dtype
-            for word in plain:
-                ids = [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(letters))]
-                self.known[word] = np.array(ids, dtype).tobytes()
-            words = list(set(words).difference(plain))
-        alone = [w for w in words if self.mark is None or _BETWEEN in w or "<|" in w or not w]
-        joined = list(set(words).difference(alone)) if alone else words
-        for word in alone:
-            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-        for i in range(0, len(joined), 500):
-            part = joined[i : i + 500]
-            text = f" {_BETWEEN} ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            stops = np.flatnonzero(ids == self.mark).tolist()
-            raw, size = ids.tobytes(), self.dtype().itemsize
-            starts = [0, *[p + 1 for p in stops]]
-            self.known.update((w, raw[s * size : e * size]) for w, s, e in zip(part, starts, [*stops, len(ids)], strict=True))
+        self.known, self.whole = _Known(self._piece), _Known(self._word)
+        self.direct = all(self._ids(p) == self._word(p) for p in _PROBES)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece: its bytes as letters, merged."""
+        if not (piece.isascii() and piece.isalnum()):
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        if not _OTHER.search(text):
+            return b"".join(map(self.known.__getitem__, _PIECES.findall(text.lower())))
+        if "<|" in text:
+            return self._word(text)
+        parts = (self.whole[w] if _OTHER.search(w) else self._ids(w) for w in text.split(" "))
+        return b"".join(parts)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [_words(t) if t else [] for t in texts]
-        if len(self.known) > _CACHE:
-            self.older, self.known = self.known, {}
-        new = {w for ws in words for w in ws}.difference(self.known)
-        again = new.intersection(self.older) if self.older else ()
-        self.known.update((w, self.older[w]) for w in again)
-        self._learn(list(new.difference(again)))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)) + self.end, self.dtype) for ws in words]
+        if self.direct:
+            return [np.frombuffer(self._ids(t or "") + self.end, self.dtype) for t in texts]
+        out = []
+        for i in range(0, len(texts), _BATCH):
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts[i : i + _BATCH]], add_special_tokens=False)
+            out += [np.frombuffer(array(self.code, e.ids).tobytes() + self.end, self.dtype) for e in found]
+        return out
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this process; a worker's later tasks find the pieces that earlier ones met."""
+    return Encoder(path)
 
 
 def crc32_of(ids: np.ndarray) -> int:
