@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.llm.common import cut, slices
-from tradelens.llm.tokens import Encoder, crc32_of, tokenizer_path
+from tradelens.llm.tokens import crc32_of, encoder, tokenizer_path
 
 CAPACITY = 4096
-#: Pieces dealt to one partition of a round.
-DEAL = 8192
-MAX_ROUNDS = 12
+#: Pieces dealt to one partition, about.
+DEAL = 32_768
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -22,10 +21,10 @@ def _cut_pieces(path: str, capacity: int):
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in slices(batches, 500):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text").to_pylist()), strict=True):
                 rows += [(doc_id, k, s, min(capacity, len(ids) - s), crc32_of(ids[s : s + capacity])) for k, s in enumerate(range(0, len(ids), capacity))]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -43,26 +42,27 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
     return docs.mapInArrow(_cut_pieces(path or tokenizer_path(), capacity), PIECES)
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that any packing of the lengths needs, by dual feasible functions.
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """Bins that any packing of the lengths needs, by dual feasible functions; ``counts``: how often each length occurs.
 
     With lengths as shares x of the capacity: the identity; the step function that counts x over 1 - t as
     1 and under t as 0, for t up to 1/2; and the rounding functions floor((k+1)x)/k.
     """
     if not len(lengths):
         return 0
-    lengths = np.sort(np.asarray(lengths, np.int64))
-    total = np.concatenate([[0], np.cumsum(lengths)])
+    lengths, at = np.unique(np.asarray(lengths, np.int64), return_inverse=True)
+    counts = np.bincount(at, weights=counts).astype(np.int64)
+    held = np.concatenate([[0], np.cumsum(counts)])
+    total = np.concatenate([[0], np.cumsum(counts * lengths)])
     best = -(-int(total[-1]) // capacity)
-    small = np.unique(lengths[lengths <= capacity // 2])
-    for t in [*small[:: max(1, len(small) // 256)], capacity // 2]:
+    for t in [*lengths[lengths <= capacity // 2], capacity // 2]:
         large, least = np.searchsorted(lengths, capacity - t, "right"), np.searchsorted(lengths, t, "left")
-        best = max(best, len(lengths) - large + -(-int(total[large] - total[least]) // capacity))
+        best = max(best, int(held[-1] - held[large]) + -(-int(total[large] - total[least]) // capacity))
     for k in range(2, 21):
         scaled = (k + 1) * lengths
         # whole multiples keep their share, others round down to a step of 1/k; both counted in units of 1/(k * capacity)
         units = np.where(scaled % capacity == 0, lengths * k, scaled // capacity * capacity)
-        best = max(best, -(-int(units.sum()) // (k * capacity)))
+        best = max(best, -(-int((units * counts).sum()) // (k * capacity)))
     return best
 
 
@@ -92,75 +92,77 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def _pack_group(capacity: int, slack: int):
+def _pack_part(capacity: int):
     def run(pdf):
-        import pandas as pd
-
+        pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32", "uid"], kind="stable").reset_index(drop=True)
         lengths = pdf["length"].to_numpy()
-        bins, offsets = best_fit_decreasing(lengths, capacity)
-        opened, bound = int(bins.max()) + 1, lower_bound(lengths, capacity)
-        fill = np.bincount(bins, weights=lengths, minlength=opened)
-        # a bin stays if it is full up to the slack; the rest is the partition's gap and is exchanged
-        loose = fill < capacity - slack
-        part = int(pdf["part"].iloc[0])
-        out = pdf[["doc_id", "piece", "start", "length", "ids_crc32", "part"]].copy()
-        out["bin"], out["offset"], out["open"] = bins, offsets, loose[bins]
-        out["bins"], out["bound"] = opened, bound
-        return out if len(out) else pd.DataFrame(columns=out.columns).assign(part=part)
+        pdf["bin"], pdf["offset"] = best_fit_decreasing(lengths, capacity)
+        pdf["bins"], pdf["bound"] = int(pdf["bin"].max()) + 1, lower_bound(lengths, capacity)
+        return pdf
 
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = 16) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Place pieces (columns ``PIECES``) of at most ``capacity`` into as few sequences as it can.
 
     Adds sequence_id and offset, and the round, bins and certified lower bound of the partition that placed
-    the piece. Pieces are dealt by hash to partitions of about ``DEAL``; each runs best-fit decreasing and
-    gets a lower bound from dual feasible functions. Sequences that are full up to ``slack`` tokens are
-    settled; the pieces of the others are exchanged among fewer partitions and packed again, until one
-    partition has taken them all or a round settles nothing. Pieces of the full capacity are settled at once.
-    Ties in length are broken by ids, so a result does not depend on task order. An empty table gives an
-    empty result; null ids and repeated rows are packed like others.
+    the piece. Pieces are dealt by hash, equal rows by their place in the table, to partitions of about ``DEAL``; each
+    runs best-fit decreasing and gets a lower bound from dual feasible functions. A partition that needs no more
+    sequences than its bound is certified and settled. Only partitions with a gap exchange documents: theirs are dealt
+    anew among as many partitions and packed again, as long as that lowers their number of sequences; when
+    it does not, the packing before is kept, and bins - bound tells the gap that is left. Pieces of the full
+    capacity are sequences of their own. Ties in length are broken by ids, so a result does not depend on task
+    order. An empty table gives an empty result; null ids and repeated rows are packed like others.
     """
-    spark = pieces.sparkSession
+    names = [c.split()[0] for c in PIECES.split(", ")]
+    one = F.lit(1).cast("long")
     full = pieces.where(F.col("length") >= capacity)
-    whole = full.select(*[c.split()[0] for c in PIECES.split(", ")], F.lit(0).alias("round"), F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound"))
-    placed, rest = [whole], pieces.where(F.col("length") < capacity)
+    whole = full.select(
+        *names, F.lit(0).alias("round"), (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), one.alias("bins"), one.alias("bound")
+    )
+    rest = pieces.where(F.col("length") < capacity).withColumn("uid", F.monotonically_increasing_id())
+    columns = PIECES + ", uid long, part long, bin long, offset long, bins long, bound long"
+
+    def packed(pieces: DataFrame, parts: int, turn: int) -> DataFrame:
+        part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "uid", F.lit(turn)), F.lit(parts))
+        dealt = pieces.select(*names, "uid", part.alias("part"))
+        return cut(dealt.groupBy("part").applyInPandas(_pack_part(capacity), columns), f"packed{turn}")
+
+    def placed(packed: DataFrame, turn: int) -> DataFrame:
+        own = (F.lit(turn) * F.lit(1 << 48) + F.col("part") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id")
+        return packed.select(*names, F.lit(turn).alias("round"), own, "offset", "bins", "bound")
+
+    def state(packed: DataFrame):
+        """Partitions, their sequences and pieces, of those with a gap."""
+        parts = packed.where("bins > bound").groupBy("part").agg(F.max("bins").alias("bins"), F.count("*").alias("pieces"))
+        return parts.agg(F.count("*").alias("parts"), F.sum("bins").alias("bins"), F.sum("pieces").alias("pieces")).first()
+
     count = rest.count()
-    columns = PIECES + ", part long, bin long, offset long, open boolean, bins long, bound long"
-    for turn in range(1, MAX_ROUNDS + 1):
-        if not count:
-            break
-        parts = -(-count // DEAL)
-        dealt = rest.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", F.lit(turn)), F.lit(parts)))
-        packed = cut(dealt.groupBy("part").applyInPandas(_sorted(_pack_group(capacity, slack)), columns), f"packed{turn}")
-        last = parts == 1 or turn == MAX_ROUNDS
-        named = packed.select(
-            *[c.split()[0] for c in PIECES.split(", ")],
-            F.lit(turn).alias("round"),
-            (F.lit(turn) * F.lit(1 << 56) + F.col("part") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id"),
-            "offset", "bins", "bound", "open",
-        )
-        placed.append((named if last else named.where("not open")).drop("open"))
-        if last:
-            break
-        rest = packed.where("open").select(*[c.split()[0] for c in PIECES.split(", ")])
-        left = rest.count()
-        if left == count:
-            placed.append(named.where("open").drop("open"))
+    if not count:
+        return whole
+    turn, out = 1, whole
+    now = packed(rest, -(-count // DEAL), turn)
+    gap = state(now)
+    while gap.parts > 1:
+        again = packed(now.where("bins > bound"), -(-gap.pieces // DEAL), turn + 1)
+        if again.groupBy("part").agg(F.max("bins").alias("bins")).agg(F.sum("bins")).first()[0] >= gap.bins:
             break
-        count = left
-    out = placed[0]
-    for more in placed[1:]:
-        out = out.unionByName(more)
-    return out
+        out = out.unionByName(placed(now.where("bins = bound"), turn))
+        now, turn, gap = again, turn + 1, state(again)
+    return out.unionByName(placed(now, turn))
 
 
-def _sorted(pack_group):
-    def run(pdf):
-        return pack_group(pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True))
+def packing_bound(pieces: DataFrame, capacity: int = CAPACITY) -> int:
+    """Sequences that any packing of all the pieces needs; from the count of each length, of which there are ``capacity`` at most."""
+    rows = pieces.groupBy("length").count().collect()
+    return lower_bound(np.array([r.length for r in rows]), capacity, np.array([r["count"] for r in rows]))
 
-    return run
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row about a whole packing: bins (its sequences) and bound (what any packing of its pieces needs)."""
+    bound = packing_bound(packed, capacity)
+    return packed.agg(F.count_distinct("sequence_id").alias("bins"), F.lit(bound).cast("long").alias("bound"))
 
 
 def packed_sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
