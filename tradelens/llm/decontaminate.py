@@ -11,14 +11,12 @@ from tradelens.llm.common import WordHashes, mix, shingle_sequence, slices, text
 HASHES = 64
 #: Smallest size class of items in shingles; each further class doubles it.
 LEAST_SPAN = 1
-#: Shingles of a text that are windowed at once.
-SEGMENT = 1 << 18
-#: Shingles of texts that are laid out together, about.
-LAID_OUT = 1 << 16
+#: Shingles that are windowed at once, about: of several short texts, or of a part of a long one.
+LAID_OUT = 1 << 15
 #: Bits of the table that tells which keys no item has.
 FILTER_BITS = 22
-#: Items that are broadcast at once (their sets and minima take a few hundred bytes to a few KB each); larger benchmarks are searched in several passes.
-ITEMS_PER_PASS = 20_000
+#: Items that are broadcast at once, and bytes of their texts (sets and minima take about 1 KB an item and twice the text); larger benchmarks are searched in several passes.
+ITEMS_PER_PASS, BYTES_PER_PASS = 20_000, 16 << 20
 
 
 def _hash_family() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,10 +49,12 @@ class ContainmentIndex:
         hashes, (mul, add, salt) = WordHashes(), _hash_family()
         self.ids, self.sets, self.threshold = [], [], threshold
         classes: dict[int, list[int]] = {}
+        known = set()
         for item_id, text in items:
             tokens = np.unique(shingle_sequence(words_of(text), hashes))
-            if item_id is None or not len(tokens):
+            if item_id is None or not len(tokens) or (item_id, tokens.tobytes()) in known:
                 continue
+            known.add((item_id, tokens.tobytes()))
             span = LEAST_SPAN
             while span < len(tokens):
                 span *= 2
@@ -103,14 +103,18 @@ class ContainmentIndex:
         if not self.ids:
             return out
         overlap = 2 * max(self.classes)
+        segment = max(LAID_OUT, 2 * overlap)
         units, owners, held = [], [], 0
-        sequences = {}
+        sequences: dict[int, np.ndarray] = {}
+        wanted: dict[int, set[int]] = {}
 
         def settle() -> None:
-            wanted: dict[int, set[int]] = {}
+            """Candidates of the units laid out so far."""
             for owner, items in zip(owners, self.candidates(units, *family), strict=True):
                 if items:
                     wanted.setdefault(owner, set()).update(items)
+
+        def confirm() -> None:
             for owner, items in wanted.items():
                 own = np.unique(sequences[owner])
                 for k in sorted(items):
@@ -124,16 +128,19 @@ class ContainmentIndex:
             if not len(sequence):
                 continue
             sequences[k] = sequence
-            for i in range(0, len(sequence), SEGMENT):
-                units.append(sequence[i : i + SEGMENT + overlap])
+            for i in range(0, len(sequence), segment):
+                units.append(sequence[i : i + segment + overlap])
                 owners.append(k)
-            held += len(sequence)
-            if held >= LAID_OUT:
-                settle()
-                units, owners, held = [], [], 0
-                sequences = {}
+                held += len(units[-1])
+                if held >= LAID_OUT:
+                    settle()
+                    units, owners, held = [], [], 0
+            if not units:
+                confirm()
+                sequences, wanted = {}, {}
         if units:
             settle()
+        confirm()
         return out
 
 
@@ -151,6 +158,31 @@ def _search(index):
     return run
 
 
+def _clean(index):
+    """The rows whose text contains no item."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        hashes, family, own = WordHashes(), _hash_family(), index.value
+        for batch in slices(batches, 1000):
+            found = own.matches(text_bytes(batch, "text"), hashes, family)
+            yield batch.filter(pa.array([not m for m in found], pa.bool_()))
+
+    return run
+
+
+def _indexes(items: DataFrame, threshold: float):
+    """Broadcast indexes of all items, each of bounded size."""
+    spark = items.sparkSession
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    passes = max(1, -(-count // ITEMS_PER_PASS), -(-size // BYTES_PER_PASS))
+    for k in range(passes):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
+        yield spark.sparkContext.broadcast(ContainmentIndex([(r.item_id, r.text.encode()) for r in part.toLocalIterator()], threshold))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Benchmark items of which a document contains at least ``threshold`` of the distinct 5-word shingles.
 
@@ -164,24 +196,20 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -
 
     Words are as in near-duplicates (A-Z in lower case, split at ASCII white space); a text of fewer than
     five words is one shingle and matches a text that is the same. Null or empty texts match nothing, items
-    with a null id are left out, repeated rows give repeated matches, empty tables an empty result.
+    with a null id are left out, an item row that repeats counts once, an id with several texts has each of them as an item,
+    and a document row that repeats has its matches again. Long texts are searched part by part, and what
+    is held beside a text's words does not grow with it. Empty tables give an empty result.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    passes = max(1, -(-items.count() // ITEMS_PER_PASS))
     found = None
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        index = spark.sparkContext.broadcast(ContainmentIndex([(r.item_id, r.text.encode()) for r in part.toLocalIterator()], threshold))
+    for index in _indexes(items, threshold):
         hits = docs.mapInArrow(_search(index), "doc_id long, item_id long, n_item long, n_shared long")
         found = hits if found is None else found.union(hits)
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
 def without_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The documents that contain none of the items; all columns stay. Rows with a null doc_id stay."""
-    from tradelens.llm.common import cut
-
-    hits = cut(contained_items(docs, items, threshold).select("doc_id").distinct(), "contaminated")
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that contain none of the items; all columns stay. Every row is decided by its own text, whatever its doc_id."""
+    for index in _indexes(items, threshold):
+        docs = docs.mapInArrow(_clean(index), docs.schema)
+    return docs
