@@ -28,7 +28,7 @@ def plain(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype(str)
-        df[c] = df[c].map(lambda v: "" if v is None or v is pd.NaT or v != v else f"{v:.6g}" if isinstance(v, float) else str(v))
+        df[c] = df[c].map(lambda v: "" if v is None or v is pd.NaT or v is pd.NA or v != v else f"{v:.6g}" if isinstance(v, float) else str(v))
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 

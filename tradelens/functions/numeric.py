@@ -87,6 +87,11 @@ def legislator_txn_score(action: Column, low: Column, high: Column, owner: Colum
     return F.struct(base.alias("base"), stale.alias("stale"), raw.alias("raw"), final.alias("final"))
 
 
+def is_discretionary(code: Column, planned: Column) -> Column:
+    """An open-market purchase or sale that was not planned."""
+    return F.coalesce(code.isin("P", "S"), F.lit(False)) & ~F.coalesce(planned, F.lit(False))
+
+
 def insider_label(score: Column, confidence: Column) -> Column:
     return F.when(confidence < 0.25, "insufficient").when(score > 0.15, "bullish").when(score < -0.15, "bearish").otherwise("neutral")
 

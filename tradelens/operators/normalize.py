@@ -14,17 +14,16 @@ MINIMUM_LEGISLATOR = 15_000
 
 
 def normalize_insider(trades: DataFrame) -> DataFrame:
-    """Adds role, included and reason_code to insider trades (title, actor_name, code, value).
+    """Adds role, included and reason_code to insider trades (title, actor_name, is_officer, is_director, is_ten_pct, is_other, code, value).
 
     Included are open-market trades of an included role with a value of at least the minimum. Other codes are
-    not included and get no reason code.
+    not included; they get a reason code only where the role is excluded.
     """
-    yes, no = F.lit(True), F.lit(False)
-    role = T.role_class(F.col("title"), F.col("actor_name"), yes, no, no, no)
+    role = T.role_class(F.col("title"), F.col("actor_name"), *[F.coalesce(F.col(c), F.lit(False)) for c in ("is_officer", "is_director", "is_ten_pct", "is_other")])
     open_market = F.col("code").isin("P", "S")
     small = F.col("value").isNull() | (F.col("value") < MINIMUM_INSIDER)
     out = trades.withColumn("_r", role)
-    reason = F.when(open_market & F.col("_r.reason").isNotNull(), "ENTITY_ROLE_EXCLUDED").when(open_market & small, "BELOW_MINIMUM_VALUE")
+    reason = F.when(F.col("_r.reason").isNotNull(), "ENTITY_ROLE_EXCLUDED").when(open_market & small, "BELOW_MINIMUM_VALUE")
     included = open_market & F.col("_r.reason").isNull() & ~small
     return out.select(*trades.columns, F.col("_r.role").alias("role"), included.alias("included"), reason.alias("reason_code"), F.col("_r.reason").alias("reason_detail"))
 
@@ -38,12 +37,9 @@ def score_insider(normalized: DataFrame, reference: Column, cfg: Config = V2) ->
 
 
 def normalize_legislator(trades: DataFrame) -> DataFrame:
-    """Adds the statutory bracket (low, high), included and reason_code to legislators' trades (action, ticker, value)."""
-    v = F.col("value")
-    low = F.when(v <= 15_000, 1_001).when(v <= 50_000, 15_001).when(v <= 100_000, 50_001).otherwise(100_001).cast("long")
-    high = F.when(v <= 15_000, 15_000).when(v <= 50_000, 50_000).when(v <= 100_000, 100_000).otherwise(250_000).cast("long")
+    """Adds included and reason_code to legislators' trades (action, ticker, low, high)."""
     reason = F.when(~F.col("action").isin("purchase", "sale", "sale_partial"), "NON_SIGNAL_ASSET").when(F.col("ticker").isNull(), "MISSING_TICKER").when(F.col("high") <= MINIMUM_LEGISLATOR, "BELOW_MINIMUM_VALUE")
-    return trades.withColumns({"low": low, "high": high}).withColumn("reason_code", reason).withColumn("included", F.col("reason_code").isNull())
+    return trades.withColumn("reason_code", reason).withColumn("included", F.col("reason_code").isNull())
 
 
 def score_legislator(normalized: DataFrame, reference: Column, cfg: Config = V2) -> DataFrame:

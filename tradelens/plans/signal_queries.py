@@ -35,11 +35,19 @@ leg AS (SELECT record_id, ticker, subject_key, sector, chamber, actor_id AS memb
 
 def insiders(spark, sf_dir):
     t = trades(spark, sf_dir).where("source = 'insider'")
-    return normalize.score_insider(normalize.normalize_insider(t), ref())
+    flags = {"is_officer": F.lit(True), **{c: F.lit(False) for c in ("is_director", "is_ten_pct", "is_other")}}
+    out = normalize.normalize_insider(t.withColumns(flags)).drop(*flags)
+    # the adapter's SQL gives other codes no reason
+    out = out.withColumn("reason_code", F.when(F.col("code").isin("P", "S"), F.col("reason_code")))
+    return normalize.score_insider(out, ref())
 
 
 def legislators(spark, sf_dir):
-    return normalize.normalize_legislator(trades(spark, sf_dir).where("source = 'congress'"))
+    """The adapter's trades have values, not brackets: they fall into the bracket of their value."""
+    t, v = trades(spark, sf_dir).where("source = 'congress'"), F.col("value")
+    low = F.when(v <= 15_000, 1_001).when(v <= 50_000, 15_001).when(v <= 100_000, 50_001).otherwise(100_001).cast("long")
+    high = F.when(v <= 15_000, 15_000).when(v <= 50_000, 50_000).when(v <= 100_000, 100_000).otherwise(250_000).cast("long")
+    return normalize.normalize_legislator(t.withColumns({"low": low, "high": high}))
 
 
 def legislator_scores(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tradelens.plans import expressions, report_queries, signal_queries, source_queries, study_queries  # noqa: F401
+from tradelens.plans import expressions, paper_queries, report_queries, signal_queries, source_queries, store_queries, study_queries  # noqa: F401
 from tradelens.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

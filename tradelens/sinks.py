@@ -65,17 +65,52 @@ def append_blocks(blocks: DataFrame, path: str) -> None:
     blocks.select(*texts).write.mode("append").parquet(path)
 
 
-def run_ledger_row(spark: SparkSession, run_id: str, status: str, started: str, params: dict, summary: dict | None = None) -> DataFrame:
-    """A row of the run ledger; JSON texts have sorted keys."""
-    import json
+class RunLedger:
+    """Runs as appended events: STARTED, then SUCCEEDED or FAILED. JSON texts have sorted keys; the last event of a run is its state."""
 
-    text = lambda d: json.dumps(d, sort_keys=True) if d is not None else None
-    return spark.createDataFrame([(run_id, status, started, text(params), text(summary))], "run_id string, status string, started string, params string, summary string")
+    SCHEMA = "run_id string, status string, at timestamp, params string, summary string"
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-def write_artifact(report: DataFrame, path: str) -> None:
-    """A small report as one JSON-lines file."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    def _append(self, run_id: str, status: str, params: dict | None, summary: dict | None) -> None:
+        import datetime as dt
+        import json
+
+        text = lambda d: json.dumps(d, sort_keys=True) if d is not None else None
+        row = (run_id, status, dt.datetime.now(), text(params), text(summary))
+        self.spark.createDataFrame([row], self.SCHEMA).write.mode("append").parquet(self.path)
+
+    def start(self, run_id: str, params: dict) -> None:
+        self._append(run_id, "STARTED", params, None)
+
+    def finish(self, run_id: str, summary: dict, failed: bool = False) -> None:
+        self._append(run_id, "FAILED" if failed else "SUCCEEDED", None, summary)
+
+    def runs(self) -> DataFrame:
+        """run_id, status, started, finished, params, summary of every run."""
+        events = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        ended = F.col("status") != "STARTED"
+        return events.groupBy("run_id").agg(
+            F.max_by("status", F.struct(ended.cast("int"), "at")).alias("status"), F.min(F.when(~ended, F.col("at"))).alias("started"), F.max(F.when(ended, F.col("at"))).alias("finished"),
+            F.max("params").alias("params"), F.max_by("summary", F.struct(ended.cast("int"), "at")).alias("summary"),
+        )
+
+
+def write_with_new_columns(df: DataFrame, path: str) -> None:
+    """Append rows whose columns may be new to the table; old rows read them as null, and no file is written anew."""
+    df.write.mode("append").parquet(path)
+
+
+def read_with_new_columns(spark: SparkSession, path: str) -> DataFrame:
+    """A table with the columns of all its files."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def write_artifacts(reports: dict[str, DataFrame], folder: str) -> None:
+    """Each report as JSON lines below ``folder``, in as many files as it needs."""
+    for name, report in reports.items():
+        report.write.mode("overwrite").json(f"{folder}/{name}")
 
 
 def money(value: Column) -> Column:

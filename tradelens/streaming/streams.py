@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from tradelens.sources.forms import parse_form4
 
 
-def stream_form4(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Transactions of ownership filings as files land in ``folder``; the checkpoint of the query makes each file count once."""
-    files = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_trigger).text(folder)
+def stream_form4(spark: SparkSession, folder: str, files_per_trigger: int = 1000, whole: bool = True) -> DataFrame:
+    """Transactions of ownership filings as files land in ``folder``; the checkpoint of the query makes each file count once.
+
+    A file is a document, or with ``whole`` false holds a document per line.
+    """
+    files = spark.readStream.option("wholetext", whole).option("maxFilesPerTrigger", files_per_trigger).text(folder)
     return parse_form4(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content")))
 
 
@@ -49,5 +52,48 @@ def rescore_stream(stream: DataFrame, history_path: str, score, write, checkpoin
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+CHANGES = "issuer string, owner string, period string, filing_id long, change int"
+_LIVE = "newest_date string, newest_id long, dates array<string>, ids array<long>"
+
+
+def _supersede(key, batches, state):
+    """Per (issuer, owner, period): the newest amendment and the filings that still stand, which are those not older than it."""
+    import pandas as pd
+
+    newest_date, newest_id, dates, ids = state.get if state.exists else (None, None, [], [])
+    newest = (newest_date, newest_id) if newest_date is not None else None
+    live, out = set(zip(dates, ids, strict=True)), []
+    for pdf in batches:
+        for date, filing_id, amends in sorted(zip(pdf["filing_date"].astype(str), pdf["filing_id"], pdf["is_amendment"], strict=True)):
+            own = (date, int(filing_id))
+            if amends and (newest is None or own > newest):
+                newest = own
+                out += [(i, -1) for d, i in live if (d, i) < own]
+                live = {x for x in live if x >= own}
+            if own not in live and (newest is None or own >= newest):
+                live.add(own)
+                out.append((own[1], 1))
+    held = sorted(live)
+    state.update((newest[0] if newest else None, newest[1] if newest else None, [d for d, _ in held], [i for _, i in held]))
+    yield pd.DataFrame([(*key, i, c) for i, c in out], columns=["issuer", "owner", "period", "filing_id", "change"])
+
+
+def stream_supersede(filings: DataFrame) -> DataFrame:
+    """Changes (+1 a filing stands, -1 it is retracted) as filings and their amendments arrive.
+
+    ``filings``: issuer, owner, period, filing_id, filing_date, is_amendment. State is kept per (issuer, owner, period): the newest
+    amendment and the filings not older than it. A filing that arrives late, behind a newer amendment, has no row.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    rows = filings.select("issuer", "owner", "period", F.col("filing_id").cast("long").alias("filing_id"), F.col("filing_date").cast("string").alias("filing_date"), "is_amendment")
+    return rows.groupBy("issuer", "owner", "period").applyInPandasWithState(_supersede, CHANGES, _LIVE, "append", GroupStateTimeout.NoTimeout)
+
+
+def standing(changes: DataFrame) -> DataFrame:
+    """Filings that stand after all changes."""
+    return changes.groupBy("issuer", "owner", "period", "filing_id").agg(F.sum("change").alias("n")).where("n > 0").drop("n")
+
+
 def touched_since(filings: DataFrame, since: Column) -> DataFrame:
     return filings.where(F.col("parsed_at") >= since).select("subject_key").distinct()
