@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import cache
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -12,80 +14,75 @@ from tradelens.llm.boosting import BoostedTrees
 from tradelens.llm.common import slices
 from tradelens.llm.html_tree import HIDDEN, INLINE, Node, parse
 
-#: Pages that the training layouts are composed of, and pages of the table whose words they use, at most.
-LAYOUTS, WORD_PAGES = 700, 200
+#: Pages that are composed for training.
+LAYOUTS = 900
 #: Log odds that a node with text of both kinds costs against deciding it as a whole.
 MIXED_COST = 1.0
 _BLANK = re.compile(r"\s+")
-_TAGS = ("p", "li", "a", "nav", "footer", "header", "aside", "article", "main", "form", "section", "h1", "h2", "h3", "ul", "td", "figure", "blockquote", "pre", "button")
-
-
-def _elements(root: Node) -> list[Node]:
-    """Visible non-inline elements, parents before children."""
-    out, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        out.append(node)
-        stack += [c for c in reversed(node.items) if isinstance(c, Node) and c.tag not in HIDDEN and c.tag not in INLINE and c.tag != "br"]
-    return out
-
-
-def _flatten(node: Node, parts: list, inside_link: bool, links: list) -> None:
-    """Inline text below a node, in order; None where a block element stands."""
-    stack = [(c, inside_link) for c in reversed(node.items)]
-    while stack:
-        item, link = stack.pop()
-        if isinstance(item, str):
-            parts.append(item)
-            if link:
-                links.append(item)
-        elif item.tag == "br":
-            parts.append(" ")
-        elif item.tag in HIDDEN:
-            continue
-        elif item.tag in INLINE:
-            if any(isinstance(c, Node) and c.tag not in INLINE and c.tag not in HIDDEN and c.tag != "br" for c in item.items):
-                parts.append(item)  # an inline element around blocks counts as a block
-            else:
-                stack += [(c, link or item.tag in ("a", "button", "select", "label")) for c in reversed(item.items)]
-        else:
-            parts.append(item)
+_TAGS = ("p", "li", "a", "nav", "footer", "header", "aside", "article", "main", "form", "section", "h1", "h2", "h3", "ul", "td", "figure", "blockquote", "pre", "span")
+
+
+def _is_block(item) -> bool:
+    return isinstance(item, Node) and item.tag not in INLINE and item.tag not in HIDDEN and item.tag != "br"
 
 
 class Page:
-    """Elements of a page with their own blocks of text and the features of their subtrees."""
+    """Elements of a page with their own runs of text and the features of their subtrees.
+
+    Elements are blocks, and inline elements that carry a class, an id or the like: those can be decided
+    apart from the text around them, but do not divide its block.
+    """
 
     def __init__(self, html: str | None):
         self.nodes: list[Node] = []
         self.parent: list[int] = []
-        self.order: list[tuple[int, str | None]] = []  # (element, its block of text) in page order
+        self.inline: list[bool] = []
         self.own_links: list[int] = []
+        self.runs: list[tuple[int, str, int]] = []  # (element, its text, number of the block) in page order
         self._walk(parse(html))
 
+    def _add(self, node: Node, parent: int, inline: bool) -> int:
+        self.nodes.append(node), self.parent.append(parent), self.inline.append(inline), self.own_links.append(0)
+        return len(self.nodes) - 1
+
+    def _parts(self, node: Node, own: int) -> list[tuple]:
+        """(element, text) runs and (element, block below it) in page order."""
+        parts, stack = [], [(c, own, False) for c in reversed(node.items)]
+        while stack:
+            item, at, link = stack.pop()
+            if isinstance(item, str):
+                parts.append((at, item))
+                if link:
+                    self.own_links[at] += len(" ".join(item.split()))
+            elif item.tag == "br":
+                parts.append((at, " "))
+            elif item.tag in HIDDEN:
+                continue
+            elif item.tag in INLINE and not any(map(_is_block, item.items)):
+                inner = self._add(item, at, True) if item.tokens and item.items else at
+                stack += [(c, inner, link or item.tag in ("a", "label")) for c in reversed(item.items)]
+            else:
+                parts.append((at, item))  # an inline element around blocks counts as a block
+        return parts
+
     def _walk(self, root: Node) -> None:
-        # one frame per element: its inline parts, and how far they are read
+        # one frame per element: its parts, and how far they are read
         def enter(node: Node, parent: int):
-            k = len(self.nodes)
-            self.nodes.append(node), self.parent.append(parent)
-            parts, links = [], []
-            _flatten(node, parts, False, links)
-            self.own_links.append(sum(len(" ".join(t.split())) for t in links))
-            return [k, parts, 0]
-
-        stack = [enter(root, -1)]
+            return [self._parts(node, self._add(node, parent, False)), 0]
+
+        stack, block = [enter(root, -1)], 0
         while stack:
-            frame = stack[-1]
-            k, parts, at = frame
-            held = []
-            while at < len(parts) and isinstance(parts[at], str):
-                held.append(parts[at])
+            parts, at = stack[-1]
+            start = at
+            while at < len(parts) and isinstance(parts[at][1], str):
                 at += 1
-            text = _BLANK.sub(" ", "".join(held)).strip() if held else ""
-            if text:
-                self.order.append((k, text))
+            if any(not t.isspace() and t for _, t in parts[start:at]):
+                for own, group in groupby(parts[start:at], key=lambda p: p[0]):
+                    self.runs.append((own, _BLANK.sub(" ", "".join(t for _, t in group)), block))
+                block += 1
             if at < len(parts):
-                frame[2] = at + 1
-                stack.append(enter(parts[at], k))
+                stack[-1][1] = at + 1
+                stack.append(enter(parts[at][1], parts[at][0]))
             else:
                 stack.pop()
 
@@ -94,7 +91,7 @@ class Page:
         own_text, own_words, own_blocks, own_stops = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
         first = np.full(n, -1.0)
         total = 0
-        for k, text in self.order:
+        for k, text, _ in self.runs:
             own_text[k] += len(text)
             own_words[k] += text.count(" ") + 1
             own_blocks[k] += 1
@@ -131,6 +128,7 @@ class Page:
             text, words, text / tags, links / np.maximum(text, 1), stops / np.maximum(words, 1), words / np.maximum(blocks, 1), text / whole,
             np.where(np.isinf(start), total, start) / whole, np.array([node.depth for node in self.nodes]), index, index / np.maximum(children[up], 1), same, children,
             own_evidence, least, most, own_evidence[up], (text / tags)[up], text / np.maximum(text[up], 1), links[up] / np.maximum(text[up], 1), tag, own_text / np.maximum(text, 1),
+            np.array(self.inline, float),
         ]
         return np.stack(columns, axis=1)
 
@@ -142,7 +140,7 @@ class Page:
         """
         n = len(self.nodes)
         size = np.zeros(n)
-        for k, text in self.order:
+        for k, text, _ in self.runs:
             size[k] += len(text)
         weight = np.log1p(size)
         sub = weight.copy()
@@ -164,7 +162,16 @@ class Page:
             else:
                 choice[k] = ("main", "other", "mixed")[int(np.argmax([main[k], other[k], mixed[k]]))]
         keep = [c == "main" or c == "mixed" and odds[k] > 0 for k, c in enumerate(choice)]
-        return [text for k, text in self.order if keep[k]]
+        return self.blocks(lambda k, text: keep[k])
+
+    def blocks(self, kept) -> list[str]:
+        """Texts of the blocks, of their kept runs."""
+        out = []
+        for _, runs in groupby(self.runs, key=lambda r: r[2]):
+            text = _BLANK.sub(" ", "".join(t for k, t, _ in runs if kept(k, t))).strip()
+            if text:
+                out.append(text)
+        return out
 
 
 class Layouts:
@@ -182,15 +189,32 @@ class Layouts:
         "comments": "comments comment discussion replies reply disqus respond thread".split(),
         "share": "share social tags meta byline author tools pagination".split(),
     }
+    INLINE_MAIN = "highlight term link keyword emphasis dropcap lead quote ref inline name place".split()
+    INLINE_OTHER = "ad ads sponsored promo share count reply comment edit permalink tooltip badge label follow subscribe related".split()
 
-    def __init__(self, words: list[str], seed: int = 9):
-        self.words, self.rng = words or ["word", "text", "page", "more"], np.random.default_rng(seed)
+    def __init__(self, seed: int = 9):
+        self.rng = np.random.default_rng(seed)
+        letters = np.array(list("etaoinshrdlcumwfgypbvkjxqz"))
+        # only lengths of words matter to the features
+        self.words = ["".join(letters[self.rng.integers(0, 26, n)]) for n in self.rng.integers(1, 13, 600)]
 
     def prose(self, low: int, high: int) -> str:
         n = int(self.rng.integers(low, high + 1))
         picked = [self.words[i] for i in self.rng.integers(0, len(self.words), n)]
         return " ".join(w + ("." if self.rng.random() < 0.1 else "") for w in picked)
 
+    def main(self, low: int, high: int) -> str:
+        """Main text, at times with an inline element inside that is main or not."""
+        if high < 4 or self.rng.random() < 0.7:
+            return f"\x01{self.prose(low, high)}"
+        if self.rng.random() < 0.5:
+            tag, names, mark = self.pick(["span", "a", "em", "strong", "abbr"]), self.INLINE_MAIN, "\x01"
+        else:
+            tag, names, mark = self.pick(["span", "a", "small", "span"]), self.INLINE_OTHER, ""
+        name = " ".join(self.pick(names) for _ in range(int(self.rng.integers(1, 3))))
+        inside = f'<{tag} {self.pick(["class", "class", "id"])}="{name}">{mark}{self.prose(1, 5)}</{tag}>'
+        return f"\x01{self.prose(low, high // 2)} {inside} \x01{self.prose(1, high // 2)}"
+
     def pick(self, options):
         return options[int(self.rng.integers(len(options)))]
 
@@ -210,7 +234,8 @@ class Layouts:
             return f"<{tag}{name}><ul>{self.links(2, 9)}</ul></{tag}>"
         if kind == "header":
             tag = self.pick(["header", "div"])
-            return f"<{tag}{name}><div>{self.prose(1, 6)}</div><p>{self.prose(1, 9)}</p></{tag}>"
+            title = self.pick(["div", "div", "h1", "h2", "h3"])
+            return f"<{tag}{name}><{title}>{self.prose(1, 6)}</{title}>" + self.pick([f"<p>{self.prose(1, 9)}</p>", ""]) + f"</{tag}>"
         if kind == "footer":
             tag = self.pick(["footer", "div", "footer"])
             return f"<{tag}{name}>" + self.pick([f"&copy; {self.prose(1, 25)}", f"<p>{self.prose(2, 30)}</p><ul>{self.links(1, 5)}</ul>"]) + f"</{tag}>"
@@ -239,13 +264,13 @@ class Layouts:
             kind = rng.random()
             if kind < 0.7:
                 open_b = "<b>" if rng.random() < 0.2 else ""
-                blocks.append(f"<p>{open_b}\x01{self.prose(1, 90)}" + ("</p>" if rng.random() < 0.7 else "<br>"))
+                blocks.append(f"<p>{open_b}{self.main(1, 90)}" + ("</p>" if rng.random() < 0.7 else "<br>"))
             elif kind < 0.78:
                 blocks.append(f"<h2>\x01{self.prose(1, 8)}</h2>")
             elif kind < 0.86:
-                blocks.append("<ul>" + "".join(f"<li>\x01{self.prose(2, 18)}</li>" for _ in range(int(rng.integers(2, 6)))) + "</ul>")
+                blocks.append("<ul>" + "".join(f"<li>{self.main(2, 18)}</li>" for _ in range(int(rng.integers(2, 6)))) + "</ul>")
             elif kind < 0.9:
-                blocks.append(f"<blockquote>\x01{self.prose(4, 40)}</blockquote>")
+                blocks.append(f"<blockquote>{self.main(4, 40)}</blockquote>")
             elif kind < 0.94:
                 blocks.append("<table>" + "".join(f"<tr><td>\x01{self.prose(1, 6)}</td><td>\x01{self.prose(1, 6)}</td></tr>" for _ in range(3)) + "</table>")
             else:
@@ -275,17 +300,19 @@ class Extractor:
         return [" ".join(p.decode(o)) for p, o in zip(parsed, np.split(odds, bounds), strict=True)]
 
 
-def train_extractor(words: list[str], layouts: int = LAYOUTS) -> Extractor:
-    """Train on composed pages. An element's label is whether most of its text is main."""
-    maker = Layouts(words)
+@cache
+def train_extractor(layouts: int = LAYOUTS) -> Extractor:
+    """Train on composed pages, the same each time. An element's label is whether most of its text is main."""
+    maker = Layouts()
     pages = [Page(maker.page()) for _ in range(layouts)]
     labels, seen = [], {}
     for page in pages:
         main, text = np.zeros(len(page.nodes)), np.zeros(len(page.nodes))
-        for i, (k, block) in enumerate(page.order):
-            text[k] += len(block)
-            main[k] += len(block) * ("\x01" in block)
-            page.order[i] = (k, block.replace("\x01", ""))
+        for i, (k, run, block) in enumerate(page.runs):
+            size = len(run.strip("\x01 "))
+            text[k] += size
+            main[k] += size * ("\x01" in run)
+            page.runs[i] = (k, run.replace("\x01", ""), block)
         for k in range(len(page.nodes) - 1, 0, -1):
             text[page.parent[k]] += text[k]
             main[page.parent[k]] += main[k]
@@ -307,13 +334,6 @@ def train_extractor(words: list[str], layouts: int = LAYOUTS) -> Extractor:
     return Extractor(evidence, BoostedTrees().fit(np.concatenate([x[known], blind[some]]), np.concatenate([y[known], y[some]])))
 
 
-def fit_extractor(pages: DataFrame) -> Extractor:
-    """Train with words of at most ``WORD_PAGES`` pages of the table (html), those of least hash."""
-    rows = pages.select(F.col("html").cast("string").alias("html")).where("html is not null").orderBy(F.xxhash64("html"), "html").limit(WORD_PAGES)
-    words = sorted({w for r in rows.toLocalIterator() for _, text in Page(r.html).order for w in text.split()[:200]})
-    return train_extractor(words)
-
-
 def _extract(held):
     def run(batches):
         import pyarrow as pa
@@ -325,12 +345,14 @@ def _extract(held):
     return run
 
 
-def main_text(pages: DataFrame, extractor: Extractor) -> DataFrame:
+def main_text(pages: DataFrame, extractor: Extractor | None = None) -> DataFrame:
     """page_id, url, text (main text, blocks joined by a space; empty if there is none) and n_chars of every page.
 
-    The whole html is read. A null or empty html has an empty text. Rows are only mapped: null ids and
+    The whole html is read. The trees are trained on composed pages (see ``Layouts``), since pages have no labels. Form
+    controls, scripts, comments and the like are never main text; inline elements with a class or id may be left out of
+    the block around them. A null or empty html has an empty text. Rows are only mapped: null ids and
     repeated rows keep their rows, an empty table gives an empty result.
     """
-    held = pages.sparkSession.sparkContext.broadcast(extractor)
+    held = pages.sparkSession.sparkContext.broadcast(extractor or train_extractor())
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return pages.mapInArrow(_extract(held), "page_id long, url string, text string, n_chars long")

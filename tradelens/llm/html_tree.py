@@ -7,7 +7,7 @@ from html import unescape
 
 #: Fixed values of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript head title svg math iframe object".split())
+HIDDEN = frozenset("script style template noscript head title svg math iframe object button select textarea option optgroup datalist audio video canvas".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img input ins kbd label mark q s samp small span strong sub sup time tt u var wbr button select option textarea".split())
 CLOSED_BY = {
@@ -17,7 +17,8 @@ CLOSED_BY = {
     "head": frozenset(["body"]),
 }
 _WALL = frozenset(["table", "ul", "ol", "div", "section", "article", "td", "body"])
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(?:[!?][^>]*(?:>|$))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+#: A quoted value ends at a quote that blank, slash or the end of the tag follows; a quote that is never closed so is a character like others.
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<(?:[!?][^>]*(?:>|$))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"(?=[\s/>]|$)|'[^']*'(?=[\s/>]|$)|[\"'])*+)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _TOKEN = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _NAMED = frozenset(["class", "id", "role", "itemprop", "aria-label"])
@@ -42,7 +43,7 @@ def _tokens(attributes: str) -> list[str]:
 
 
 def parse(html: str | None) -> Node:
-    """The page's tree. Unclosed and stray tags are tolerated; comments, scripts and the like leave no text."""
+    """The page's tree. Unclosed and stray tags are tolerated, a slash closes nothing; comments, scripts and the like leave no text."""
     root = at = Node("#page", [], None)
     pos, text, n = 0, html or "", len(html or "")
     while pos < n:
@@ -80,6 +81,6 @@ def parse(html: str | None) -> Node:
             if tag not in HIDDEN:
                 child.items.append(unescape(text[pos:stop]))
             pos = end.end() if end else n
-        elif tag not in VOID and not (m.group(3) or "").endswith("/"):
+        elif tag not in VOID:
             at = child
     return root

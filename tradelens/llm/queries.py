@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.common import crc_mod, table
 from tradelens.llm.decontaminate import contained_items
-from tradelens.llm.html_extract import fit_extractor, main_text
+from tradelens.llm.html_extract import main_text
 from tradelens.llm.lm_score import lm_scores
 from tradelens.llm.near_dedup import near_duplicates
 from tradelens.llm.packing import packed_sequences
@@ -46,8 +46,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return main_text(pages, fit_extractor(pages))
+    return main_text(table(spark, sf_dir, "pages"))
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
