@@ -46,7 +46,11 @@ class CompressionClassifier:
         return self._ready
 
     def features(self, text: bytes | None) -> np.ndarray:
-        """1, the normalised difference of compressed sizes, compressed size per byte with either dictionary, and length terms."""
+        """1, the normalised difference of the compressed sizes, and the log of the smaller size per byte.
+
+        The difference carries the score; how far it must go depends on how well the text compresses at all (junk of
+        repeated words leaves either dictionary little to do), which the last term calibrates.
+        """
         text = text or b""
         good, bad = self._compressors()
         g = b = 0
@@ -55,7 +59,7 @@ class CompressionClassifier:
             b += len(bad.compress(block))
         n = len(text) + 16.0
         diff = (b - g) / max(g, b, 1)
-        return np.array([1.0, diff, diff * diff * np.sign(diff), g / n, b / n, min(g, b) / n * diff, np.log(n) / 10])
+        return np.array([1.0, diff, np.log(max(1, min(g, b)) / n)])
 
     def score(self, text: bytes | None) -> float:
         """Probability of label 1."""
@@ -88,7 +92,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Com
 
     texts, counts = labelled_sample(docs, labels, {0: rows, 1: rows})
     share = (counts[1] + 1) / (sum(counts.values()) + 2)
-    flat = CompressionClassifier(b"\0" * 8, b"\0" * 8, np.array([np.log(share / (1 - share)), *[0.0] * 6]))
+    flat = CompressionClassifier(b"\0" * 8, b"\0" * 8, np.array([np.log(share / (1 - share)), 0.0, 0.0]))
     taken = {label: [t.encode() for t in own] for label, own in texts.items()}
     if not taken[0] or not taken[1]:
         return flat
@@ -102,7 +106,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Com
             if sum(map(len, samples)) < 64:
                 return flat
             dictionaries.append(b"".join(samples)[-DICTIONARY:])
-    model = CompressionClassifier(*dictionaries, np.zeros(7))
+    model = CompressionClassifier(*dictionaries, np.zeros(3))
     x, y, weight = [], [], []
     for label in (0, 1):
         held = taken[label][1::2] or taken[label]
