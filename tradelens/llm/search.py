@@ -1,108 +1,34 @@
-"""Exact top-k search over binary codes by incremental multi-index hashing."""
+"""Exact top-k search over binary codes by incremental multi-index hashing, as joins on segment values."""
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradelens.llm.common import cut
+
 SEGMENT_BITS = 16
-#: Rows of one index block and queries of one query block.
-BLOCK_ROWS = 8192
-BLOCK_QUERIES = 1024
-_CHUNK = 1 << 20
-
-
-def binary_codes(vectors: list, bits: int) -> np.ndarray:
-    """A code per vector: bit i is set if component i is above 0. Rows of whole segments, padded with zeros."""
-    m = np.zeros((len(vectors), bits), bool)
-    for k, v in enumerate(vectors):
-        m[k, : len(v)] = np.nan_to_num(np.asarray(v, np.float32)) > 0
-    wide = -(-bits // SEGMENT_BITS) * SEGMENT_BITS
-    m = np.pad(m, ((0, 0), (0, wide - bits)))
-    return np.packbits(m, axis=1).view(">u2").astype(np.uint16)
-
-
-class MultiIndex:
-    """One table per segment from segment value to the block's rows."""
-
-    def __init__(self, ids: np.ndarray, codes: np.ndarray):
-        self.ids, self.codes = ids, codes
-        self.orders = [np.argsort(codes[:, s], kind="stable") for s in range(codes.shape[1])]
-        self.starts = [np.searchsorted(codes[o, s], np.arange((1 << SEGMENT_BITS) + 1)) for s, o in enumerate(self.orders)]
-
-    def _probe(self, segment: int, queries: np.ndarray, radius: int, who: np.ndarray):
-        """(query, row) pairs whose segment differs in exactly ``radius`` bits."""
-        masks = np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT_BITS), radius)], np.uint16)
-        starts, order = self.starts[segment], self.orders[segment]
-        for i in range(0, len(queries), max(1, _CHUNK // len(masks))):
-            part = queries[i : i + max(1, _CHUNK // len(masks))]
-            value = (part[:, None] ^ masks[None, :]).astype(np.int64)
-            lo, n = starts[value].ravel(), (starts[value + 1] - starts[value]).ravel()
-            row = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            yield np.repeat(np.repeat(who[i : i + len(part)], len(masks)), n), order[row]
-
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int):
-        """The k rows nearest to each query by (distance, id), without the query's own id: (query, id, distance).
-
-        A segment's radius grows by one step at a time over all segments. Once every segment was searched to
-        radius r, a row not met differs from the query in more than r bits of each segment; a query whose kth
-        verified distance is below segments * (r + 1) is complete.
-        """
-        segments = self.codes.shape[1]
-        pending = np.arange(len(queries))
-        best_q, best_i, best_d = (np.empty(0, np.int64) for _ in range(3))
-        done: list[tuple] = []
-        for radius in range(SEGMENT_BITS + 1):
-            found = [(best_q, best_i, best_d)]
-            for s in range(segments):
-                for q, row in self._probe(s, queries[pending, s], radius, pending):
-                    d = np.bitwise_count(queries[q] ^ self.codes[row]).sum(axis=1, dtype=np.int64)
-                    ok = self.ids[row] != own[q]
-                    found.append(_nearest(q[ok], row[ok], d[ok], self.ids, k))
-            q, row, d = (np.concatenate(c) for c in zip(*found, strict=True))
-            best_q, best_i, best_d = _nearest(q, row, d, self.ids, k)
-            have = np.bincount(best_q, minlength=len(queries))
-            worst = np.full(len(queries), np.iinfo(np.int64).max)
-            np.maximum.at(kth := np.zeros(len(queries), np.int64), best_q, best_d)
-            worst[have >= k] = kth[have >= k]
-            complete = worst < segments * (radius + 1)
-            ready = complete[best_q]
-            done.append((best_q[ready], best_i[ready], best_d[ready]))
-            best_q, best_i, best_d = best_q[~ready], best_i[~ready], best_d[~ready]
-            pending = pending[~complete[pending]]
-            if not len(pending):
-                break
-        done.append((best_q, best_i, best_d))
-        q, row, d = (np.concatenate(c) for c in zip(*done, strict=True))
-        return q, self.ids[row], d
-
-
-def _nearest(q, row, d, ids, k):
-    """Of (query, row, distance) entries, each query's k distinct rows smallest by (distance, id)."""
-    order = np.lexsort((ids[row], d, q))
-    q, row, d = q[order], row[order], d[order]
-    fresh = np.ones(len(q), bool)
-    fresh[1:] = (q[1:] != q[:-1]) | (row[1:] != row[:-1])
-    q, row, d = q[fresh], row[fresh], d[fresh]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    return q[rank < k], row[rank < k], d[rank < k]
-
-
-def _search_block(bits: int, k: int):
-    def run(key, rows, queries):
-        import pandas as pd
-
-        if not len(rows) or not len(queries):
-            return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []}).astype("int64")
-        index = MultiIndex(rows["vec_id"].to_numpy(), binary_codes(list(rows["embedding"]), bits))
-        own = queries["vec_id"].to_numpy()
-        q, found, d = index.search(binary_codes(list(queries["embedding"]), bits), own, k)
-        return pd.DataFrame({"query_id": own[q], "neighbor_id": found, "distance": d})
-
-    return run
+#: Entries of an index that are broadcast at most (some 40 bytes each); a larger one and the probes are shuffled.
+BROADCAST_ENTRIES = 500_000
+
+
+def _coded(vectors: DataFrame, segments: int) -> DataFrame:
+    """vec_id and the sign code as one integer per segment (s0, s1, ...): bit i of a code is set if component i is above 0."""
+
+    def segment(k: int):
+        bits = f"transform(slice(embedding, {k * SEGMENT_BITS + 1}, {SEGMENT_BITS}), (x, i) -> if(x > 0 and not isnan(x), shiftleft(1, i), 0))"
+        return F.expr(f"aggregate({bits}, 0, (a, b) -> a | b)").alias(f"s{k}")
+
+    return vectors.select("vec_id", *[segment(k) for k in range(segments)])
+
+
+def _clean(df: DataFrame) -> DataFrame:
+    df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    df = df.where("vec_id is not null and size(embedding) > 0").withColumn("embedding", F.transform("embedding", lambda x: F.coalesce(x, F.lit(0.0).cast("float"))))
+    return df.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -110,26 +36,63 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     ``vectors`` and ``queries``: vec_id (integer), embedding (array of numbers). Returns query_id,
     neighbor_id, distance, rank (from 1); equal distances are ordered by neighbor_id, the query itself is no
-    neighbour of its own. Exact: rows are divided into blocks with a multi-index each, queries into blocks that meet every
-    row block, and the blocks' answers are merged; each block searches until the kth distance is proven.
+    neighbour of its own. Exact:
+
+    * Vectors with equal codes are one point; of its ids only the k + 1 smallest can be an answer. Queries with
+      equal codes are searched once.
+    * Points are indexed by (segment, value of the segment). A query probes all values that differ from its own in r bits
+      of a segment, for r = 0, 1, 2, ...; probes meet the index in an equi-join, and met points are verified on the whole code.
+    * After round r, a point not met yet differs in more than r bits of every segment, so a query whose (k+1)th verified
+      distance is below segments * (r + 1) is complete. Only the others go on to the next round, and farther points
+      than their (k+1)th so far are dropped as soon as they are met.
 
     Null ids, null or empty embeddings take no part; null components and NaN count as not above 0, and shorter
     embeddings as padded with zeros. Rows that repeat an id count once (their first code by content). A table with
     fewer than ``k`` others gives them all. Empty tables give an empty result.
     """
-
-    def clean(df: DataFrame) -> DataFrame:
-        df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
-        df = df.where("vec_id is not null and size(embedding) > 0").withColumn("embedding", F.transform("embedding", lambda x: F.coalesce(x, F.lit(0.0).cast("float"))))
-        return df.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-
-    vectors, queries = clean(vectors), clean(queries)
-    n, bits = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
-    m, wide = queries.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
-    row_blocks, query_blocks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // BLOCK_QUERIES))
-    rows = vectors.withColumn("rb", F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
-    met = rows.groupBy("qb", "rb").cogroup(asked.groupBy("qb", "rb")).applyInPandas(_search_block(max(bits, wide), k), "query_id long, neighbor_id long, distance long")
-    best = met.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "neighbor_id"))), 1, k).alias("best"))
-    out = best.select("query_id", F.posexplode("best").alias("pos", "hit"))
-    return out.select("query_id", F.col("hit.neighbor_id").alias("neighbor_id"), F.col("hit.distance").alias("distance"), (F.col("pos") + 1).cast("long").alias("rank"))
+    vectors, queries = _clean(vectors), _clean(queries)
+    bits = max(df.agg(F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()[0] for df in (vectors, queries))
+    segments = -(-bits // SEGMENT_BITS)
+    code = [f"s{s}" for s in range(segments)]
+    of_query = [f"q{s}" for s in range(segments)]
+
+    first_ids = W.partitionBy(*code).orderBy("vec_id")
+    nearest = _coded(vectors, segments).withColumn("k", F.row_number().over(first_ids)).where(F.col("k") <= k + 1)
+    points = cut(nearest.groupBy(*code).agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("point", F.col("ids")[0]), "points")
+    entries = F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(c).alias("value")) for s, c in enumerate(code)]))
+    index = cut(points.select("point", F.size("ids").alias("held"), *code, entries.alias("entry")).select("entry.*", "point", "held", *code), "index")
+    total = points.count()
+    index = F.broadcast(index) if total * segments <= BROADCAST_ENTRIES else index.hint("shuffle_merge")
+
+    asked = cut(_coded(queries, segments), "asked")
+    renamed = [F.col(c).alias(q) for c, q in zip(code, of_query, strict=True)]
+    pending = asked.groupBy(*code).agg(F.min("vec_id").alias("query")).select("query", *renamed, F.lit(bits + 1).alias("worst"))
+    pending = cut(pending, "pending")
+    best, answers = None, []
+    by_distance = W.partitionBy("query").orderBy("distance", "point")
+    distance = reduce(lambda a, b: a + b, [F.bit_count(F.col(c).bitwiseXOR(F.col(q))) for c, q in zip(code, of_query, strict=True)])
+    for radius in range(SEGMENT_BITS + 1):
+        masks = F.explode(F.expr(f"filter(sequence(0, {(1 << SEGMENT_BITS) - 1}), m -> bit_count(m) = {radius})"))
+        probes = pending.select("query", *of_query, "worst", masks.alias("mask")).select(
+            "query", *of_query, "worst", F.posexplode(F.array(*[F.col(q).bitwiseXOR(F.col("mask")) for q in of_query])).alias("segment", "value")
+        )
+        met = probes.join(index, ["segment", "value"]).withColumn("distance", distance).where("distance <= worst").select("query", "point", "held", "distance")
+        known = met if best is None else met.union(best)
+        ranked = known.distinct().withColumn("k", F.row_number().over(by_distance)).where(F.col("k") <= k + 1)
+        ahead = F.sum("held").over(by_distance.rowsBetween(W.unboundedPreceding, -1))
+        best = cut(ranked.withColumn("ahead", F.coalesce(ahead, F.lit(0))).where(F.col("ahead") <= k).select("query", "point", "held", "distance"), f"best{radius}")
+        found = best.groupBy("query").agg(F.sum("held").alias("ids"), F.count("*").alias("codes"), F.max("distance").alias("farthest"))
+        worst = F.when(F.col("ids") > k, F.col("farthest")).otherwise(bits + 1)
+        complete = (worst < segments * (radius + 1)) | (F.coalesce("codes", F.lit(0)) == total) | F.lit(radius == SEGMENT_BITS)
+        state = cut(pending.drop("worst").join(found, "query", "left").select("query", *of_query, F.coalesce(worst, F.lit(bits + 1)).alias("worst"), F.coalesce(complete, F.lit(False)).alias("complete")), f"state{radius}")
+        answers.append(best.join(state.where("complete").select("query"), "query", "left_semi"))
+        pending = state.where("not complete").drop("complete")
+        if pending.isEmpty():
+            break
+        best = best.join(pending.select("query"), "query", "left_semi")
+
+    found = reduce(DataFrame.union, answers).join(points.select("point", "ids"), "point").select("query", "distance", F.explode("ids").alias("neighbor_id"))
+    own = asked.join(asked.groupBy(*code).agg(F.min("vec_id").alias("query")), code).select(F.col("vec_id").alias("query_id"), "query")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "neighbor_id")).cast("long")
+    out = own.join(found, "query").where("query_id <> neighbor_id").withColumn("rank", rank).where(F.col("rank") <= k)
+    return out.select("query_id", "neighbor_id", F.col("distance").cast("long").alias("distance"), "rank")
