@@ -52,13 +52,18 @@ def insider_company_signal(scored: DataFrame, reference: Column, cfg: Config = V
 def winsorize(scored: DataFrame, keys: list[str], percentile: float = 0.95, column: str = "final", order: str = "record_id") -> DataFrame:
     """Clip the absolute score at the non-zero one with index floor(n * p) in ascending order, per key; signs stay.
 
-    The threshold row is found with a rank over non-zero scores, so no list of a group is gathered.
+    Scores are counted in buckets of their logarithm first; only the bucket that the threshold lies in is ranked, so a key
+    with a large share of all rows is not sorted in one task.
     """
-    ranked = scored.where(F.col(column) != 0).select(*keys, F.abs(column).alias("a"), order)
+    rows = scored.where(F.col(column) != 0).select(*keys, F.abs(column).alias("a"), order).withColumn("bucket", F.floor(F.log("a") * 64))
     w = W.partitionBy(*keys)
-    at = F.least(F.floor(F.count("*").over(w) * percentile), F.count("*").over(w) - 1)
-    cut = ranked.withColumn("k", F.row_number().over(w.orderBy("a", order)) - 1).withColumn("at", at).where("k = at").select(*keys, F.col("a").alias("threshold"))
-    out = scored.join(F.broadcast(cut), keys, "left") if not keys else scored.join(cut, keys, "left")
+    before = F.coalesce(F.sum("c").over(w.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy(*keys, "bucket").agg(F.count("*").alias("c")).withColumns({"total": F.sum("c").over(w), "before": before})
+    at = F.least(F.floor(F.col("total") * percentile), F.col("total") - 1)
+    target = sizes.withColumn("at", at).where("before <= at and at < before + c").select(*keys, "bucket", (F.col("at") - F.col("before")).alias("offset"))
+    ranked = rows.join(target, [*keys, "bucket"]).withColumn("k", F.row_number().over(w.orderBy("a", order)) - 1)
+    cut = ranked.where("k = offset").select(*keys, F.col("a").alias("threshold"))
+    out = scored.crossJoin(F.broadcast(cut)) if not keys else scored.join(cut, keys, "left")
     return out.withColumn(column, F.when(F.abs(column) > F.col("threshold"), F.signum(column) * F.col("threshold")).otherwise(F.col(column))).drop("threshold")
 
 
@@ -70,16 +75,17 @@ def positioning(scored: DataFrame, keys: list[str], cfg: Config = V2) -> DataFra
 
 
 def _positioning_of_members(members: DataFrame, keys: list[str], cap) -> DataFrame:
-    w = W.partitionBy(*keys)
-    limit = F.sum(F.abs("m")).over(w) * cap
-    capped = members.withColumn("limit", limit).withColumn("c", F.when(F.abs("m") > F.col("limit"), F.signum("m") * F.col("limit")).otherwise(F.col("m")))
-    capped = capped.withColumn("place", F.row_number().over(w.orderBy(F.desc(F.abs("c")), "member_id")))
+    totals = members.groupBy(*keys).agg((F.sum(F.abs("m")) * cap).alias("limit"))
+    capped = members.join(totals, keys)
+    capped = capped.withColumn("c", F.when(F.abs("m") > F.col("limit"), F.signum("m") * F.col("limit")).otherwise(F.col("m")))
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(F.abs("c")), "member_id"))
+    leading = capped.select(*keys, "member_id", "c").withColumn("place", place).where("place <= 5").groupBy(*keys).agg(F.sum(F.abs("c")).alias("top5"))
     agg = capped.groupBy(*keys).agg(
         F.count("*").alias("unique_members"), F.count_if(F.col("c") > 0).alias("buyers"), F.count_if(F.col("c") < 0).alias("sellers"), F.count_if(F.col("c") == 0).alias("neutral"),
         F.sum("c").alias("volume_net"), F.sum(F.when(F.col("c") > 0, F.col("c")).otherwise(0)).alias("volume_buy"), F.sum(F.when(F.col("c") < 0, -F.col("c")).otherwise(0)).alias("volume_sell"),
-        F.sum(F.when(F.col("place") <= 5, F.abs("c")).otherwise(0)).alias("top5"), F.sum(F.abs("c")).alias("total"), F.count_if(F.abs("m") > F.col("limit")).alias("members_capped"),
+        F.sum(F.abs("c")).alias("total"), F.count_if(F.abs("m") > F.col("limit")).alias("members_capped"),
         (F.sum("stale") / F.sum("n")).alias("mean_staleness"), F.sum("n").alias("transactions"),
-    )
+    ).join(leading, keys)
     concentration = F.when(F.col("total") > 0, F.col("top5") / F.col("total")).otherwise(0.0)
     return agg.withColumn("breadth", (F.col("buyers") - F.col("sellers")) / F.col("unique_members")).withColumn("concentration_top5", concentration).withColumn("is_concentrated", concentration > 0.5).drop("top5", "total")
 

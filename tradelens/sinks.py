@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,10 +13,13 @@ from pyspark.sql import functions as F
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of this process; a cluster has to name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tradelens-")
+        atexit.register(shutil.rmtree, root.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
