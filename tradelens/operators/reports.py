@@ -77,3 +77,81 @@ def member_diagnostics(trades: DataFrame, condition: Column, top: int = 10) -> D
     ranked = counts.withColumn("k", F.row_number().over(W.partitionBy("actor_id").orderBy(F.desc("c"), "ticker"))).where(F.col("k") <= top)
     tickers = ranked.groupBy("actor_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "ticker"))), lambda r: r["ticker"]), ",").alias("top_tickers"))
     return agg.join(tickers, "actor_id")
+
+
+def top_k(df: DataFrame, k: int, by: list[Column], within: list[str] | None = None) -> DataFrame:
+    """The first ``k`` rows by an order, overall or within each group; ``place`` counts from 1. The order should end in a unique column."""
+    if not within:
+        return df.orderBy(*by).limit(k).withColumn("place", F.row_number().over(W.orderBy(*by)))
+    return df.withColumn("place", F.row_number().over(W.partitionBy(*within).orderBy(*by))).where(F.col("place") <= k)
+
+
+def parse_quality(normalized: DataFrame) -> DataFrame:
+    """One row about parsed trades (ticker, included, entity_key): counts and the rates of resolved, ticketed and included ones."""
+    n = F.count("*")
+    counts = normalized.agg(n.alias("trades"), F.count_if(F.col("entity_key").isNotNull()).alias("resolved"), F.count_if(F.col("ticker").isNotNull()).alias("with_ticker"), F.count_if("included").alias("included"))
+    rate = lambda c: F.round(F.coalesce(F.col(c) / F.nullif(F.col("trades"), F.lit(0)), F.lit(0.0)), 4)
+    return counts.withColumns({"resolved_rate": rate("resolved"), "ticker_rate": rate("with_ticker"), "included_rate": rate("included")})
+
+
+def histogram(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Counts of a column's values as rows (histogram, value, n); nulls count as none."""
+    return df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("value")).agg(F.count("*").alias("n")).select(F.lit(name).alias("histogram"), "value", "n")
+
+
+def candidate_details(unresolved: DataFrame, top: int = 10) -> DataFrame:
+    """Unresolved issuers (name, category, reason, instrument, record_id) grouped by name, the ``top`` largest: count, three histograms as
+    ``value=count`` texts, and up to three record ids."""
+    leading = top_k(unresolved.groupBy("name").agg(F.count("*").alias("n")), top, [F.desc("n"), F.col("name")]).drop("place")
+    out = leading
+    for column in ("category", "reason", "instrument"):
+        value = F.coalesce(column, F.lit("none"))
+        counts = unresolved.join(leading.select("name"), "name", "left_semi").groupBy("name", value.alias("v")).agg(F.count("*").alias("c"))
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("v", "c"))), lambda r: F.concat_ws("=", r["v"], r["c"].cast("string"))), ",")
+        out = out.join(counts.groupBy("name").agg(text.alias(f"{column}_counts")), "name")
+    first = top_k(unresolved.select("name", "record_id"), 3, [F.col("record_id")], ["name"])
+    return out.join(first.groupBy("name").agg(F.array_join(F.array_sort(F.collect_list("record_id")), ",").alias("examples")), "name")
+
+
+def store_status(trades: DataFrame, reference: Column, days: int) -> DataFrame:
+    """Per source of stored trades: rows, included rows, first and last date, and whether the newest row is older than the window."""
+    agg = trades.groupBy("source").agg(F.count("*").alias("rows"), F.count_if("included").alias("included"), F.min("execution_date").alias("first_date"), F.max("execution_date").alias("last_date"))
+    return agg.withColumn("stale", F.datediff(reference, "last_date") > days)
+
+
+def ingest_summary(filings: DataFrame, trades: DataFrame, members: DataFrame) -> DataFrame:
+    """Counts after an ingest as rows (metric, key, n): filings without trades by chamber and format, included and excluded trades, members by
+    chamber and with committees. ``filings``: filing_id, chamber, format; ``trades``: filing_id, included; ``members``: chamber, committees (array)."""
+    row = lambda metric, key, n: [F.lit(metric).alias("metric"), key.alias("key"), n.alias("n")]
+    empty = filings.join(trades.select("filing_id").distinct(), "filing_id", "left_anti").groupBy("chamber", "format").agg(F.count("*").alias("n"))
+    kind = F.when(F.col("included"), "included").otherwise("excluded")
+    by_kind = trades.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    by_chamber = members.groupBy("chamber").agg(F.count("*").alias("n"), F.count_if(F.size("committees") > 0).alias("seated"))
+    out = empty.select(*row("filings_without_trades", F.concat_ws("/", "chamber", "format"), F.col("n"))).unionByName(by_kind.select(*row("trades", F.col("kind"), F.col("n"))))
+    return out.unionByName(by_chamber.select(*row("members", F.col("chamber"), F.col("n")))).unionByName(by_chamber.select(*row("members_with_committees", F.col("chamber"), F.col("seated"))))
+
+
+def crossref_summary(legislators: DataFrame, insiders: DataFrame, crossed: DataFrame) -> DataFrame:
+    """One row beside ``resolve.crossref``: tickers of both sides, of legislators alone, and the share of crossed tickers that agree."""
+    legs, ins = legislators.select("ticker").distinct(), insiders.select("ticker").distinct()
+    alone = legs.join(ins, "ticker", "left_anti").agg(F.count("*").alias("legislator_only"))
+    rate = F.round(F.coalesce(F.count_if(F.startswith("agreement", F.lit("BOTH"))) / F.nullif(F.count("*"), F.lit(0)), F.lit(0.0)), 4)
+    return crossed.agg(F.count("*").alias("crossed"), rate.alias("agreement_rate")).crossJoin(alone)
+
+
+def vendor_discrepancies(matches: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """What differs in each match (a_id, b_id) of trades (id, ticker, action, date, amount): rows (a_id, b_id, kind)."""
+    a = ours.select(*[F.col(c).alias(f"a_{c}") for c in ("id", "ticker", "action", "date", "amount")])
+    b = theirs.select(*[F.col(c).alias(f"b_{c}") for c in ("id", "ticker", "action", "date", "amount")])
+    both = matches.select("a_id", "b_id").join(a, "a_id").join(b, "b_id")
+    close = F.coalesce(F.abs(F.col("a_amount") - F.col("b_amount")) <= 0.1 * F.greatest("a_amount", "b_amount"), F.lit(False))
+    kinds = F.array(
+        F.when(~F.equal_null("a_ticker", "b_ticker"), "ticker"), F.when(~F.equal_null("a_action", "b_action"), "action"), F.when(~F.equal_null("a_date", "b_date"), "date"), F.when(~close, "amount")
+    )
+    return both.select("a_id", "b_id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"))
+
+
+def unmatched(matches: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Trades of both sides without a match: side, id."""
+    left = ours.join(matches, F.col("id") == F.col("a_id"), "left_anti").select(F.lit("ours").alias("side"), "id")
+    return left.unionByName(theirs.join(matches, F.col("id") == F.col("b_id"), "left_anti").select(F.lit("theirs").alias("side"), "id"))

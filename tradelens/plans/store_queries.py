@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradelens import sinks
 from tradelens.functions import numeric as N
-from tradelens.operators import store
+from tradelens.operators import reports, resolve, store
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, matched, sides
@@ -433,3 +433,77 @@ def t5(spark, sf_dir):
     stream = spark.readStream.schema(filings.schema).option("maxFilesPerTrigger", 1).parquet(landed)
     streams.stream_supersede(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
     return streams.standing(spark.read.parquet(out)).select("issuer", F.col("owner").cast("long").alias("owner"), "filing_id")
+
+
+@query(
+    "a24b_parse_quality_rates",
+    f"""{WITH}, f AS (SELECT *, filing_id % 5 IN (1, 2) AS bare, filing_id % 5 NOT IN (0, 1, 2) AND action IN ('purchase', 'sale') AND value > 15000 AS ok FROM trades WHERE source = 'congress')
+    SELECT count(*) AS trades, count(*) FILTER (NOT bare) AS resolved, count(*) FILTER (NOT bare) AS with_ticker, count(*) FILTER (ok) AS included, round(count(*) FILTER (NOT bare) / count(*), 4) AS resolved_rate,
+    round(count(*) FILTER (NOT bare) / count(*), 4) AS ticker_rate, round(count(*) FILTER (ok) / count(*), 4) AS included_rate FROM f""",
+)
+def a24b(spark, sf_dir):
+    return reports.parse_quality(store.normalize_legislator_filings(filed_transactions(spark, sf_dir), entities(spark, sf_dir), "house"))
+
+
+@query(
+    "a24c_parse_quality_histograms",
+    f"""{WITH}, f AS (SELECT *, filing_id % 5 AS k FROM trades WHERE source = 'congress') SELECT 'category' AS histogram, CASE k WHEN 0 THEN 'treasury' WHEN 2 THEN 'unknown' ELSE 'common_stock' END AS value, count(*) AS n FROM f GROUP BY ALL
+    UNION ALL SELECT 'reason', CASE WHEN k IN (0, 2) THEN 'NON_SIGNAL_ASSET' WHEN k = 1 THEN 'MISSING_TICKER' WHEN action = 'exchange' THEN 'NON_SIGNAL_ASSET' WHEN value <= 15000 THEN 'BELOW_MINIMUM_VALUE' ELSE 'none' END, count(*) FROM f GROUP BY ALL""",
+)
+def a24c(spark, sf_dir):
+    rows = store.normalize_legislator_filings(filed_transactions(spark, sf_dir), entities(spark, sf_dir), "house")
+    return reports.histogram(rows, "category", "category").unionByName(reports.histogram(rows, "reason_code", "reason"))
+
+
+@query(
+    "a25b_candidate_details",
+    """WITH u AS (SELECT 'n' || l_suppkey % 30 AS name, l_returnflag AS category, 'r' || l_linenumber AS reason, l_linestatus AS instrument, concat_ws(':', l_orderkey, l_linenumber, l_suppkey, l_partkey) AS record_id FROM lineitem),
+    t AS (SELECT name, count(*) AS n FROM u GROUP BY name ORDER BY n DESC, name LIMIT 10),
+    c AS (SELECT name, string_agg(category || '=' || c, ',' ORDER BY category) AS category_counts FROM (SELECT name, category, count(*) AS c FROM u GROUP BY ALL) GROUP BY name),
+    r AS (SELECT name, string_agg(reason || '=' || c, ',' ORDER BY reason) AS reason_counts FROM (SELECT name, reason, count(*) AS c FROM u GROUP BY ALL) GROUP BY name),
+    i AS (SELECT name, string_agg(instrument || '=' || c, ',' ORDER BY instrument) AS instrument_counts FROM (SELECT name, instrument, count(*) AS c FROM u GROUP BY ALL) GROUP BY name),
+    e AS (SELECT name, string_agg(record_id, ',' ORDER BY record_id) AS examples FROM (SELECT name, record_id, row_number() OVER (PARTITION BY name ORDER BY record_id) AS k FROM u) WHERE k <= 3 GROUP BY name)
+    SELECT name, n, category_counts, reason_counts, instrument_counts, examples FROM t JOIN c USING (name) JOIN r USING (name) JOIN i USING (name) JOIN e USING (name)""",
+)
+def a25b(spark, sf_dir):
+    u = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("n"), (F.col("l_suppkey") % 30).cast("string")).alias("name"), F.col("l_returnflag").alias("category"), F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("reason"), F.col("l_linestatus").alias("instrument"),
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias("record_id"),
+    )
+    return reports.candidate_details(u)
+
+
+@query("a34b_store_status_by_source", f"{WITH} SELECT source, count(*) AS rows, count(*) FILTER (planned) AS included, min(execution_date) AS first_date, max(execution_date) AS last_date, {D0} - max(execution_date) > 30 AS stale FROM trades GROUP BY source")
+def a34b(spark, sf_dir):
+    return reports.store_status(trades(spark, sf_dir).withColumn("included", F.col("planned")), ref(), 30)
+
+
+@query(
+    "a38b_ingest_summary",
+    f"""{WITH}, f AS (SELECT DISTINCT filing_id, chamber FROM trades WHERE source = 'congress'), g AS (SELECT filing_id, chamber, CASE WHEN filing_id % 4 = 1 THEN 'paper' ELSE 'electronic' END AS format FROM f),
+    t AS (SELECT filing_id, planned FROM trades WHERE source = 'congress' AND filing_id % 3 > 0), m AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0)
+    SELECT 'filings_without_trades' AS metric, chamber || '/' || format AS key, count(*) AS n FROM g WHERE filing_id % 3 = 0 GROUP BY ALL UNION ALL SELECT 'trades', CASE WHEN planned THEN 'included' ELSE 'excluded' END, count(*) FROM t GROUP BY ALL
+    UNION ALL SELECT 'members', CASE WHEN k % 2 = 0 THEN 'Senate' ELSE 'House of Representatives' END, count(*) FROM m GROUP BY ALL
+    UNION ALL SELECT 'members_with_committees', CASE WHEN k % 2 = 0 THEN 'Senate' ELSE 'House of Representatives' END, count(*) FILTER (k % 9 > 0) FROM m GROUP BY ALL""",
+)
+def a38b(spark, sf_dir):
+    t = trades(spark, sf_dir).where("source = 'congress'")
+    filings = t.select("filing_id", "chamber", F.when(F.col("filing_id") % 4 == 1, "paper").otherwise("electronic").alias("format")).distinct()
+    return reports.ingest_summary(filings, t.where("filing_id % 3 > 0").select("filing_id", F.col("planned").alias("included")), members(spark, sf_dir))
+
+
+@query(
+    "j15b_crossref_summary",
+    f"""{WITH}, v AS (SELECT ticker, source, sum(CASE code WHEN 'P' THEN value WHEN 'S' THEN -value ELSE 0 END) AS net FROM trades WHERE source = 'congress' OR ticker NOT LIKE '%A' GROUP BY ALL),
+    j AS (SELECT a.net AS l, b.net AS i FROM v a JOIN v b ON a.ticker = b.ticker AND a.source = 'congress' AND b.source = 'insider')
+    SELECT count(*) AS crossed, round(count(*) FILTER (l > 0 AND i > 0 OR l < 0 AND i < 0) / count(*), 4) AS agreement_rate, (SELECT count(DISTINCT ticker) FROM trades WHERE source = 'congress' AND ticker LIKE '%A') AS legislator_only FROM j""",
+)
+def j15b(spark, sf_dir):
+    t = trades(spark, sf_dir).select("ticker", "code", "value", "source")
+    legs, ins = t.where("source = 'congress'"), t.where("source = 'insider' and ticker not like '%A'")
+    return reports.crossref_summary(legs, ins, resolve.crossref(legs, ins))
+
+
+@query("w6b_top_issuers", f"{WITH} SELECT ticker, n, CAST(row_number() OVER (ORDER BY n DESC, ticker) AS INTEGER) AS place FROM (SELECT ticker, count(*) AS n FROM trades GROUP BY ticker) QUALIFY place <= 10")
+def w6b(spark, sf_dir):
+    return reports.top_k(trades(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("n")), 10, [F.desc("n"), F.col("ticker")])
