@@ -7,20 +7,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import regime_of
+from tradelens.operators.resolve import small
 
 
 def asof_forward(probes: DataFrame, prices: DataFrame, key: str, date: str) -> DataFrame:
-    """Adds found_date and close: the first close of the key on or after the probe's date.
+    """Adds found_date and found_close: the first close of the key on or after the probe's date.
 
-    Probes and closes are sorted together by date, descending, and the last close seen is carried on, so a
-    key costs one pass over its rows.
+    Probes and closes of a key and month are sorted together by date, descending, and the last close seen is carried
+    on; so a task holds a month of a key. Probes behind the last close of their month take the first one of
+    the next month that has any, from a list of a key's monthly first closes.
     """
     columns = probes.columns
+    month = F.trunc("_at", "month")
     rows = probes.select(F.col(key).alias("_key"), F.col(date).alias("_at"), F.struct(*columns).alias("_row"), F.lit(None).cast("double").alias("_close"), F.lit(1).alias("_kind"))
     ticks = prices.select(F.col(key).alias("_key"), F.col("date").alias("_at"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.col("close").alias("_close"), F.lit(0).alias("_kind"))
-    w = W.partitionBy("_key").orderBy(F.desc("_at"), "_kind").rowsBetween(W.unboundedPreceding, 0)
-    seen = F.last(F.when(F.col("_kind") == 0, F.struct(F.col("_at").alias("d"), F.col("_close").alias("c"))), ignorenulls=True).over(w)
-    return rows.union(ticks).withColumn("_seen", seen).where("_kind = 1").select("_row.*", F.col("_seen.d").alias("found_date"), F.col("_seen.c").alias("found_close"))
+    w = W.partitionBy("_key", "_month").orderBy(F.desc("_at"), "_kind").rowsBetween(W.unboundedPreceding, 0)
+    tick = F.struct(F.col("_at").alias("d"), F.col("_close").alias("c"))
+    seen = F.last(F.when(F.col("_kind") == 0, tick), ignorenulls=True).over(w)
+    met = rows.union(ticks).withColumn("_month", month).withColumn("_seen", seen).where("_kind = 1")
+    firsts = ticks.groupBy("_key", month.alias("_month")).agg(F.min(tick).alias("t")).groupBy("_key").agg(F.array_sort(F.collect_list("t")).alias("_firsts"))
+    later = F.get(F.filter("_firsts", lambda t: t["d"] >= F.col("_at")), F.lit(0))
+    out = met.join(small(firsts), "_key", "left").withColumn("_seen", F.coalesce("_seen", later))
+    return out.select("_row.*", F.col("_seen.d").alias("found_date"), F.col("_seen.c").alias("found_close"))
 
 
 def forward_returns(events: DataFrame, prices: DataFrame, days: list[int]) -> DataFrame:
@@ -40,8 +48,12 @@ def price_returns(prices: DataFrame, days: int) -> DataFrame:
 
 def trailing_regime(dates: DataFrame, benchmark: DataFrame, days: int = 61) -> DataFrame:
     """Regime of each reference_date from the benchmark's first and last close in the window before it."""
-    met = dates.join(benchmark, (benchmark.date >= F.date_sub("reference_date", days)) & (benchmark.date <= F.date_sub("reference_date", 1)), "left")
-    agg = met.groupBy("reference_date").agg(F.count("date").alias("n"), F.min_by("close", "date").alias("a"), F.max_by("close", "date").alias("b"))
+    months = F.sequence(F.trunc(F.date_sub("reference_date", days), "month"), F.trunc(F.date_sub("reference_date", 1), "month"), F.expr("interval 1 month"))
+    asked = dates.select("reference_date").distinct().withColumn("month", F.explode(months))
+    met = asked.join(benchmark.select("date", "close", F.trunc("date", "month").alias("month")), "month", "left")
+    inside = (F.col("date") >= F.date_sub("reference_date", days)) & (F.col("date") <= F.date_sub("reference_date", 1))
+    at, value = F.when(inside, F.col("date")), F.when(inside, F.col("close"))
+    agg = met.groupBy("reference_date").agg(F.count(at).alias("n"), F.min_by(value, at).alias("a"), F.max_by(value, at).alias("b"))
     change = F.when(F.col("n") >= 2, (F.col("b") - F.col("a")) / F.col("a"))
     return agg.select("reference_date", change.alias("change"), regime_of(change).alias("r")).select("reference_date", "change", "r.regime", "r.weight")
 
