@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_CACHE = 1_000_000
+WORD_CACHE = 250_000
 SHINGLE_WORDS = 5
 
 
@@ -23,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a folder of this process where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of this process; a cluster has to name one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tradelens-")
         spark.conf.set("spark.checkpoint.dir", path)
         atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
