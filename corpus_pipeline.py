@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before it kept. All but the last
 return the columns of ``documents``; the last returns the packed token pieces. Classifiers are trained on labelled
 rows of the corpus (bounded samples, see their modules), whether or not a stage has dropped those rows.
-Documents with a null id pass the filters that need an id to find them again.
+Every stage decides row by row, so rows without an id and rows that repeat an id are documents like others.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.common import cut, table
 from tradelens.llm.decontaminate import without_items
-from tradelens.llm.near_dedup import near_duplicates
+from tradelens.llm.near_dedup import without_near_duplicates
 from tradelens.llm.packing import packed_sequences
 from tradelens.llm.quality import fit_quality, quality_mask
 from tradelens.llm.queries import labelled
@@ -38,10 +38,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id, and of rows that repeat an id one."""
-    kept = near_duplicates(docs, SIMILARITY).where("kept or doc_id is null").select("doc_id").where("doc_id is not null").distinct()
-    named = docs.join(cut(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates: the one with the smallest id, and of equal rows one."""
+    return without_near_duplicates(docs, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
