@@ -17,8 +17,8 @@ FINER_BITS = 3
 
 
 def _key(uid):
-    """62 bits: 32 from the hash of the id, then 30 from the hash of the row."""
-    by_id = F.xxhash64(F.col("doc_id")).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    """62 bits: 32 from the hash of the id, then 30 from the hash of the row's place in the table; both from the place for rows without an id."""
+    by_id = F.xxhash64(F.coalesce(F.col("doc_id"), F.xxhash64(uid, F.lit(1)))).bitwiseAND(F.lit((1 << ID_BITS) - 1))
     by_row = F.xxhash64(uid).bitwiseAND(F.lit((1 << (KEY_BITS - ID_BITS)) - 1))
     return F.shiftleft(by_id, KEY_BITS - ID_BITS).bitwiseOR(by_row)
 
@@ -36,8 +36,9 @@ def extendible_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFr
     buckets keep short prefixes. Sizes are summed by a prefix a few bits longer than the mean shard needs;
     all shorter prefixes follow from that small table, and only buckets still too large go back to the rows.
 
-    Null and empty texts weigh nothing. Rows with the same id share a shard until it must split, then the hash
-    of the row decides. Null ids hash alike. An empty table gives an empty result.
+    Null and empty texts weigh nothing. Rows with the same id share a shard until it must split, then the row's place in
+    the table decides, which is written once and read by all rounds. Rows without an id are spread by their place. An
+    empty table gives an empty result.
     """
     uid = F.monotonically_increasing_id()
     rows = cut(
