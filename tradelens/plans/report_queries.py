@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tradelens.functions.config import V1
-from tradelens.operators import normalize, overlay, reports, resolve, signals
+from tradelens.operators import overlay, reports, resolve, signals
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, LEGISLATOR_SQL, insider_results, insiders, legislator_scores, legislators, positioning_sql
@@ -23,8 +23,7 @@ A2_SQL = (
 
 @query("a2_company_score_v1", f"{A2_SQL} SELECT subject_key, window_days, label, score, confidence, buy_count FROM a1")
 def a2(spark, sf_dir):
-    t = normalize.score_insider(normalize.normalize_insider(trades(spark, sf_dir).where("source = 'insider'")), ref(), V1)
-    return signals.insider_company_signal(t, ref(), V1).select("subject_key", "window_days", "label", "score", "confidence", "buy_count")
+    return signals.insider_company_signal(insiders(spark, sf_dir, V1), ref(), V1).select("subject_key", "window_days", "label", "score", "confidence", "buy_count")
 
 
 @query("n4_combine_candidate", f"{A1_SQL} SELECT subject_key, score FROM a1 WHERE window_days = 90 AND label <> 'insufficient' AND trade_count > 0 AND buy_count > 0")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tradelens.functions import numeric as N
+from tradelens.functions.config import V2
 from tradelens.operators import alerts, history, normalize, overlay, signals
 from tradelens.plans.catalog import query
 from tradelens.plans.expressions import _RANK_SQL, _ROLE_SQL, _SIZE, D0, WITH, ref
@@ -33,13 +34,13 @@ leg AS (SELECT record_id, ticker, subject_key, sector, chamber, actor_id AS memb
   FROM legn WHERE reason_code IS NULL)"""
 
 
-def insiders(spark, sf_dir):
+def insiders(spark, sf_dir, cfg=V2):
     t = trades(spark, sf_dir).where("source = 'insider'")
     flags = {"is_officer": F.lit(True), **{c: F.lit(False) for c in ("is_director", "is_ten_pct", "is_other")}}
     out = normalize.normalize_insider(t.withColumns(flags)).drop(*flags)
     # the adapter's SQL gives other codes no reason
     out = out.withColumn("reason_code", F.when(F.col("code").isin("P", "S"), F.col("reason_code")))
-    return normalize.score_insider(out, ref())
+    return normalize.score_insider(out, ref(), cfg)
 
 
 def legislators(spark, sf_dir):
