@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from tradelens.llm.ann import nearest
 from tradelens.llm.common import crc_mod, table
 from tradelens.llm.decontaminate import contained_items
 from tradelens.llm.html_extract import main_text
@@ -82,6 +83,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every hundredth id, by Euclidean distance; empty where no vector is valid."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
 OP7_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 s AS (
@@ -128,5 +135,6 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
+    "op11_ann": op11_ann,
 }
 ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL}
