@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.ann import nearest
 from tradelens.llm.common import crc_mod, table
+from tradelens.llm.conversations import damaged, repair_reports
 from tradelens.llm.decontaminate import contained_items
 from tradelens.llm.html_extract import main_text
 from tradelens.llm.lm_score import lm_scores
@@ -89,6 +90,11 @@ def op11_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage by crc32; conversations that lose all rows get zeros."""
+    return repair_reports(damaged(table(spark, sf_dir, "conversations")))
+
+
 OP7_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 s AS (
@@ -124,6 +130,32 @@ SELECT query_id, neighbor_id, distance, row_number() OVER (PARTITION BY query_id
 FROM p QUALIFY rank <= 10
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+d AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(k)), lambda i: CAST(ord(k[i + 1]) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 20 AS f FROM k, crc),
+l AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) AS copy FROM d WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS body FROM l),
+g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+h AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS r FROM g),
+n AS (SELECT conv_id, i, role, text, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN fault = 'truncated' THEN upper(r) ELSE r END AS symbol FROM h),
+c AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows FROM h GROUP BY 1),
+nxt(q, r, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(q, q1, edits, turns) AS (SELECT q, q, '', CAST([] AS VARCHAR[]) FROM (VALUES (0), (1), (2), (3)) v(q) UNION ALL SELECT ins.q, q2, edits || 'I', list_append(turns, CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END) FROM ins JOIN nxt ON nxt.q = q1 AND r <> 's' WHERE length(edits) < 3),
+symbols(symbol) AS (VALUES ('s'), ('u'), ('a'), ('o'), ('S'), ('U'), ('A'), ('O'), ('x')),
+ops AS (SELECT symbol, q, q AS q2, 4 AS cost, 'D' AS edit, '' AS due FROM symbols, (VALUES (0), (1), (2), (3)) v(q)
+  UNION ALL SELECT symbol, q, q2, CASE WHEN symbol = upper(symbol) THEN 3 ELSE 0 END, 'K', '' FROM symbols JOIN nxt ON r = lower(symbol)
+  UNION ALL SELECT symbol, q, q2, CASE WHEN symbol = upper(symbol) THEN 6 ELSE 3 END, 'R', CASE r WHEN 'u' THEN 'user' ELSE 'assistant' END FROM symbols JOIN nxt ON r <> 's' WHERE symbol <> 'x'),
+steps AS (SELECT symbol, ins.q, q2, 3 * length(edits) + cost AS cost, edits || edit AS edits, edit, due, turns FROM ins JOIN ops ON ops.q = ins.q1),
+w AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {'cost': CAST(0 AS BIGINT), 'audit': '', 'turns': CAST([] AS VARCHAR[])} AS best FROM conversations
+  UNION ALL SELECT w.conv_id, n.i, q2, min({'cost': best.cost + cost, 'audit': best.audit || edits, 'turns': list_concat(best.turns, steps.turns, CASE edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [due || ':' || text] END)})
+  FROM w JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.i = w.i + 1 JOIN steps ON steps.q = w.q AND steps.symbol = n.symbol GROUP BY 1, 2, 3),
+e AS (SELECT w.conv_id, min({'cost': best.cost + [0, 6, 3, 0][q + 1], 'audit': best.audit || ['', 'II', 'I', ''][q + 1], 'turns': list_concat(best.turns, [[], ['user:', 'assistant:'], ['assistant:'], []][q + 1])}) AS best
+  FROM w LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM w.conv_id WHERE i = coalesce(c.rows, 0) GROUP BY 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit, sha256(array_to_string(best.turns, chr(10))) AS repaired_sha256
+FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -136,5 +168,6 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
     "op11_ann": op11_ann,
+    "op12_conversation_repair": op12_conversation_repair,
 }
-ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL}
+ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL, "op12_conversation_repair": OP12_SQL}
