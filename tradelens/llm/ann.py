@@ -275,6 +275,7 @@ def _of_width(points: DataFrame, asked: DataFrame, width: int, k: int, target: f
     probes = cut(asked.select("query", "v").mapInArrow(_probe(index, reach), f"cell int, query long, v {kind}"), "probes")
     blocks = entries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     per_cell = probes.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).join(blocks, "cell")
+    per_cell = F.broadcast(per_cell)  # at most MOST_CENTROIDS ** 2 rows of three numbers
     block, chunk = F.pmod(F.xxhash64("point"), "blocks").cast("int"), F.pmod(F.xxhash64("query"), "chunks").cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = entries.join(per_cell, "cell").select("cell", block.alias("block"), every("chunks").alias("chunk"), "point", "v")
