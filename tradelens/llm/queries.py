@@ -14,6 +14,7 @@ from tradelens.llm.html_extract import main_text
 from tradelens.llm.lm_score import lm_scores
 from tradelens.llm.near_dedup import near_duplicates
 from tradelens.llm.packing import packed_sequences
+from tradelens.llm.phrases import collocations
 from tradelens.llm.quality import fit_quality, quality_scores
 from tradelens.llm.search import top_k
 from tradelens.llm.sharding import extendible_shards
@@ -95,6 +96,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_reports(damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of each language; languages without a phrase that occurs 30 times have none."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 s AS (
@@ -156,6 +162,24 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '%s', '%s'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, words, unnest(list_transform(range(1, len(ws) - words + 2), lambda i: array_to_string(ws[i:i + words - 1], ' '))) AS phrase FROM w, range(1, 5) v(words)),
+f AS MATERIALIZED (SELECT lang, words, phrase, count(*) AS c FROM g GROUP BY ALL),
+t AS MATERIALIZED (SELECT lang, phrase, c FROM f WHERE c >= 30),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY 1),
+c AS (SELECT lang, words, phrase, c AS a, string_split(phrase, ' ') AS s FROM f WHERE c >= 30 AND words > 1),
+m AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(s[1:k], ' ') AS first, array_to_string(s[k + 1:], ' ') AS rest FROM c JOIN range(1, 4) v(k) ON k < words),
+k AS (SELECT m.lang, m.phrase, a, k, l.c AS l, r.c AS r, CAST(2000000 * CAST(a AS HUGEINT) // (CAST(l.c AS HUGEINT) + r.c) AS BIGINT) AS score
+  FROM m JOIN t l ON l.lang = m.lang AND l.phrase = first JOIN t r ON r.lang = m.lang AND r.phrase = rest),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, a, unnest(list_transform(range(1, words - size + 2), lambda i: array_to_string(s[i:i + size - 1], ' '))) AS phrase FROM c JOIN range(2, 4) v(size) ON size < words),
+h AS (SELECT lang, phrase, max(a) AS most FROM i GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM b JOIN n USING (lang) LEFT JOIN h USING (lang, phrase) WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT) QUALIFY rank <= 2000
+""" % (UPPER, LOWER)
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -169,5 +193,6 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_ann": op11_ann,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_collocations": op13_collocations,
 }
-ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL, "op12_conversation_repair": OP12_SQL}
+ORACLES = {"op5_decontamination": OP5_SQL, "op7_near_dedup": OP7_SQL, "op8_top_k": OP8_SQL, "op12_conversation_repair": OP12_SQL, "op13_collocations": OP13_SQL}
