@@ -14,6 +14,8 @@ from tradelens.llm.tokens import crc32_of, encoder, tokenizer_path
 CAPACITY = 4096
 #: Pieces dealt to one partition, about.
 DEAL = 32_768
+#: Exchanges without gain before a gap is left, and how many times ``DEAL`` a partition may hold after them.
+TRIES, MERGED = 4, 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -109,9 +111,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Adds sequence_id and offset, and the round, bins and certified lower bound of the partition that placed
     the piece. Pieces are dealt by hash, equal rows by their place in the table, to partitions of about ``DEAL``; each
     runs best-fit decreasing and gets a lower bound from dual feasible functions. A partition that needs no more
-    sequences than its bound is certified and settled. Only partitions with a gap exchange documents: theirs are dealt
-    anew among as many partitions and packed again, as long as that lowers their number of sequences; when
-    it does not, the packing before is kept, and bins - bound tells the gap that is left. Pieces of the full
+    sequences than its bound is certified and settled. Partitions with a gap exchange documents: theirs are dealt anew among
+    half as many partitions (of ``MERGED`` times ``DEAL`` at most) and packed again; a single one is joined by the certified partition that has the most
+    room. A deal that lowers the number of sequences stays and those it certifies are settled; after ``TRIES`` deals in
+    turn that do not, the packing before is kept, and bins - bound tells the gap that is left. Pieces of the full
     capacity are sequences of their own. Ties in length are broken by ids, so a result does not depend on task
     order. An empty table gives an empty result; null ids and repeated rows are packed like others.
     """
@@ -133,23 +136,28 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         own = (F.lit(turn) * F.lit(1 << 48) + F.col("part") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id")
         return packed.select(*names, F.lit(turn).alias("round"), own, "offset", "bins", "bound")
 
-    def state(packed: DataFrame):
-        """Partitions, their sequences and pieces, of those with a gap."""
-        parts = packed.where("bins > bound").groupBy("part").agg(F.max("bins").alias("bins"), F.count("*").alias("pieces"))
-        return parts.agg(F.count("*").alias("parts"), F.sum("bins").alias("bins"), F.sum("pieces").alias("pieces")).first()
+    def parts_of(packed: DataFrame) -> DataFrame:
+        return packed.groupBy("part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound"), F.count("*").alias("pieces"), F.sum("length").alias("tokens"))
 
     count = rest.count()
     if not count:
         return whole
-    turn, out = 1, whole
-    now = packed(rest, -(-count // DEAL), turn)
-    gap = state(now)
-    while gap.parts > 1:
-        again = packed(now.where("bins > bound"), -(-gap.pieces // DEAL), turn + 1)
-        if again.groupBy("part").agg(F.max("bins").alias("bins")).agg(F.sum("bins")).first()[0] >= gap.bins:
+    deal, size, out = 1, DEAL, whole
+    now, turn = packed(rest, -(-count // size), deal), deal
+    while deal < turn + TRIES:
+        parts = cut(parts_of(now), "parts")
+        chosen = parts.where("bins > bound")
+        gaps = chosen.count()
+        if gaps == 1:
+            chosen = chosen.union(parts.where("bins = bound").orderBy(F.desc(F.col("bins") * capacity - F.col("tokens")), "part").limit(1))
+        total = chosen.agg(F.count("*").alias("parts"), F.sum("bins").alias("bins"), F.sum("pieces").alias("pieces")).first()
+        if not gaps or total.parts == 1:
             break
-        out = out.unionByName(placed(now.where("bins = bound"), turn))
-        now, turn, gap = again, turn + 1, state(again)
+        deal, size = deal + 1, min(2 * size, MERGED * DEAL)
+        again = packed(now.join(chosen, "part", "left_semi"), max(-(-total.pieces // size), 1), deal)
+        if parts_of(again).agg(F.sum("bins")).first()[0] < total.bins:
+            out = out.unionByName(placed(now.join(chosen, "part", "left_anti"), turn))
+            now, turn = again, deal
     return out.unionByName(placed(now, turn))
 
 
