@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradelens.snapshots import SnapshotTable
+
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of this process; a cluster has to name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tradelens-")
         atexit.register(shutil.rmtree, root.removeprefix("file://"), ignore_errors=True)
@@ -31,32 +34,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Rows of both tables, the last per key by ``order``; of equal ones the new row."""
-    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    w = W.partitionBy(*keys).orderBy(F.desc("_new"), F.desc(order))
-    return both.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k", "_new")
-
-
 def upsert(new: DataFrame, path: str, keys: list[str], order: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Upsert into the parquet table at ``path``: merged in the staging folder, then written over the table.
+    """Upsert into the snapshot table at ``path`` (see ``SnapshotTable``): readers see the table before or after it, never between.
 
-    With ``partition_by``, only the partitions that ``new`` touches are merged and overwritten; keys must not move between partitions.
+    With ``partition_by``, only partitions that hold a partition or a key of ``new`` are written anew.
     """
-    spark = new.sparkSession
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = None
-    if old is not None and partition_by:
-        old = old.join(new.select(*partition_by).distinct(), partition_by, "left_semi")
-    first = new.withColumn("_k", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))).where("_k = 1").drop("_k")
-    merged = staged(first if old is None else upserted(old, first, keys, order), "merge")
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.parquet(path)
+    return SnapshotTable(new.sparkSession, path, partition_by).upsert(new, keys, order)
 
 
 def replaced_filing_rows(old: DataFrame, new: DataFrame, key: str = "filing_id") -> DataFrame:
