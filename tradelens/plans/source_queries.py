@@ -148,6 +148,21 @@ def t2(spark, sf_dir):
     return streams.changed_only(e, known).select("event_id")
 
 
+@query("t2b_stream_changed_only", "SELECT event_id FROM events WHERE NOT (event_id % 3 = 0 AND event_id % 2 = 0)")
+def t2b(spark, sf_dir):
+    """The same over a file stream that is started three times; every event lands twice, in different folders."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("event_id").alias("filing_id"), F.col("props").alias("content"), F.col("ts").cast("timestamp").alias("ts"))
+    known = e.where("event_id % 3 = 0").select("filing_id", F.sha2(F.when(F.col("filing_id") % 2 == 0, F.col("content")).otherwise("old").cast("binary"), 256).alias("hash"))
+    known = sinks.staged(known, "ledger")
+    landed, out, checkpoint = (sinks.staging_path(spark, name) for name in ("changed", "fresh", "checkpoint"))
+    for k in range(3):
+        e.where(f"event_id % 3 in ({k}, {(k + 1) % 3})").coalesce(2).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(e.schema).parquet(landed)
+        fresh = streams.stream_changed_only(stream, "ts", known, "60 days").select("event_id")
+        fresh.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+    return spark.read.schema("event_id long").parquet(out)
+
+
 @query("t3_rescore_touched", f"{A1_SQL} SELECT subject_key, window_days, label, score FROM a1 WHERE subject_key IN (SELECT subject_key FROM ins WHERE filing_id % 400 = 0)")
 def t3(spark, sf_dir):
     t = insiders(spark, sf_dir)
@@ -155,26 +170,42 @@ def t3(spark, sf_dir):
     return scored.select("subject_key", "window_days", "label", "score")
 
 
+@query("t3b_rescore_stream", f"{A1_SQL} SELECT subject_key, window_days, label, score FROM a1 WHERE subject_key IN (SELECT subject_key FROM ins WHERE filing_id % 400 = 0)")
+def t3b(spark, sf_dir):
+    """The same as a stream of three batches, each over the history up to it."""
+    t = sinks.staged(insiders(spark, sf_dir), "trades")
+    landed, history, scores, checkpoint = (sinks.staging_path(spark, name) for name in ("new", "history", "scores", "checkpoint"))
+    streams.start_history(t.where("filing_id % 400 <> 0"), history)
+    for k in range(3):
+        t.where(f"filing_id % 400 = 0 and pmod(filing_id div 400, 3) = {k}").coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    streams.rescore_stream(stream, history, scores, lambda df: signals.insider_company_signal(df, ref()), checkpoint).awaitTermination()
+    return streams.latest_scores(spark, scores).select("subject_key", "window_days", "label", "score")
+
+
 @query(
     "t4_stream_cluster_buys",
     """WITH e AS (SELECT ts, 'T' || user_id % 20 AS ticker, user_id AS actor_id, value FROM events), w AS (SELECT unnest(generate_series(date_trunc('day', ts) - INTERVAL 6 DAY, date_trunc('day', ts), INTERVAL 1 DAY)) AS window_start, * FROM e)
     SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, ticker, CAST(count(DISTINCT actor_id) AS INTEGER) AS actors, count(*) AS trades, round(sum(value), 2) AS total_value FROM w GROUP BY ALL HAVING count(DISTINCT actor_id) >= 2""",
 )
 def t4(spark, sf_dir):
-    """The events table as a file stream, run to its end in complete mode into a staged table."""
-    schema = table(spark, sf_dir, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(_stream_folder(spark, sf_dir))
-    buys = raw.select(F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("T"), (F.col("user_id") % 20).cast("string")).alias("ticker"), F.col("user_id").alias("actor_id"), "value")
-    windows = streams.cluster_buy_windows(buys, "ts", 7, 1, "60 days")
-    batches: list[int] = []
-    out, checkpoint = sinks.staging_path(spark, "windows"), sinks.staging_path(spark, "checkpoint")
-
-    def keep(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{out}/{batch_id}")
-        batches.append(batch_id)
-
-    windows.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    done = spark.read.parquet(f"{out}/{batches[-1]}")
+    """The events table as a file stream in append mode; a last file without trades moves the watermark past all windows."""
+    source = table(spark, sf_dir, "events")
+    landed, out, checkpoint = _stream_folder(spark, sf_dir), sinks.staging_path(spark, "windows"), sinks.staging_path(spark, "checkpoint")
+    read = spark.readStream.schema(source.schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 2)
+    ticker = F.when(F.col("user_id").isNotNull(), F.concat(F.lit("T"), (F.col("user_id") % 20).cast("string")))
+
+    def run():
+        raw = read.parquet(landed)
+        buys = raw.select(F.col("ts").cast("timestamp").alias("ts"), ticker.alias("ticker"), F.col("user_id").alias("actor_id"), "value")
+        windows = streams.cluster_buy_windows(buys, "ts", 7, 1, "60 days")
+        windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+
+    run()
+    last = source.agg(F.max("ts").alias("ts")).withColumn("ts", F.expr("ts + interval 90 days").cast(source.schema["ts"].dataType))
+    last.select(*[F.col(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema]).write.mode("append").parquet(landed)
+    run()
+    done = spark.read.schema("window_start timestamp, window_end timestamp, ticker string, actors int, trades long, total_value double").parquet(out)
     return done.withColumns({"total_value": F.round("total_value", 2), **{c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}})
 
 

@@ -431,7 +431,8 @@ def t5(spark, sf_dir):
     filings = t.select("filing_id", F.col("ticker").alias("issuer"), (F.col("actor_id") % 20).cast("string").alias("owner"), F.lit("all").alias("period"), (F.col("filing_id") % 4 == 0).alias("is_amendment")).distinct().join(dates, "filing_id")
     filings.write.parquet(landed)
     stream = spark.readStream.schema(filings.schema).option("maxFilesPerTrigger", 1).parquet(landed)
-    streams.stream_supersede(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    with streams.rocksdb(spark):
+        streams.stream_supersede(stream, "3650 days").writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
     return streams.standing(spark.read.parquet(out)).select("issuer", F.col("owner").cast("long").alias("owner"), "filing_id")
 
 
