@@ -121,16 +121,15 @@ class SupersedeProcessor(StatefulProcessor):
                 self.live.updateValue((own[1],), (day, until))
                 self.handle.registerTimer(until)
                 out.append((own[1], 1))
-        yield pd.DataFrame([(*key, i, c) for i, c in out], columns=["issuer", "owner", "period", "filing_id", "change"])
+        if out:
+            yield pd.DataFrame([(*key, i, c) for i, c in out], columns=["issuer", "owner", "period", "filing_id", "change"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
-
         now = expiredTimerInfo.getExpiryTimeInMs()
         for (filing_id,), (_, until) in list(self.live.iterator()):
             if until <= now:
                 self.live.removeKey((filing_id,))
-        yield pd.DataFrame({"issuer": [], "owner": [], "period": [], "filing_id": [], "change": []})
+        return iter(())
 
     def close(self) -> None:
         pass
