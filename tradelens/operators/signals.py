@@ -67,6 +67,12 @@ def winsorize(scored: DataFrame, keys: list[str], percentile: float = 0.95, colu
     return out.withColumn(column, F.when(F.abs(column) > F.col("threshold"), F.signum(column) * F.col("threshold")).otherwise(F.col(column))).drop("threshold")
 
 
+def cap_sweep(scored: DataFrame, caps: list[float], cfg: Config = V2) -> DataFrame:
+    """``positioning`` of all trades under each member cap: cap and its fields. Trades are aggregated to members once; only those are copied per cap."""
+    members = winsorize(scored, [], cfg.winsor).groupBy("member_id").agg(F.sum("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
+    return _positioning_of_members(members.withColumn("cap", F.explode(F.array(*map(F.lit, caps)))), ["cap"], F.col("cap"))
+
+
 def positioning(scored: DataFrame, keys: list[str], cfg: Config = V2) -> DataFrame:
     """Member-capped aggregate per key of scored legislator trades (member_id, final, stale, record_id): the fields of the positioning table."""
     clipped = winsorize(scored, keys, cfg.winsor)

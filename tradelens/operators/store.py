@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,22 +177,37 @@ def normalize_legislator_v1(txns: DataFrame, names: DataFrame, ingest_date: Colu
     )
 
 
+SLICE_WINDOW = 90
+
+
 def trade_level_signals(legislators: DataFrame, insiders: DataFrame, cfg: Config = V2) -> DataFrame:
-    """Signals of single trades: source, subject_key, score, label, confidence.
+    """Signals of single trades and filings: source, record_id, subject_key, score, label, confidence, as_of_date, input_count, included_count.
 
     Every included legislator trade (subject_key, action, low, high, owner_type, execution_date, resolution_confidence, included, ticker) is scored at its
-    own date, in dollars, and labelled by its sign. Insider trades, scored at their own dates too, make one result per subject.
+    own date, in dollars, and labelled by its sign. An insider filing (filing_id, subject_key) with included trades makes one result: its trades are scored
+    at their own dates and aggregated with the window of ``SLICE_WINDOW`` days, whatever their dates. Its record_id is the filing's, its as_of_date that of
+    its last included trade by record_id; input_count counts all of its trades, included_count the buys and sells of the aggregate.
     """
     score = N.legislator_txn_score(F.col("action"), F.col("low"), F.col("high"), F.col("owner_type"), F.col("execution_date"), F.lit(None).cast("date"), F.col("execution_date"), F.coalesce("resolution_confidence", F.lit(0.0)), F.lit(1.0), cfg)
     final = F.col("s.final")
     label = F.when(final > 0, "bullish").when(final < 0, "bearish").otherwise("neutral")
     confidence = F.greatest(F.coalesce("resolution_confidence", F.lit(0.0)), F.when(F.col("ticker").isNotNull(), 0.95).otherwise(0.0))
     single = legislators.where("included and execution_date is not null").withColumn("s", score)
-    single = single.select(F.lit("congress").alias("source"), "record_id", "subject_key", final.alias("score"), label.alias("label"), confidence.alias("confidence"))
-    scored = normalize.score_insider(insiders.where("included"), F.col("execution_date"), cfg)
-    newest = scored.agg(F.max("execution_date").alias("d")).first().d
-    company = signals.insider_company_signal(scored, F.lit(newest), cfg).where(F.col("window_days") == max(cfg.windows))
-    return single.unionByName(company.select(F.lit("insider").alias("source"), F.lit(None).cast("string").alias("record_id"), "subject_key", F.col("score").cast("double").alias("score"), "label", F.col("confidence").cast("double").alias("confidence")))
+    one = F.lit(1).cast("long")
+    single = single.select(F.lit("congress").alias("source"), "record_id", "subject_key", final.alias("score"), label.alias("label"), confidence.alias("confidence"), F.col("execution_date").alias("as_of_date"), one.alias("input_count"), one.alias("included_count"))
+
+    filing = F.to_json(F.struct("filing_id", "subject_key"))
+    counts = insiders.groupBy(filing.alias("filing")).agg(
+        F.count("*").alias("input_count"), F.max_by(F.when(F.col("included"), F.col("execution_date")), F.when(F.col("included"), F.col("record_id"))).alias("as_of_date"),
+        F.first("filing_id").cast("string").alias("record_id"), F.first("subject_key").alias("own_key"),
+    )
+    scored = normalize.score_insider(insiders.where("included"), F.col("execution_date"), cfg).withColumn("subject_key", filing)
+    company = signals.insider_company_signal(scored, F.col("execution_date"), replace(cfg, windows=(SLICE_WINDOW,)))
+    per_filing = company.join(counts, company.subject_key == counts.filing).select(
+        F.lit("insider").alias("source"), "record_id", F.col("own_key").alias("subject_key"), F.col("score").cast("double").alias("score"), "label", F.col("confidence").cast("double").alias("confidence"),
+        "as_of_date", "input_count", (F.col("buy_count") + F.col("sell_count")).alias("included_count"),
+    )
+    return single.unionByName(per_filing)
 
 
 def cross_source(combined: DataFrame) -> DataFrame:

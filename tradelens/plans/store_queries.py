@@ -10,7 +10,7 @@ from tradelens.functions import numeric as N
 from tradelens.operators import reports, resolve, store
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
-from tradelens.plans.signal_queries import INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, matched, sides
+from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, matched, sides
 from tradelens.plans.source_queries import file_of, tag
 from tradelens.plans.trades import table, trades
 from tradelens.sources import forms, rosters
@@ -322,6 +322,24 @@ def a37(spark, sf_dir):
     return out.where("source = 'congress'").select("record_id", (F.round("score", 4) + 0.0).alias("score"), "label")
 
 
+_FILING_SQL = (
+    INSIDER_SQL.replace("ins AS (SELECT", "ins0 AS (SELECT").replace(f" * exp(-0.693 * greatest(0, date_diff('day', execution_date, {D0})) / 45.0)", "")
+    + ", ins AS (SELECT * REPLACE (concat_ws('|', filing_id, subject_key) AS subject_key) FROM ins0 WHERE included)"
+    + A1_SQL[len(INSIDER_SQL) :].replace("unnest([30, 90, 180])", "unnest([90])").replace(f" AND execution_date >= {D0} - CAST(window_days AS INTEGER)", "")
+)
+
+
+@query(
+    "a37b_filing_signal",
+    f"""{_FILING_SQL}, c AS (SELECT concat_ws('|', filing_id, subject_key) AS k, CAST(filing_id AS VARCHAR) AS record_id, subject_key, count(*) AS input_count, arg_max(execution_date, record_id) FILTER (included) AS as_of_date FROM ins0 GROUP BY ALL)
+    SELECT record_id, c.subject_key, score, label, confidence, as_of_date, input_count, buy_count AS buys FROM a1 JOIN c ON k = a1.subject_key""",
+)
+def a37b(spark, sf_dir):
+    """The insider half; sells weigh nothing in the current generation, so buys are all that is included."""
+    out = store.trade_level_signals(legislators(spark, sf_dir).withColumn("resolution_confidence", F.lit(0.95)), insiders(spark, sf_dir)).where("source = 'insider'")
+    return out.select("record_id", "subject_key", "score", "label", "confidence", "as_of_date", "input_count", F.col("included_count").alias("buys"))
+
+
 @query(
     "a26_production_confidence",
     f"""{OVERLAY_SQL}, s AS (SELECT count(*) FILTER (il IS NOT NULL) AS overlap, count(*) FILTER (eligible) AS combined, count(*) FILTER (NOT eligible) AS blocked, count(*) AS congress_results,

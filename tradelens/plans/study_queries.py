@@ -122,10 +122,7 @@ _GRID = [0.03, 0.06, 0.09, 0.12, 0.15]
     SELECT round(cap, 2) AS cap, round(breadth, 6) AS breadth, round(volume_net, 2) AS volume_net, members_capped FROM pos""",
 )
 def a29(spark, sf_dir):
-    scored = legislator_scores(spark, sf_dir).withColumn("cap", F.explode(F.array(*map(F.lit, _GRID))))
-    clipped = signals.winsorize(scored, ["cap"])
-    members = clipped.groupBy("cap", "member_id").agg(F.sum("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
-    p = signals._positioning_of_members(members, ["cap"], F.col("cap"))
+    p = signals.cap_sweep(legislator_scores(spark, sf_dir), _GRID)
     return p.select("cap", F.round("breadth", 6).alias("breadth"), F.round("volume_net", 2).alias("volume_net"), "members_capped")
 
 

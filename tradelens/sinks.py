@@ -9,7 +9,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradelens.snapshots import SnapshotTable
@@ -108,6 +107,35 @@ def money(value: Column) -> Column:
     return F.concat(sign, F.lit("$"), scaled)
 
 
+def numbered(df: DataFrame, order: list, column: str = "position") -> DataFrame:
+    """``df`` with each row's place (from 1) by ``order``, ties in any order, without sorting all rows in one task.
+
+    Rows are dealt by ranges of the order and sorted there; a row's place is its number in its range after the rows of the ranges before,
+    of which the driver gets one count for each range.
+    """
+    index = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = staged(ranges.withColumns({"_range": F.spark_partition_id(), "_index": index}), "numbered")
+    before, starts = 0, []
+    for r in sorted(rows.groupBy("_range").count().collect()):
+        starts.append((r[0], before))
+        before += r[1]
+    offsets = df.sparkSession.createDataFrame(starts, "_range int, _before long")
+    return rows.join(F.broadcast(offsets), "_range").withColumn(column, F.col("_before") + F.col("_index") + 1).drop("_range", "_index", "_before")
+
+
 def render_report(df: DataFrame, line: Column, section: str, order: list) -> DataFrame:
     """A table of report lines (section, position, line), ordered within the section."""
-    return df.withColumn("line", line).withColumn("position", F.row_number().over(W.orderBy(*order))).select(F.lit(section).alias("section"), "position", "line")
+    return numbered(df.withColumn("line", line), order).select(F.lit(section).alias("section"), F.col("position").cast("int").alias("position"), "line")
+
+
+def write_markdown(lines: DataFrame, folder: str, titles: dict[str, str]) -> None:
+    """Report lines (section, position, line) as markdown text below ``folder``: each section of ``titles`` with its title and a bullet per line, in that order.
+
+    Files are parts of the text in the order of their names. Sections without lines have their title only.
+    """
+    spark = lines.sparkSession
+    places = spark.createDataFrame([(s, k, t) for k, (s, t) in enumerate(titles.items())], "section string, place int, title string")
+    heads = places.select("place", F.lit(0).alias("position"), F.concat(F.lit("## "), "title").alias("value"))
+    bullets = lines.join(F.broadcast(places), "section").select("place", "position", F.concat(F.lit("- "), F.regexp_replace("line", r"\s*\n\s*", " ")).alias("value"))
+    heads.unionByName(bullets).repartitionByRange("place", "position").sortWithinPartitions("place", "position").select("value").write.mode("overwrite").text(folder)
