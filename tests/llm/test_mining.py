@@ -4,12 +4,14 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tradelens.llm import ann, conversations, phrases
+from tradelens.llm import ann, conversations, html_tree, phrases, sharding
 
 VECTORS = "vec_id long, embedding array<double>, point long, cell int, v string"
 
@@ -224,7 +226,7 @@ def test_colliding_fingerprints_never_change_counts(spark, monkeypatch):
     docs = [("en", talk(rng, 300)), ("de", talk(rng, 300))]
     batch = pa.record_batch([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs])], names=["lang", "text"])
     got = Counter()
-    for b in phrases._written(2, Everything)([batch]):
+    for b in phrases._gathered(1)(phrases._written(2, Everything, 5)([batch])):
         for lang, n, p, c in zip(*[b.column(k).to_pylist() for k in ("lang", "words", "phrase", "count")], strict=True):
             got[lang, n, p] += c
     want = Counter()
@@ -247,3 +249,48 @@ def test_sections_of_a_text_without_breaks_repeat_words(monkeypatch):
         grams.update(tuple(words[i : i + n]) for n in range(1, 5) for i in range(len(words) - n + 1) if i + n > part[2])
     words = text.split()
     assert grams == Counter(tuple(words[i : i + n]) for n in range(1, 5) for i in range(len(words) - n + 1))
+
+
+def brute_shards(rows, limit):
+    """Split only buckets above the limit, bit by bit."""
+    out, pending = {}, [("", rows)]
+    while pending:
+        prefix, own = pending.pop()
+        if sum(n for _, n, _ in own) <= limit or len({k for _, _, k in own}) == 1:
+            out |= {row: prefix for row, _, _ in own}
+            continue
+        bit = sharding.KEY_BITS - 1 - len(prefix)
+        for b in "01":
+            if half := [r for r in own if r[2] >> bit & 1 == int(b)]:
+                pending.append((prefix + b, half))
+    return out
+
+
+@pytest.mark.parametrize("limit", [100, 3000, 10**6])
+def test_only_oversized_buckets_split(spark, limit):
+    rng = random.Random(limit)
+    rows = [(k, rng.randrange(0, 90), rng.getrandbits(sharding.KEY_BITS) if k % 5 else 7 << 50 | k % 3) for k in range(400)]
+    df = spark.createDataFrame([(k, n, k, key) for k, n, key in rows], f"doc_id long, n_bytes long, {sharding.ROW} long, key long")
+    got = {r.doc_id: r.shard for r in sharding._assigned(df, limit).collect()}
+    assert got == {k: f"{len(p)}:{p}" for k, p in brute_shards(rows, limit).items()}
+
+
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    rows = [(1, "a" * 30), (1, "b" * 30), (None, "c" * 30), (2, "d" * 30), (2, "d" * 30), (3, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id long, text string, shard string")
+    assignment = sharding.write_shards(df, str(tmp_path / "shards"), 40)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    key = lambda r: tuple(map(str, r))
+    assert sorted([(r.doc_id, r.text, r.doc_shard) for r in back.collect()], key=key) == sorted([(i, t, "own") for i, t in rows], key=key)
+    sizes = {r.shard: r.shard_bytes for r in assignment.collect()}
+    assert max(sizes.values()) <= 40 and {r.shard: r.n for r in back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).fillna(0).collect()} == sizes
+    sharding.write_shards(df.limit(0), str(tmp_path / "none"), 40)
+    assert spark.read.schema(back.schema).parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_unclosed_tags_are_read_in_time_that_grows_with_the_page():
+    n = 30_000
+    for page in ("<b>" * n + "<p>x" * n, "<b>" * n + "</i>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<li><p>" + "<option>" * n + "<p>" * n):
+        begun = time.process_time()
+        html_tree.parse(page)
+        assert time.process_time() - begun < 10

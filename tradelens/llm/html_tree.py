@@ -25,13 +25,16 @@ _NAMED = frozenset(["class", "id", "role", "itemprop", "aria-label"])
 
 
 class Node:
-    """An element. ``items``: its texts (str) and child elements in order."""
+    """An element. ``items``: its texts (str) and child elements in order. ``outer``: the nearest element that is not inline, ``wall`` and ``table``: depth of the nearest of those, itself included."""
 
-    __slots__ = ("tag", "tokens", "parent", "items", "depth")
+    __slots__ = ("tag", "tokens", "parent", "items", "depth", "outer", "wall", "table")
 
     def __init__(self, tag: str, tokens: list[str], parent: Node | None):
         self.tag, self.tokens, self.parent, self.items = tag, tokens, parent, []
         self.depth = parent.depth + 1 if parent else 0
+        self.outer = parent.outer if parent and tag in INLINE else self
+        self.wall = self.depth if tag in _WALL else parent.wall if parent else -1
+        self.table = self.depth if tag == "table" else parent.table if parent else -1
 
 
 def _tokens(attributes: str) -> list[str]:
@@ -43,8 +46,21 @@ def _tokens(attributes: str) -> list[str]:
 
 
 def parse(html: str | None) -> Node:
-    """The page's tree. Unclosed and stray tags are tolerated, a slash closes nothing; comments, scripts and the like leave no text."""
+    """The page's tree. Unclosed and stray tags are tolerated, a slash closes nothing; comments, scripts and the like leave no text.
+
+    Each element is opened and left once, and no tag walks over what stays open, so time grows with the page.
+    """
     root = at = Node("#page", [], None)
+    opened: dict[str, list[Node]] = {}
+
+    def leave(node: Node) -> Node:
+        """Close all that is open in ``node`` and itself."""
+        inner = at
+        while inner is not node.parent:
+            opened[inner.tag].pop()
+            inner = inner.parent
+        return node.parent
+
     pos, text, n = 0, html or "", len(html or "")
     while pos < n:
         m = _TAG.search(text, pos)
@@ -58,21 +74,15 @@ def parse(html: str | None) -> Node:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            node = at
-            while node is not None and node.tag != tag:
-                if node.tag in _WALL and tag in INLINE or node.tag == "table" and tag in ("p", "div", "li"):
-                    node = None
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                at = node.parent
+            node = opened[tag][-1] if opened.get(tag) else None
+            if node and not (tag in INLINE and at.wall > node.depth or tag in ("p", "div", "li") and at.table > node.depth):
+                at = leave(node)
             continue
         if tag not in INLINE:
-            node = at
-            while node.parent is not None and (node.tag in INLINE or tag in CLOSED_BY.get(node.tag, ())):
-                if tag in CLOSED_BY.get(node.tag, ()):
-                    at = node.parent
-                node = node.parent
+            node = at.outer
+            while tag in CLOSED_BY.get(node.tag, ()):
+                at = leave(node)
+                node = at.outer
         child = Node(tag, _tokens(m.group(3) or ""), at)
         at.items.append(child)
         if tag in RAW:
@@ -82,5 +92,6 @@ def parse(html: str | None) -> Node:
                 child.items.append(unescape(text[pos:stop]))
             pos = end.end() if end else n
         elif tag not in VOID:
+            opened.setdefault(tag, []).append(child)
             at = child
     return root

@@ -14,6 +14,8 @@ LIMIT_BYTES = 8 << 20
 ID_BITS, KEY_BITS = 32, 62
 #: Bits by which the first size table is finer than the mean shard.
 FINER_BITS = 3
+#: Column of a row's place in the table.
+ROW = "_row"
 
 
 def _key(uid):
@@ -40,11 +42,17 @@ def extendible_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFr
     the table decides, which is written once and read by all rounds. Rows without an id are spread by their place. An
     empty table gives an empty result.
     """
-    uid = F.monotonically_increasing_id()
-    rows = cut(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"), uid.alias("uid")).withColumn("key", _key(F.col("uid"))).drop("uid"),
-        "keys",
-    )
+    return _assigned(_keyed(docs.withColumn(ROW, F.monotonically_increasing_id())), limit_bytes).drop(ROW)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Id, size, place in the table and key of each row, written once so that all rounds read the same places."""
+    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
+    return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("n_bytes"), ROW).withColumn("key", _key(F.col(ROW))), "keys")
+
+
+def _assigned(rows: DataFrame, limit_bytes: int) -> DataFrame:
+    """Shards of keyed rows; see ``extendible_shards``."""
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     fine_depth = min(KEY_BITS, max(1, total // limit_bytes).bit_length() + FINER_BITS)
     sums = (F.sum("bytes").alias("bytes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -59,7 +67,7 @@ def extendible_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFr
     above = levels.select((F.col("depth") + 1).alias("depth"), F.col("p").alias("up"), F.col("leaf").alias("done"))
     leaves = levels.where("leaf").withColumn("up", F.expr("shiftright(p, 1)")).join(above, ["depth", "up"], "left").where("depth = 0 or not done").select("depth", "p", F.col("bytes").alias("shard_bytes"))
     known = spread.select("prefix", "depth", "p").join(leaves, ["depth", "p"])
-    found = [rows.withColumn("prefix", _prefix(fine_depth)).join(known, "prefix").select("doc_id", "n_bytes", "depth", F.col("p").alias("prefix"), "shard_bytes")]
+    found = [rows.withColumn("prefix", _prefix(fine_depth)).join(known, "prefix").select("doc_id", "n_bytes", ROW, "depth", F.col("p").alias("prefix"), "shard_bytes")]
 
     over = levels.where((F.col("depth") == fine_depth) & ~F.col("leaf")).select(F.col("p").alias("prefix"))
     pending, depth = rows, fine_depth
@@ -68,15 +76,21 @@ def extendible_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFr
         depth += 1
         level = cut(sized(pending, depth).withColumn("leaf", leaf | F.lit(depth == KEY_BITS)), f"level{depth}")
         done = level.where("leaf").select("prefix", F.col("bytes").alias("shard_bytes"))
-        found.append(pending.withColumn("prefix", _prefix(depth)).join(done, "prefix").select("doc_id", "n_bytes", F.lit(depth).alias("depth"), "prefix", "shard_bytes"))
+        found.append(pending.withColumn("prefix", _prefix(depth)).join(done, "prefix").select("doc_id", "n_bytes", ROW, F.lit(depth).alias("depth"), "prefix", "shard_bytes"))
         over = level.where("not leaf").select("prefix")
     out = reduce(DataFrame.unionByName, found)
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr("lpad(bin(prefix), depth, '0')"))
-    return out.select("doc_id", "n_bytes", F.concat_ws(":", F.col("depth").cast("string"), bits).alias("shard"), "depth", "shard_bytes", (F.col("shard_bytes") > limit_bytes).alias("oversized"))
+    return out.select(ROW, "doc_id", "n_bytes", F.concat_ws(":", F.col("depth").cast("string"), bits).alias("shard"), "depth", "shard_bytes", (F.col("shard_bytes") > limit_bytes).alias("oversized"))
 
 
 def write_shards(docs: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
-    """Write documents below ``path`` with a folder per shard; returns the assignment. Needs distinct doc_ids."""
-    shards = cut(extendible_shards(docs, limit_bytes), "assignment")
-    docs.join(shards.select("doc_id", "shard"), "doc_id").repartition("shard").write.partitionBy("shard").parquet(path)
-    return shards
+    """Write every row of ``docs`` once below ``path``, in the folder of its shard (``shard=<depth>:<prefix>``); returns the assignment as ``extendible_shards`` does.
+
+    Rows are known by their place in the table, so rows without an id and rows that repeat one are written like others. A column of
+    the documents that is called shard itself is written as doc_shard.
+    """
+    docs = docs.withColumnRenamed("shard", "doc_shard") if "shard" in docs.columns else docs
+    docs = cut(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    shards = cut(_assigned(_keyed(docs), limit_bytes), "assignment")
+    docs.join(shards.select(ROW, "shard"), ROW).drop(ROW).repartition("shard").write.partitionBy("shard").parquet(path)
+    return shards.drop(ROW)
