@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradelens.sinks import staged
+
 from tradelens.functions.config import V2, Config
 from tradelens.operators import signals
 from tradelens.operators.resolve import small
@@ -139,18 +141,46 @@ def crossref_summary(legislators: DataFrame, insiders: DataFrame, crossed: DataF
     return crossed.agg(F.count("*").alias("crossed"), rate.alias("agreement_rate")).crossJoin(alone)
 
 
-def vendor_discrepancies(matches: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
-    """What differs in each match (a_id, b_id) of trades (id, ticker, action, date, amount): rows (a_id, b_id, kind)."""
+def vendor_discrepancies(matches: DataFrame, ours: DataFrame, theirs: DataFrame, days: int = 7) -> DataFrame:
+    """What differs in each match (a_id, b_id) of trades (id, ticker, action, date, amount): rows (a_id, b_id, kind).
+
+    Tickers, actions and dates differ only where both sides have one, dates by more than ``days``; an amount that one side lacks differs.
+    """
     a = ours.select(*[F.col(c).alias(f"a_{c}") for c in ("id", "ticker", "action", "date", "amount")])
     b = theirs.select(*[F.col(c).alias(f"b_{c}") for c in ("id", "ticker", "action", "date", "amount")])
     both = matches.select("a_id", "b_id").join(a, "a_id").join(b, "b_id")
-    close = F.coalesce(F.abs(F.col("a_amount") - F.col("b_amount")) <= 0.1 * F.greatest("a_amount", "b_amount"), F.lit(False))
-    kinds = F.array(
-        F.when(~F.equal_null("a_ticker", "b_ticker"), "ticker"), F.when(~F.equal_null("a_action", "b_action"), "action"), F.when(~F.equal_null("a_date", "b_date"), "date"), F.when(~close, "amount")
-    )
+    close = F.abs(F.col("a_amount") - F.col("b_amount")) <= 0.1 * F.greatest("a_amount", "b_amount")
+    close = F.coalesce(close, F.col("a_amount").isNull() & F.col("b_amount").isNull())
+    apart = F.abs(F.datediff("a_date", "b_date")) > days
+    kinds = F.array(F.when(F.col("a_ticker") != F.col("b_ticker"), "ticker"), F.when(F.col("a_action") != F.col("b_action"), "action"), F.when(apart, "date"), F.when(~close, "amount"))
     return both.select("a_id", "b_id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"))
 
 
+def vendor_validation(matches: DataFrame, ours: DataFrame, theirs: DataFrame, samples: int = 10) -> DataFrame:
+    """The report on matches (a_id, b_id) as rows (part, name, value, detail).
+
+    ``metric``: trades of both sides, matched and unmatched ones, the share of ours that is matched, and the shares of matches with equal tickers and with
+    amounts that agree; ``discrepancy``: how many matches differ in each kind; ``sample``: the first matches that differ, by a_id, with their kinds.
+    """
+    found = staged(vendor_discrepancies(matches, ours, theirs), "discrepancies")
+    tickers = [side.select(F.col("id").alias(i), F.col("ticker").alias(t)) for side, i, t in ((ours, "a_id", "x"), (theirs, "b_id", "y"))]
+    equal = matches.join(tickers[0], "a_id").join(tickers[1], "b_id").agg(F.count("*").alias("matched"), F.count_if(F.col("x") == F.col("y")).alias("same_ticker"))
+    one = equal.crossJoin(found.agg(F.count_if(F.col("kind") == "amount").alias("other_amount"))).crossJoin(ours.agg(F.count("*").alias("ours"))).crossJoin(theirs.agg(F.count("*").alias("theirs")))
+    share = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
+    m = F.col("matched")
+    metrics = {
+        "ours": F.col("ours"), "theirs": F.col("theirs"), "matched": m, "unmatched_ours": F.col("ours") - m, "unmatched_theirs": F.col("theirs") - m,
+        "match_rate": share(m, F.col("ours")), "ticker_rate": share(F.col("same_ticker"), m), "amount_rate": share(m - F.col("other_amount"), m),
+    }
+    none = F.lit(None).cast("string")
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.round(v.cast("double"), 6).alias("value")) for k, v in metrics.items()])).alias("r")
+    out = one.select(rows).select(F.lit("metric").alias("part"), "r.name", "r.value", none.alias("detail"))
+    kinds = found.groupBy("kind").agg(F.count("*").cast("double").alias("value")).select(F.lit("discrepancy").alias("part"), F.col("kind").alias("name"), "value", none.alias("detail"))
+    first = found.select("a_id").distinct().orderBy("a_id").limit(samples)
+    sample = found.join(first, "a_id").groupBy("a_id").agg(F.array_join(F.array_sort(F.collect_list("kind")), ",").alias("detail"))
+    return out.unionByName(kinds).unionByName(sample.select(F.lit("sample").alias("part"), F.col("a_id").alias("name"), F.lit(None).cast("double").alias("value"), "detail"))
+
+
 def unmatched(matches: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Trades of both sides without a match: side, id."""
     left = ours.join(matches, F.col("id") == F.col("a_id"), "left_anti").select(F.lit("ours").alias("side"), "id")

@@ -90,6 +90,41 @@ def a28(spark, sf_dir):
     return reports.vendor_match_report(resolve.match_vendor_trades(resolve.vendor_pair_scores(ours, theirs)), ours, theirs)
 
 
+_PAIRED = f"""{WITH}, a AS (SELECT record_id AS id, ticker, action, execution_date AS date, value AS amount, filing_id AS k FROM trades WHERE source = 'congress'),
+b AS (SELECT 'v:' || id AS id, CASE WHEN k % 5 = 0 THEN 'OTHER' ELSE ticker END AS ticker, date + CAST(k % 9 AS INTEGER) AS date, k FROM a WHERE k % 3 <> 0),
+m AS (SELECT a.id AS a_id, a.ticker = b.ticker AS same, [CASE WHEN a.ticker <> b.ticker THEN 'ticker' END, CASE WHEN abs(a.date - b.date) > 7 THEN 'date' END] AS kinds FROM a JOIN b ON b.id = 'v:' || a.id WHERE a.k % 7 <> 0),
+d AS (SELECT a_id, unnest(list_filter(kinds, lambda x: x IS NOT NULL)) AS kind FROM m),
+n AS (SELECT (SELECT count(*) FROM a) AS ours, (SELECT count(*) FROM b) AS theirs, (SELECT count(*) FROM m) AS matched, (SELECT count(*) FROM m WHERE same) AS same)"""
+
+
+def _paired(spark, sf_dir):
+    """Both sides, and the vendor's copies of most of our trades as matches."""
+    ours, theirs = _vendor(spark, sf_dir)
+    ids = legislators(spark, sf_dir).where("filing_id % 7 <> 0").select(F.col("record_id").alias("a_id"))
+    return ids.join(theirs.select(F.col("id").alias("b_id")), F.col("b_id") == F.concat(F.lit("v:"), "a_id")), ours, theirs
+
+
+@query(
+    "a28b_vendor_validation",
+    f"""{_PAIRED}, r AS (SELECT unnest(['ours', 'theirs', 'matched', 'unmatched_ours', 'unmatched_theirs', 'match_rate', 'ticker_rate', 'amount_rate']) AS name,
+      unnest([ours, theirs, matched, ours - matched, theirs - matched, matched / ours, same / matched, 1]::DOUBLE[]) AS value FROM n)
+    SELECT 'metric' AS part, name, round(value, 6) AS value, NULL AS detail FROM r UNION ALL SELECT 'discrepancy', kind, count(*)::DOUBLE, NULL FROM d GROUP BY kind
+    UNION ALL SELECT 'sample', a_id, NULL, string_agg(kind, ',' ORDER BY kind) FROM d WHERE a_id IN (SELECT DISTINCT a_id FROM d ORDER BY a_id LIMIT 10) GROUP BY a_id""",
+)
+def a28b(spark, sf_dir):
+    return reports.vendor_validation(*_paired(spark, sf_dir))
+
+
+@query("a28c_vendor_discrepancies", f"{_PAIRED} SELECT a_id, 'v:' || a_id AS b_id, kind FROM d")
+def a28c(spark, sf_dir):
+    return reports.vendor_discrepancies(*_paired(spark, sf_dir))
+
+
+@query("a28d_vendor_unmatched", f"{_PAIRED} SELECT 'ours' AS side, id FROM a WHERE id NOT IN (SELECT a_id FROM m) UNION ALL SELECT 'theirs', id FROM b WHERE id NOT IN (SELECT 'v:' || a_id FROM m)")
+def a28d(spark, sf_dir):
+    return reports.unmatched(*_paired(spark, sf_dir))
+
+
 @query("a35_positioning_report", f"{LEGISLATOR_SQL} SELECT count(*) FILTER (reason_code IS NULL) AS included, count(*) FILTER (reason_code = 'NON_SIGNAL_ASSET') AS excluded_asset, count(*) FILTER (reason_code = 'BELOW_MINIMUM_VALUE') AS excluded_other, count(*) AS resolved FROM legn")
 def a35(spark, sf_dir):
     return reports.positioning_report(legislators(spark, sf_dir))
