@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradelens.sinks import staged
-
 from tradelens.functions.config import V2, Config
-from tradelens.operators import signals
+from tradelens.operators import signals, studies
 from tradelens.operators.resolve import small
+from tradelens.sinks import staged
 
 
 def risk_appetite_index(scores: DataFrame, cyclical: list[str], defensive: list[str]) -> DataFrame:
@@ -36,6 +35,34 @@ def positioning_history(scored: DataFrame, spine: DataFrame, window: int, least:
     return signals.positioning(met, ["as_of_date"], cfg).where(F.col("transactions") >= least)
 
 
+def backtest_points(history: DataFrame, benchmark: DataFrame, days: int) -> DataFrame:
+    """A positioning history with net (the share of the volume that is net), confidence and the benchmark's forward_return.
+
+    The return goes from the close (date, close) of the as_of_date itself to the first one at least ``days`` later; without both it is null.
+    """
+    returns = studies.price_returns(benchmark.select(F.lit("benchmark").alias("ticker"), "date", "close").where("close > 0"), days)
+    stale = F.col("mean_staleness")
+    points = history.withColumns({"net": F.col("volume_net") / F.greatest(F.col("volume_buy") + F.col("volume_sell"), F.lit(1.0)), "confidence": F.when(stale < 1, 1 - stale).otherwise(0.5)})
+    return points.join(returns.select(F.col("date").alias("as_of_date"), "forward_return"), "as_of_date", "left")
+
+
+def backtest_summary(points: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row on points with a return: their number, correlations of breadth, net and confidence with the return (null below three points or without
+    spread), the share of positive and of negative nets that the return confirms, the benchmark's total and the mean return."""
+    r, n = F.col("forward_return"), F.count("forward_return")
+    valid = points.where(r.isNotNull())
+    with_return = lambda c: F.when((n >= 3) & (F.stddev_pop(c) > 0) & (F.stddev_pop(r) > 0), F.corr(c, r))
+    share = lambda hit, of: F.count_if(hit) / F.nullif(F.count_if(of), F.lit(0))
+    up, down = F.col("net") > 0, F.col("net") < 0
+    summary = valid.agg(
+        n.alias("valid_points"), *[with_return(F.col(c)).alias(f"corr_{c}") for c in ("breadth", "net", "confidence")], share(up & (r > 0), up).alias("positive_hit_rate"), share(down & (r < 0), down).alias("negative_hit_rate"),
+        F.avg(r).alias("mean_return"),
+    )
+    first, last = F.min_by("close", "date"), F.max_by("close", "date")
+    total = benchmark.agg(F.when((F.count("*") >= 2) & (first > 0), (last - first) / first).alias("benchmark_total"))
+    return points.agg(F.count("*").alias("points")).crossJoin(summary).crossJoin(total)
+
+
 def signal_history(score, trades: DataFrame, spine: DataFrame, window: int) -> DataFrame:
     """Signals of all reference dates in one job: trades inside each date's window get its as_of_date as part of their key, then ``score`` runs once.
 

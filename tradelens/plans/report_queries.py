@@ -12,7 +12,7 @@ from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, LEGISLATOR_SQL, insider_results, insiders, legislator_scores, legislators, positioning_sql
 from tradelens.plans.study_queries import _issuers, _vendor
-from tradelens.plans.trades import table, trades
+from tradelens.plans.trades import BENCHMARK_SQL, PRICES_SQL, benchmark_prices, table, trades
 
 A2_SQL = (
     A1_SQL.replace("CASE code WHEN 'P' THEN 1.0 ELSE 0.0 END *", "CASE code WHEN 'P' THEN 1.0 WHEN 'S' THEN -0.5 ELSE 0.0 END *").replace("CASE WHEN planned THEN 0.05 ELSE 1.0 END", "CASE WHEN planned THEN 0.25 ELSE 1.0 END")
@@ -62,6 +62,37 @@ def a32(spark, sf_dir):
     return h.select("as_of_date", "unique_members", F.round("breadth", 6).alias("breadth"), F.round("volume_net", 2).alias("volume_net"), "transactions")
 
 
+_POINTS_SQL = (
+    f"{LEGISLATOR_SQL}, {PRICES_SQL}, {BENCHMARK_SQL}, " + _SPINE_SQL.replace("1999-07-01", "1999-01-04").replace("1999-12-01", "1999-12-27").replace("INTERVAL 1 MONTH", "INTERVAL 7 DAY")
+    + f", legw AS (SELECT leg.*, as_of_date FROM leg JOIN spine ON execution_date BETWEEN as_of_date - 90 AND as_of_date), {positioning_sql('as_of_date').replace('FROM leg ', 'FROM legw leg ')},"
+    """ fwd AS (SELECT b.date, (n.close - b.close) / b.close AS forward_return FROM bench b ASOF JOIN bench n ON b.date + 30 <= n.date WHERE b.close > 0),
+    pts AS (SELECT as_of_date, breadth, volume_net / greatest(volume_buy + volume_sell, 1.0) AS net, CASE WHEN mean_staleness < 1 THEN 1 - mean_staleness ELSE 0.5 END AS confidence, transactions, forward_return FROM pos LEFT JOIN fwd ON date = as_of_date WHERE transactions >= 5)"""
+)
+
+
+def _points(spark, sf_dir):
+    weeks = F.explode(F.sequence(F.lit(dt.date(1999, 1, 4)), F.lit(dt.date(1999, 12, 27)), F.expr("interval 7 days"))).alias("as_of_date")
+    history = reports.positioning_history(legislator_scores(spark, sf_dir), table(spark, sf_dir, "region").limit(1).select(weeks), 90)
+    return reports.backtest_points(history, benchmark_prices(spark, sf_dir), 30)
+
+
+@query("a32b_backtest_points", f"{_POINTS_SQL} SELECT as_of_date, round(breadth, 6) AS breadth, round(net, 6) AS net, round(confidence, 6) AS confidence, transactions, round(forward_return, 6) AS forward_return FROM pts")
+def a32b(spark, sf_dir):
+    rounded = [F.round(c, 6).alias(c) for c in ("breadth", "net", "confidence", "forward_return")]
+    return _points(spark, sf_dir).select("as_of_date", *rounded, "transactions")
+
+
+@query(
+    "a32c_backtest_summary",
+    f"""{_POINTS_SQL} SELECT (SELECT count(*) FROM pts) AS points, count(*) AS valid_points, round(corr(breadth, forward_return), 6) AS corr_breadth, round(corr(net, forward_return), 6) AS corr_net, round(corr(confidence, forward_return), 6) AS corr_confidence,
+    round(count(*) FILTER (net > 0 AND forward_return > 0) / nullif(count(*) FILTER (net > 0), 0), 6) AS positive_hit_rate, round(count(*) FILTER (net < 0 AND forward_return < 0) / nullif(count(*) FILTER (net < 0), 0), 6) AS negative_hit_rate,
+    round(avg(forward_return), 6) AS mean_return, (SELECT round((arg_max(close, date) - arg_min(close, date)) / arg_min(close, date), 6) FROM bench) AS benchmark_total FROM pts WHERE forward_return IS NOT NULL""",
+)
+def a32c(spark, sf_dir):
+    summary = reports.backtest_summary(_points(spark, sf_dir), benchmark_prices(spark, sf_dir))
+    return summary.select("points", "valid_points", *[F.round(c, 6).alias(c) for c in summary.columns if c not in ("points", "valid_points")])
+
+
 @query(
     "a33_signal_history",
     f"""{LEGISLATOR_SQL}, {_SPINE_SQL}, legw AS (SELECT leg.*, subject_key || '@' || as_of_date AS sk FROM leg JOIN spine ON execution_date BETWEEN as_of_date - 180 AND as_of_date), {positioning_sql('sk').replace('FROM leg ', 'FROM legw leg ')}
