@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions import numeric as N
 from tradelens.functions.config import V2, Config
+from tradelens.sinks import staged
 
 
 def insider_company_signal(scored: DataFrame, reference: Column, cfg: Config = V2, strict: bool = False) -> DataFrame:
@@ -53,8 +54,9 @@ def winsorize(scored: DataFrame, keys: list[str], percentile: float = 0.95, colu
     """Clip the absolute score at the non-zero one with index floor(n * p) in ascending order, per key; signs stay.
 
     Scores are counted in buckets of their logarithm first; only the bucket that the threshold lies in is ranked, so a key
-    with a large share of all rows is not sorted in one task.
+    with a large share of all rows is not sorted in one task. The scores are read three times, so they are staged once.
     """
+    scored = staged(scored, "scored")
     rows = scored.where(F.col(column) != 0).select(*keys, F.abs(column).alias("a"), order).withColumn("bucket", F.floor(F.log("a") * 64))
     w = W.partitionBy(*keys)
     before = F.coalesce(F.sum("c").over(w.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

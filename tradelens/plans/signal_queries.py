@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tradelens import sinks
 from tradelens.functions import numeric as N
 from tradelens.functions.config import V2
 from tradelens.operators import alerts, history, normalize, overlay, signals
@@ -332,8 +333,9 @@ def sides(spark, sf_dir):
     # every seventh ticker resolves with low confidence, every eleventh is ambiguous
     k = lambda c: F.ascii(F.right(c, F.lit(1))) - F.ascii(F.lit("a")) + (F.ascii(F.substring(c, 9, 1)) - F.ascii(F.lit("a"))) * 10
     event = F.when(k("subject_key") % 7 == 0, F.concat(F.lit("e:"), "subject_key")).when(k("subject_key") % 11 == 0, F.concat(F.lit("x:"), "subject_key"))
-    ins = ins.withColumn("event_id", F.lit(None).cast("string"))
-    leg = leg.withColumn("event_id", event)
+    # both are read more than once: as sides, and the legislators' for the events
+    ins = sinks.staged(ins.withColumn("event_id", F.lit(None).cast("string")), "insider-results")
+    leg = sinks.staged(leg.withColumn("event_id", event), "legislator-results")
     events = leg.where("event_id is not null").select(
         "event_id", F.when(F.startswith("event_id", F.lit("x")), "AMBIGUOUS").otherwise("RESOLVED").alias("status"), F.col("subject_key").alias("entity_key"), F.lit(None).cast("string").alias("instrument_key"),
         F.when(F.startswith("event_id", F.lit("e")), 0.7).otherwise(0.4).alias("resolution_confidence"),
