@@ -123,6 +123,25 @@ def parse_quality(normalized: DataFrame) -> DataFrame:
     return counts.withColumns({"resolved_rate": rate("resolved"), "ticker_rate": rate("with_ticker"), "included_rate": rate("included")})
 
 
+def quality_lists(normalized: DataFrame, top: int = 10) -> DataFrame:
+    """The issuers that each part of the parsed trades (asset_name, entity_key, ticker, included, reason_code) names most: part, place, issuer, n.
+
+    ``unresolved``: without entity or ticker; of those ``signal_like`` (a ticker or a sure resolution is missing) and ``non_signal`` (assets that give no
+    signal); ``recovered``: included trades. Ordered by count, then name; issuers without a name are ``<unknown>``.
+    """
+    open_ = F.col("entity_key").isNull() | F.col("ticker").isNull()
+    reason = F.coalesce("reason_code", F.lit(""))
+    parts = {"unresolved": open_, "signal_like": open_ & reason.isin("MISSING_TICKER", "LOW_RESOLUTION_CONFIDENCE"), "non_signal": open_ & (reason == "NON_SIGNAL_ASSET"), "recovered": F.coalesce("included", F.lit(False))}
+    part = F.explode(F.array_compact(F.array(*[F.when(c, name) for name, c in parts.items()]))).alias("part")
+    counts = normalized.select(part, F.coalesce(F.nullif("asset_name", F.lit("")), F.lit("<unknown>")).alias("issuer")).groupBy("part", "issuer").agg(F.count("*").alias("n"))
+    return top_k(counts, top, [F.desc("n"), F.col("issuer")], ["part"]).select("part", "place", "issuer", "n")
+
+
+def first_subjects(results: DataFrame, top: int = 10) -> DataFrame:
+    """The first results by subject: subject_key, label, score, confidence, input_count, place."""
+    return top_k(results.select("subject_key", "label", "score", "confidence", "input_count"), top, [F.col("subject_key")])
+
+
 def histogram(df: DataFrame, column: str, name: str) -> DataFrame:
     """Counts of a column's values as rows (histogram, value, n); nulls count as none."""
     return df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("value")).agg(F.count("*").alias("n")).select(F.lit(name).alias("histogram"), "value", "n")

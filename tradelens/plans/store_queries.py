@@ -464,6 +464,25 @@ def a24b(spark, sf_dir):
     return reports.parse_quality(store.normalize_legislator_filings(filed_transactions(spark, sf_dir), entities(spark, sf_dir), "house"))
 
 
+@query(
+    "a24d_parse_quality_lists",
+    f"""{WITH}, f AS (SELECT 'Issuer ' || filing_id % 40 AS issuer, filing_id % 5 AS k, filing_id % 5 NOT IN (0, 1, 2) AND action IN ('purchase', 'sale') AND value > 15000 AS ok FROM trades WHERE source = 'congress'),
+    p AS (SELECT 'unresolved' AS part, issuer FROM f WHERE k IN (1, 2) UNION ALL SELECT 'signal_like', issuer FROM f WHERE k = 1 UNION ALL SELECT 'non_signal', issuer FROM f WHERE k = 2 UNION ALL SELECT 'recovered', issuer FROM f WHERE ok),
+    n AS (SELECT part, issuer, count(*) AS n FROM p GROUP BY ALL)
+    SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY n DESC, issuer) AS INTEGER) AS place, issuer, n FROM n QUALIFY place <= 10""",
+)
+def a24d(spark, sf_dir):
+    t = filed_transactions(spark, sf_dir)
+    issuer = F.concat(F.lit("Issuer "), (F.col("filing_id").cast("long") % 40).cast("string"))
+    normalized = store.normalize_legislator_filings(t, entities(spark, sf_dir), "house")
+    return reports.quality_lists(normalized.withColumn("asset_name", issuer))
+
+
+@query("a24e_first_subjects", f"{A1_SQL} SELECT subject_key, label, score, confidence, trade_count AS input_count, CAST(row_number() OVER (ORDER BY subject_key) AS INTEGER) AS place FROM a1 WHERE window_days = 90 ORDER BY subject_key LIMIT 10")
+def a24e(spark, sf_dir):
+    return reports.first_subjects(insider_results(spark, sf_dir).where("window_days = 90").withColumn("input_count", F.col("trade_count")))
+
+
 @query(
     "a24c_parse_quality_histograms",
     f"""{WITH}, f AS (SELECT *, filing_id % 5 AS k FROM trades WHERE source = 'congress') SELECT 'category' AS histogram, CASE k WHEN 0 THEN 'treasury' WHEN 2 THEN 'unknown' ELSE 'common_stock' END AS value, count(*) AS n FROM f GROUP BY ALL
