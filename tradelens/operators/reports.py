@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -142,6 +144,23 @@ def first_subjects(results: DataFrame, top: int = 10) -> DataFrame:
     return top_k(results.select("subject_key", "label", "score", "confidence", "input_count"), top, [F.col("subject_key")])
 
 
+def run_observability(normalized: DataFrame, blocks: DataFrame, runs: DataFrame) -> DataFrame:
+    """What a run left, as rows (part, name, n).
+
+    ``normalized``: source, included, reason_code, ticker; ``blocks``: reason_code; ``runs``: the ledger's run_id and status. Parts: exclusion and block
+    (rows by reason, ``none`` without one), source (rows), unresolved (rows without a ticker by source) and failed_run (one row for each).
+    """
+
+    def counted(df: DataFrame, part: str, column: str) -> DataFrame:
+        return df.groupBy(F.coalesce(F.col(column), F.lit("none")).alias("name")).agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "name", "n")
+
+    parts = [
+        counted(normalized.where("not included"), "exclusion", "reason_code"), counted(blocks, "block", "reason_code"), counted(normalized, "source", "source"),
+        counted(normalized.where("ticker is null"), "unresolved", "source"), counted(runs.where("status = 'FAILED'"), "failed_run", "run_id"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def histogram(df: DataFrame, column: str, name: str) -> DataFrame:
     """Counts of a column's values as rows (histogram, value, n); nulls count as none."""
     return df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("value")).agg(F.count("*").alias("n")).select(F.lit(name).alias("histogram"), "value", "n")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradelens import sinks
 from tradelens.functions import numeric as N
-from tradelens.operators import reports, resolve, store
+from tradelens.operators import overlay, reports, resolve, store
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, matched, sides
@@ -351,7 +351,6 @@ def a37b(spark, sf_dir):
       WHEN combined > 0 THEN 'ready_for_broader_live_strategy_validation' ELSE 'operationally_ready' END AS readiness FROM p""",
 )
 def a26(spark, sf_dir):
-    from tradelens.operators import overlay
 
     ins, leg, events = sides(spark, sf_dir)
     o = overlay.overlay(ins, leg, events)
@@ -373,7 +372,6 @@ BRIEF_SQL = " UNION ALL ".join(
 
 @query("a16_daily_brief", f"SELECT section, lines FROM ({BRIEF_SQL}) WHERE lines > 0")
 def a16(spark, sf_dir):
-    from tradelens.operators import overlay
     from tradelens.plans.signal_queries import dt
 
     ins, leg, events = sides(spark, sf_dir)
@@ -385,6 +383,47 @@ def a16(spark, sf_dir):
     return store.brief_lines(sections).groupBy("section").agg(F.count("*").alias("lines"))
 
 
+_OBSERVED_SQL = f"""{OVERLAY_SQL}, q AS (SELECT subject_key, eligible, outcome, 'run-' || ascii(right(subject_key, 1)) % 3 AS run_id,
+  CASE outcome WHEN 'SINGLE_SOURCE_ONLY' THEN 'MISSING_COUNTERPART' WHEN 'BLOCKED_LOW_CONFIDENCE' THEN 'LOW_RESOLUTION_CONFIDENCE' WHEN 'BLOCKED_AMBIGUOUS' THEN 'AMBIGUOUS_ENTITY_MATCH' END AS reason_code FROM o)"""
+
+
+def _overlaid(spark, sf_dir) -> DataFrame:
+    """Overlay decisions of three runs, with their references and reasons as JSON texts."""
+    rows = overlay.overlay(*sides(spark, sf_dir))
+    run = F.concat(F.lit("run-"), (F.ascii(F.right("subject_key", F.lit(1))) % 3).cast("string"))
+    refs = F.to_json(F.struct(F.concat(F.lit("i:"), "subject_key").alias("insider"), F.concat(F.lit("c:"), "subject_key").alias("congress")))
+    return rows.withColumns({"run_id": run, "refs": refs, "payload": F.to_json(F.create_map(F.lit("outcome"), "outcome"))})
+
+
+@query("s23c_load_combined", f"{_OBSERVED_SQL} SELECT subject_key, run_id, 'i:' || subject_key AS insider_ref FROM q WHERE eligible AND run_id IN ('run-0', 'run-2')")
+def s23c(spark, sf_dir):
+    combined = _overlaid(spark, sf_dir).where("eligible").drop("payload")
+    return rosters.load_combined(combined, run_ids=["run-0", "run-2"]).select("subject_key", "run_id", F.col("refs.insider").alias("insider_ref"))
+
+
+@query("s23d_load_blocks", f"{_OBSERVED_SQL} SELECT subject_key, reason_code, outcome FROM q WHERE NOT eligible AND run_id = 'run-1'")
+def s23d(spark, sf_dir):
+    blocks = _overlaid(spark, sf_dir).where("not eligible").drop("outcome", "refs")
+    return rosters.load_blocks(blocks, "run-1").select("subject_key", "reason_code", F.col("payload")["outcome"].alias("outcome"))
+
+
+@query(
+    "a23b_run_observability",
+    f"""{_OBSERVED_SQL}, z AS (SELECT 'insider' AS source, included, reason_code FROM ins UNION ALL SELECT 'congress', reason_code IS NULL, reason_code FROM legn)
+    SELECT 'exclusion' AS part, coalesce(reason_code, 'none') AS name, count(*) AS n FROM z WHERE NOT included GROUP BY ALL UNION ALL SELECT 'block', reason_code, count(*) FROM q WHERE NOT eligible GROUP BY ALL
+    UNION ALL SELECT 'source', source, count(*) FROM z GROUP BY ALL UNION ALL SELECT DISTINCT 'failed_run', 'run-' || o_orderstatus, 1 FROM orders WHERE o_orderstatus = 'P'""",
+)
+def a23b(spark, sf_dir):
+    """A run per order status, of which those with partial orders failed."""
+    ledger = sinks.RunLedger(spark, sinks.staging_path(spark, "runs"))
+    for status in sorted(r[0] for r in table(spark, sf_dir, "orders").select("o_orderstatus").distinct().collect()):
+        ledger.start(f"run-{status}", {"status": status})
+        ledger.finish(f"run-{status}", {}, failed=status == "P")
+    columns = ["source", "included", "reason_code", "ticker"]
+    normalized = insiders(spark, sf_dir).select(columns).unionByName(legislators(spark, sf_dir).select(columns))
+    return reports.run_observability(normalized, _overlaid(spark, sf_dir).where("not eligible"), ledger.runs())
+
+
 @query("k2_append_blocks", f"{WITH} SELECT filing_id, 2 * count(*) AS n, min('{{\"ticker\":\"' || ticker || '\"}}') AS first_ref FROM trades WHERE planned GROUP BY filing_id")
 def k2(spark, sf_dir):
     path = sinks.staging_path(spark, "blocks")

@@ -139,19 +139,33 @@ def filer_names(filings: DataFrame, index: DataFrame, metadata: DataFrame) -> Da
     return out.select(*filings.columns, F.coalesce(named("index_name"), named("start_name"), named("parsed_name"), F.lit("Unknown")).alias("filer"))
 
 
-def load_results(results: DataFrame, source: str | None = None, run_id: str | None = None, run_ids: list[str] | None = None) -> DataFrame:
-    """Stored results by source and run, with their JSON column provenance_refs decoded; either one run or a list of runs may be named."""
+def _of_runs(rows: DataFrame, run_id: str | None, run_ids: list[str] | None) -> DataFrame:
+    """Rows of one run or of a list of runs; of all where none is named."""
     if run_id is not None and run_ids:
         raise ValueError("pass either run_id or run_ids, not both")
+    wanted = run_ids if run_ids else [run_id] if run_id is not None else None
+    return rows.where(F.col("run_id").isin(wanted)) if wanted else rows
+
+
+def load_results(results: DataFrame, source: str | None = None, run_id: str | None = None, run_ids: list[str] | None = None) -> DataFrame:
+    """Stored results by source and run, with their JSON column provenance_refs decoded; either one run or a list of runs may be named."""
+    results = _of_runs(results, run_id, run_ids)
     if source is not None:
         results = results.where(F.col("source") == source)
-    wanted = run_ids if run_ids else [run_id] if run_id is not None else None
-    if wanted:
-        results = results.where(F.col("run_id").isin(wanted))
     refs = "struct<normalized_row_ids: array<string>, resolution_event_ids: array<string>>"
     return results.withColumn("provenance_refs", F.from_json("provenance_refs", refs))
 
 
+def load_combined(combined: DataFrame, run_id: str | None = None, run_ids: list[str] | None = None) -> DataFrame:
+    """Stored overlay results by run, with their JSON column refs (the results of both sides) decoded; text that is no JSON gives null."""
+    return _of_runs(combined, run_id, run_ids).withColumn("refs", F.from_json("refs", "struct<insider: string, congress: string>"))
+
+
+def load_blocks(blocks: DataFrame, run_id: str | None = None, run_ids: list[str] | None = None) -> DataFrame:
+    """Stored block events by run, with their JSON column payload decoded to a map."""
+    return _of_runs(blocks, run_id, run_ids).withColumn("payload", F.from_json("payload", "map<string, string>"))
+
+
 def latest_results(results: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last stored row per key across runs; ties go to the larger run id."""
     w = W.partitionBy(*keys).orderBy(F.desc(order), F.desc("run_id"))
