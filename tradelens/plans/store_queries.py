@@ -10,7 +10,7 @@ from tradelens.functions import numeric as N
 from tradelens.operators import overlay, reports, resolve, store
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
-from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, matched, sides
+from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislator_results, legislators, matched, sides
 from tradelens.plans.source_queries import file_of, tag
 from tradelens.plans.trades import table, trades
 from tradelens.sources import forms, rosters
@@ -383,6 +383,27 @@ def a16(spark, sf_dir):
     return store.brief_lines(sections).groupBy("section").agg(F.count("*").alias("lines"))
 
 
+@query(
+    "a16b_brief_contents",
+    f"""{OVERLAY_SQL}, w AS (SELECT 'insider' AS source, subject_key, label, score, confidence, window_days, buy_count AS n FROM a1 UNION ALL SELECT 'congress', subject_key, label, score, confidence, 0, transactions FROM a6),
+    s AS (SELECT *, row_number() OVER (PARTITION BY source, subject_key ORDER BY confidence DESC, score DESC, window_days) AS k FROM w WHERE label = 'bullish' AND confidence >= 0.4 AND n >= 2)
+    SELECT CASE source WHEN 'insider' THEN 'strong_insider' ELSE 'strong_legislator' END AS section, upper(replace(subject_key, 'entity:', '')) AS name, round(score, 4) AS first, round(confidence, 4) AS second FROM s WHERE k = 1
+    UNION ALL SELECT 'stats', source, count(*) FILTER (label = 'bullish')::DOUBLE, count(*) FILTER (label = 'bearish')::DOUBLE FROM w GROUP BY source
+    UNION ALL SELECT 'cross_source', upper(replace(subject_key, 'entity:', '')), round(isc, 4), round(ls, 4) FROM o WHERE eligible""",
+)
+def a16b(spark, sf_dir):
+    """What the brief says on results of both sources, not only how much of it there is."""
+    ins, leg, events = sides(spark, sf_dir)
+    ticker = F.upper(F.replace("subject_key", F.lit("entity:"), F.lit("")))
+    own = insider_results(spark, sf_dir).select(F.lit("insider").alias("source"), ticker.alias("ticker"), "label", F.col("score").cast("double").alias("score"), F.col("confidence").cast("double").alias("confidence"), "window_days", F.col("buy_count").alias("included_count"))
+    theirs = legislator_results(spark, sf_dir).select(F.lit("congress").alias("source"), ticker.alias("ticker"), "label", "score", "confidence", F.lit(0).alias("window_days"), F.col("transactions").alias("included_count"))
+    calendar = own.select("ticker", F.lit(None).cast("date").alias("earnings_date")).limit(0)
+    brief = store.daily_brief(insiders(spark, sf_dir), own.unionByName(theirs), overlay.overlay(ins, leg, events).where("eligible"), calendar, matched(spark, sf_dir), ref())
+    row = lambda section, name, first, second: brief[section].select(F.lit(section).alias("section"), F.col(name).alias("name"), *[F.round(F.col(c).cast("double"), 4).alias(k) for c, k in ((first, "first"), (second, "second"))])
+    strong = [row(s, "ticker", "score", "confidence") for s in ("strong_insider", "strong_legislator")]
+    return strong[0].unionByName(strong[1]).unionByName(row("stats", "source", "bullish", "bearish")).unionByName(row("cross_source", "ticker", "insider_score", "legislator_score"))
+
+
 _OBSERVED_SQL = f"""{OVERLAY_SQL}, q AS (SELECT subject_key, eligible, outcome, 'run-' || ascii(right(subject_key, 1)) % 3 AS run_id,
   CASE outcome WHEN 'SINGLE_SOURCE_ONLY' THEN 'MISSING_COUNTERPART' WHEN 'BLOCKED_LOW_CONFIDENCE' THEN 'LOW_RESOLUTION_CONFIDENCE' WHEN 'BLOCKED_AMBIGUOUS' THEN 'AMBIGUOUS_ENTITY_MATCH' END AS reason_code FROM o)"""
 
