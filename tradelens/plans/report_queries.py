@@ -115,6 +115,12 @@ def a25(spark, sf_dir):
     return reports.candidate_issuers(u)
 
 
+@query("a25c_candidate_issuers_all", ORACLES["a25_candidate_issuers"].replace(" WHERE l_orderkey % 5 = 2", ""))
+def a25c(spark, sf_dir):
+    u = _issuers(spark, sf_dir).select(F.concat(F.lit("n"), (F.col("_k") % 30).cast("string")).alias("name"), F.concat(F.lit("r"), F.split("record_id", ":")[1]).alias("reason"), "record_id")
+    return reports.candidate_issuers(u)
+
+
 @query("a28_vendor_match_report")
 def a28(spark, sf_dir):
     ours, theirs = _vendor(spark, sf_dir)

@@ -57,9 +57,9 @@ def s3(spark, sf_dir):
     return out.withColumns({"is_paper": F.col("is_paper").cast("string"), "filing_date": F.col("filing_date").cast("string")})
 
 
-def members(spark, sf_dir) -> DataFrame:
-    """Every third customer as a member with committees, written as roster responses and read back."""
-    c, k = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0"), F.col("c_custkey")
+def members(spark, sf_dir, every: int = 3) -> DataFrame:
+    """Every third customer (or ``every``-th) as a member with committees, written as roster responses and read back."""
+    c, k = table(spark, sf_dir, "customer").where(F.col("c_custkey") % every == 0), F.col("c_custkey")
     member = F.struct(
         F.concat(F.lit("B"), k.cast("string")).alias("bioguideId"), F.concat(F.lit("Ann "), spelled(k)).alias("name"), F.lit("Independent").alias("partyName"), F.lit("Ohio").alias("state"),
         F.struct(F.array(F.struct(F.lit("Senate").alias("chamber")), F.struct(F.when(k % 2 == 0, "Senate").otherwise("House of Representatives").alias("chamber"))).alias("item")).alias("terms"),
@@ -79,6 +79,11 @@ def s18(spark, sf_dir):
     return members(spark, sf_dir).select("bioguide", "name", "chamber", F.array_join(F.transform("committees", lambda c: c["code"]), ",").alias("committees"))
 
 
+@query("s18b_read_members_all", ORACLES["s18_read_members"].replace(" WHERE c_custkey % 3 = 0", ""))
+def s18b(spark, sf_dir):
+    return members(spark, sf_dir, 1).select("bioguide", "name", "chamber", F.array_join(F.transform("committees", lambda c: c["code"]), ",").alias("committees"))
+
+
 @query(
     "j4_enrich_committees",
     f"""{WITH} SELECT record_id, 'B' || actor_id AS bioguide, CASE WHEN actor_id % 9 = 0 THEN '' WHEN actor_id % 2 = 0 THEN 'ssba' ELSE 'hssy' END AS committees,
