@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -15,9 +16,12 @@ from tradelens.llm.common import cut, mix
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 #: Bytes of text that are hashed together, and fingerprints that a task counts before it hands them on.
-BLOCK_BYTES, HELD = 4 << 20, 3 << 20
+BLOCK_BYTES, HELD = 1 << 20, 1 << 19
 #: Bits of a filter for each frequent fingerprint, and of a filter at most; a full one lets more pass, which costs time only.
 FILTER_BITS_EACH, FILTER_BITS = 16, 1 << 28
+PROBES = (0, 18, 36)
+#: Frequent phrases of a bucket, about, whose counts are gathered together.
+BUCKET_PHRASES = 512
 BASE_OF_BYTES, BASE_OF_WORDS = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 WORD, BLANK, BREAK = range(3)
@@ -96,9 +100,15 @@ class Block:
         text = self.low.tobytes()
         return np.array([known.setdefault(text[s:e], len(known)) for s, e in zip(self.starts.tolist(), self.ends.tolist(), strict=True)])
 
-    def phrase(self, text: bytes, first: int, last: int) -> bytes:
-        s, e = self.starts[first : last + 1].tolist(), self.ends[first : last + 1].tolist()
-        return text[s[0] : e[-1]] if e[-1] - s[0] == sum(e) - sum(s) + last - first else b" ".join(text[a:b] for a, b in zip(s, e, strict=True))
+    def phrases(self, text: bytes, pointers: np.ndarray, n: int) -> list[bytes]:
+        """The ``n`` words from each pointer on, joined by one space."""
+        ends = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+        s, e = self.starts[pointers], self.ends[pointers + n - 1]
+        plain = e - s == ends[pointers + n] - ends[pointers] + n - 1
+        out = [text[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+        for k in np.flatnonzero(~plain).tolist():
+            out[k] = b" ".join(out[k].split())
+        return out
 
 
 def _sections(text: bytes, lang: str, overlap: int) -> Iterator[tuple[bytes, str, int]]:
@@ -142,21 +152,26 @@ def _blocks(batches: Iterable, overlap: int) -> Iterator[Block]:
 
 
 class Filter:
-    """Fingerprints that may be among some: a bitmap of bounded size."""
+    """Fingerprints that may be among some: a Bloom filter of bounded size, whose places are the low bits of the shifted fingerprint."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & self.mask
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        out = np.ones(len(keys), bool)
+        for shift in PROBES:
+            left = np.flatnonzero(out)
+            at = (keys[left] >> np.uint64(shift)) & self.mask
+            out[left] = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return out
 
     @classmethod
     def of(cls, frequent: DataFrame) -> Filter:
         """From a table with a column ``key``; what reaches the driver is the bitmap's words that are not zero, of which there are 2 ** 22 at most."""
         n = frequent.count()
         size = 1 << min(FILTER_BITS.bit_length() - 1, max(10, (n * FILTER_BITS_EACH).bit_length()))
-        words = frequent.select(F.expr(f"shiftright(key & {size - 1}L, 6) as word"), F.expr("shiftleft(1L, cast(key & 63 as int)) as bit"))
+        places = frequent.select(F.explode(F.array(*[F.expr(f"shiftrightunsigned(key, {shift}) & {size - 1}L") for shift in PROBES])).alias("at"))
+        words = places.select(F.expr("shiftright(at, 6) as word"), F.expr("shiftleft(1L, cast(at & 63 as int)) as bit"))
         found = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()
         bits = np.zeros(size >> 6, np.int64)
         bits[found["word"].to_numpy()] = found["bits"].to_numpy()
@@ -205,17 +220,31 @@ def _counted(sizes: list[int], overlap: int, pairs=None):
     return run
 
 
-def _written(longest: int, frequent):
-    """Phrases of fingerprints that pass the filter, read where they occur, with verified counts: lang, words, phrase, count. Words of 0: all words of the language."""
+def _written(longest: int, frequent, buckets: int):
+    """Phrases of fingerprints that pass the filter, read where they occur, with verified counts: a row of lists (lang, words, phrase, count) for each bucket of phrases. Words of 0: all words of the language."""
 
     def run(batches):
         import pyarrow as pa
 
+        def out():
+            sizes = [len(own) for own in held.values()]
+            columns = [pa.array(np.repeat(np.arange(len(sizes)), sizes)), pa.array(np.repeat([n for _, n in held], sizes).astype(np.int32))]
+            columns += [pa.array([p for own in held.values() for p in own], pa.binary()), pa.array(np.fromiter((c for own in held.values() for c in own.values()), np.int64, sum(sizes)))]
+            bucket = np.fromiter((zlib.crc32(p) % buckets for own in held.values() for p in own), np.int32, sum(sizes))
+            order = np.argsort(bucket, kind="stable")
+            columns = [c.take(pa.array(order)) for c in columns]
+            columns[0] = pa.array([lang for lang, _ in held], pa.string()).take(columns[0])
+            columns[2] = columns[2].cast(pa.string())
+            found, starts = np.unique(bucket[order], return_index=True)
+            offsets = pa.array(np.append(starts, sum(sizes)).astype(np.int32))
+            return pa.record_batch([pa.array(found), *[pa.ListArray.from_arrays(offsets, c) for c in columns]], names=["bucket", "lang", "words", "phrase", "count"])
+
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
         for block in _blocks(batches, longest - 1):
             number, text = block.exact_words(), block.low.tobytes()
-            columns = {"lang": [], "words": [], "phrase": [], "count": []}
-            for lang, count in zip(block.langs, np.bincount(block.lang[block.fresh], minlength=len(block.langs)).tolist(), strict=True):
-                columns["lang"].append(lang), columns["words"].append(0), columns["phrase"].append(b""), columns["count"].append(count)
+            for k, count in enumerate(np.bincount(block.lang[block.fresh], minlength=len(block.langs)).tolist()):
+                own = held.setdefault((block.langs[k], 0), {b"": 0})
+                own[b""] += count
             for n in range(1, longest + 1):
                 keys, valid = block.grams(n)
                 at = np.flatnonzero(valid & frequent.value.passes(keys)) if len(keys) else np.empty(0, np.int64)
@@ -227,12 +256,44 @@ def _written(longest: int, frequent):
                 if not all((c == c[first][same]).all() for c in exact):
                     _, first, counts = np.unique(np.stack(exact, 1), axis=0, return_index=True, return_counts=True)
                 pointers = at[first]
-                columns["lang"] += [block.langs[k] for k in block.lang[pointers].tolist()]
-                columns["words"] += [n] * len(pointers)
-                columns["phrase"] += [block.phrase(text, i, i + n - 1) for i in pointers.tolist()]
-                columns["count"] += counts.tolist()
-            arrays = [pa.array(columns["lang"], pa.string()), pa.array(columns["words"], pa.int32()), pa.array(columns["phrase"], pa.binary()).cast(pa.string()), pa.array(columns["count"], pa.int64())]
-            yield pa.record_batch(arrays, names=list(columns))
+                for k in np.unique(block.lang[pointers]).tolist():
+                    mine = block.lang[pointers] == k
+                    own = held.setdefault((block.langs[k], n), {})
+                    for phrase, count in zip(block.phrases(text, pointers[mine], n), counts[mine].tolist(), strict=True):
+                        own[phrase] = own.get(phrase, 0) + count
+            if sum(map(len, held.values())) > HELD:
+                yield out()
+                held = {}
+        if held:
+            yield out()
+
+    return run
+
+
+def _gathered(least: int):
+    """Lists of counts, sorted by bucket, to the phrases that occur ``least`` times; a task holds the phrases of one bucket at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def out(rows):
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["lang", "words", "phrase", "count"])
+
+        held: dict[tuple[str, int, str], int] = {}
+        bucket, rows = None, []
+        for b in batches:
+            for own, *lists, counts in zip(*[b.column(c).to_pylist() for c in ("bucket", "lang", "words", "phrase", "count")], strict=True):
+                if own != bucket:
+                    rows += [(*key, count) for key, count in held.items() if count >= least or not key[1]]
+                    bucket, held = own, {}
+                for key, count in zip(zip(*lists, strict=True), counts, strict=True):
+                    held[key] = held.get(key, 0) + count
+            if len(rows) > 10_000:
+                yield out(rows)
+                rows = []
+        rows += [(*key, count) for key, count in held.items() if count >= least or not key[1]]
+        if rows:
+            yield out(rows)
 
     return run
 
@@ -255,8 +316,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     keys = short
     if longest > 2:
         keys = short.union(cut(frequent(list(range(3, longest + 1)), spark.sparkContext.broadcast(Filter.of(short))), "long"))
-    written = docs.mapInArrow(_written(longest, spark.sparkContext.broadcast(Filter.of(keys))), "lang string, words int, phrase string, count long")
-    return cut(written.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count")).where((F.col("count") >= least) | (F.col("words") == 0)), "phrases")
+    buckets = max(16, min(1 << 20, keys.count() // BUCKET_PHRASES))
+    lists = "bucket int, lang array<string>, words array<int>, phrase array<string>, count array<long>"
+    written = docs.mapInArrow(_written(longest, spark.sparkContext.broadcast(Filter.of(keys)), buckets), lists)
+    gathered = written.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gathered(least), "lang string, words int, phrase string, count long")
+    return cut(gathered, "phrases")
 
 
 def _part(first, last):
