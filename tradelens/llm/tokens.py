@@ -12,7 +12,7 @@ import numpy as np
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 #: Pieces of one generation of the table of known pieces.
-_CACHE = 400_000
+_CACHE = 200_000
 #: Texts of one batch that the tokenizer takes whole.
 _BATCH = 64
 #: The tokenizer's splitter on lower-case text of Latin-1 characters: runs of letters, contractions, single digits, runs of the rest.
