@@ -26,10 +26,10 @@ def normalize_form4(parsed: DataFrame, entities: DataFrame) -> DataFrame:
     filing = F.concat_ws(":", "issuer_cik", "owner_cik", "period", stem)
     rows = parsed.where("not parse_error and line is not null").withColumns({"filing_id": filing, "source": F.lit("insider"), "cik": F.col("issuer_cik")})
     rows = rows.withColumn("record_id", F.concat_ws(":", "filing_id", (F.col("line") + 1).cast("string")))
-    events = resolve.resolve_entities(rows.select("record_id", "source", "ticker", "cik", "issuer_name"), entities)
-    events = events.select("record_id", "event_id", "status", F.col("entity_key").alias("event_key"), F.col("confidence").alias("resolution_confidence"))
+    # the rows go through the resolution themselves: a join of events back to them would parse every document twice
+    out = resolve.resolve_entities(rows, entities).drop("candidates", "evidence").withColumnsRenamed({"entity_key": "event_key", "confidence": "resolution_confidence"})
     tickers = resolve.small(entities.select(F.col("entity_key").alias("event_key"), F.col("ticker").alias("entity_ticker")).dropDuplicates(["event_key"]))
-    out = rows.join(events, "record_id").join(tickers, "event_key", "left")
+    out = out.join(tickers, "event_key", "left")
     ticker = F.coalesce("entity_ticker", F.nullif(F.upper(F.trim("ticker")), F.lit("")))
     out = out.withColumn("ticker", ticker).withColumns({
         "actor_id": F.col("owner_cik"), "actor_name": F.col("owner_name"), "value": F.col("total_value"), "execution_date": F.col("transaction_date"), "disclosure_date": F.try_to_date("period", "yyyy-MM-dd"),

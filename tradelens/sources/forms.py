@@ -30,7 +30,8 @@ def parse_form4(files: DataFrame) -> DataFrame:
     the transaction columns are null, where the document is malformed. Namespaces are stripped.
     """
     clean = F.regexp_replace(F.regexp_replace("content", r'\sxmlns(:\w+)?="[^"]*"', ""), r"<(/?)\w+:", "<$1")
-    x = files.withColumn("x", F.from_xml(clean, FORM_SCHEMA, {"mode": "PERMISSIVE", "attributePrefix": "_", "valueTag": "_VALUE"}))
+    # exploded from an array of one, so that filters on the rows are not pushed below it, which would parse each document again
+    x = files.select("file", F.explode(F.array(F.from_xml(clean, FORM_SCHEMA, {"mode": "PERMISSIVE", "attributePrefix": "_", "valueTag": "_VALUE"}))).alias("x"))
     t = lambda name, derivative: F.transform(F.coalesce(F.col(name), F.array()), lambda r: F.struct(F.lit(derivative).alias("is_derivative"), r.alias("t")))
     rows = F.concat(t("x.nonDerivativeTable.nonDerivativeTransaction", False), t("x.derivativeTable.derivativeTransaction", True))
     owner = F.element_at("x.reportingOwner", 1)
