@@ -499,7 +499,7 @@ def t1(spark, sf_dir):
     from tradelens.streaming import streams
 
     landed, out, checkpoint = (sinks.staging_path(spark, name) for name in ("landed", "streamed", "checkpoint"))
-    form4_documents(trades(spark, sf_dir).where("source = 'insider'")).select("content").write.text(landed)
+    form4_documents(trades(spark, sf_dir).where("source = 'insider'")).select("content").write.text(landed, compression="gzip")
     stream = streams.stream_form4(spark, landed, whole=False)
     stream.select("owner_cik", "ticker", "code").writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.parquet(out).groupBy("owner_cik", "ticker", "code").agg(F.count("*").alias("n"))
