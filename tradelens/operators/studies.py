@@ -13,22 +13,18 @@ from tradelens.operators.resolve import small
 def asof_forward(probes: DataFrame, prices: DataFrame, key: str, date: str) -> DataFrame:
     """Adds found_date and found_close: the first close of the key on or after the probe's date.
 
-    Probes and closes of a key and month are sorted together by date, descending, and the last close seen is carried
-    on; so a task holds a month of a key. Probes behind the last close of their month take the first one of
-    the next month that has any, from a list of a key's monthly first closes.
+    Each close stands for the days after the close before it, so the closes of a key become one row per day and the probes
+    are joined by key and day; days before a key's first close take that one. The rows grow with keys and calendar days,
+    not with probes, which are neither sorted nor shuffled while those rows are few.
     """
-    columns = probes.columns
-    month = F.trunc("_at", "month")
-    rows = probes.select(F.col(key).alias("_key"), F.col(date).alias("_at"), F.struct(*columns).alias("_row"), F.lit(None).cast("double").alias("_close"), F.lit(1).alias("_kind"))
-    ticks = prices.select(F.col(key).alias("_key"), F.col("date").alias("_at"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.col("close").alias("_close"), F.lit(0).alias("_kind"))
-    w = W.partitionBy("_key", "_month").orderBy(F.desc("_at"), "_kind").rowsBetween(W.unboundedPreceding, 0)
-    tick = F.struct(F.col("_at").alias("d"), F.col("_close").alias("c"))
-    seen = F.last(F.when(F.col("_kind") == 0, tick), ignorenulls=True).over(w)
-    met = rows.union(ticks).withColumn("_month", month).withColumn("_seen", seen).where("_kind = 1")
-    firsts = ticks.groupBy("_key", month.alias("_month")).agg(F.min(tick).alias("t")).groupBy("_key").agg(F.array_sort(F.collect_list("t")).alias("_firsts"))
-    later = F.get(F.filter("_firsts", lambda t: t["d"] >= F.col("_at")), F.lit(0))
-    out = met.join(small(firsts), "_key", "left").withColumn("_seen", F.coalesce("_seen", later))
-    return out.select("_row.*", F.col("_seen.d").alias("found_date"), F.col("_seen.c").alias("found_close"))
+    own = prices.select(F.col(key).alias("_key"), F.col("date").alias("found_date"), F.col("close").alias("found_close")).where("_key is not null and found_date is not null")
+    before = F.lag("found_date").over(W.partitionBy("_key").orderBy("found_date"))
+    own = own.withColumn("_before", before).where("_before is null or _before < found_date")
+    days = own.select("_key", "found_date", "found_close", F.explode(F.sequence(F.coalesce(F.date_add("_before", 1), "found_date"), "found_date")).alias("_day"))
+    firsts = own.where("_before is null").select("_key", F.col("found_date").alias("_first"))
+    at = probes.withColumns({"_key": F.col(key), "_at": F.col(date)}).join(small(firsts), "_key", "left")
+    out = at.withColumn("_day", F.when(F.col("_at").isNotNull(), F.greatest("_at", "_first"))).join(small(days), ["_key", "_day"], "left")
+    return out.select(*[F.col(f"`{c}`") for c in probes.columns], "found_date", "found_close")
 
 
 def forward_returns(events: DataFrame, prices: DataFrame, days: list[int]) -> DataFrame:
