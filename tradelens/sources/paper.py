@@ -166,14 +166,20 @@ def _without_tail(name: Column) -> Column:
 
 def amendment_fields(line: Column) -> Column:
     """struct(owner, asset_name, kind, trade_date, low, high) of an amendment letter's line, null if it is none."""
-    whole = _has(line, AMENDMENT)
-    pick = lambda a, b: F.when(whole, F.regexp_extract(line, AMENDMENT, a)).otherwise(F.regexp_extract(line, AMENDMENT_SPLIT, b))
-    fields = F.struct(
-        F.when(F.lower(pick(6, 5)) == "spouse", "spouse").otherwise("self").alias("owner"), _without_tail(F.trim(pick(1, 1))).alias("asset_name"),
-        F.when(F.lower(pick(4, 3)) == "sale", "sale").otherwise("purchase").alias("kind"), F.try_to_date(pick(5, 4), "M/d/yyyy").alias("trade_date"), _digits(pick(2, 2)).alias("low"), _digits(pick(3, 6)).alias("high"),
+    # each pattern is run once: its groups are put behind one another, the name, which may hold anything, last
+    groups = lambda pattern, order: F.when(_has(line, pattern), F.split(F.regexp_replace(line, pattern + r"(?s:.*)$", order), "\x01", 6))
+    found = F.coalesce(groups(AMENDMENT, "$6\x01$4\x01$5\x01$2\x01$3\x01$1"), groups(AMENDMENT_SPLIT, "$5\x01$3\x01$4\x01$2\x01$6\x01$1"))
+    fields = lambda g: F.struct(
+        F.when(F.lower(F.get(g, F.lit(0))) == "spouse", "spouse").otherwise("self").alias("owner"), _without_tail(F.trim(F.get(g, F.lit(5)))).alias("asset_name"),
+        F.when(F.lower(F.get(g, F.lit(1))) == "sale", "sale").otherwise("purchase").alias("kind"), F.try_to_date(F.get(g, F.lit(2)), "M/d/yyyy").alias("trade_date"), _digits(F.get(g, F.lit(3))).alias("low"), _digits(F.get(g, F.lit(4))).alias("high"),
     )
     valid = lambda f: F.when(asset_name_plausible(f["asset_name"]) & f["trade_date"].isNotNull() & f["low"].isNotNull() & f["high"].isNotNull(), f)
-    return F.when(whole | _has(line, AMENDMENT_SPLIT), _named(fields, valid))
+    return _named(found, lambda g: F.when(g.isNotNull(), _named(fields(g), valid)))
+
+
+def _kept(found: DataFrame) -> DataFrame:
+    """Lines with fields f. They are exploded, as a filter on f would be pushed below it and compute it a second time."""
+    return found.select("doc", F.col("i").alias("line"), F.inline(F.filter(F.array("f"), lambda f: f.isNotNull())))
 
 
 def parse_amendment_lines(docs: DataFrame) -> DataFrame:
@@ -186,7 +192,7 @@ def parse_amendment_lines(docs: DataFrame) -> DataFrame:
     spaced = lambda c: F.regexp_replace(F.replace(c, F.lit("|"), F.lit(" | ")), r"\s+", " ")
     starts = _has(F.col("line"), r"(?i)\$.*\b(Sale|Purchase)\b.*\d{1,2}/\d{1,2}/\d{4}")
     found = lines.where(starts).withColumn("f", F.coalesce(amendment_fields(spaced(F.col("line"))), amendment_fields(spaced(F.col("merged")))))
-    return found.where("f is not null").select("doc", F.col("i").alias("line"), "f.*")
+    return _kept(found)
 
 
 def paper_fields(line: Column) -> Column:
@@ -243,7 +249,7 @@ def parse_paper_text(docs: DataFrame) -> DataFrame:
     lines = every.where((F.length("line") >= 10) & ~_has(F.lower("line"), "|".join(BOILERPLATE)))
     again = _has(F.col("line"), r"(?i)\b(Sale|Purchase)\b") & _has(F.col("line"), r"\d{1,2}/\d{1,2}/\d{4}")
     found = lines.withColumn("f", F.coalesce(paper_fields(F.col("line")), F.when(again, paper_fields(F.col("merged")))))
-    return found.where("f is not null").select("doc", F.col("i").alias("line"), "f.*")
+    return _kept(found)
 
 
 def parse_senate_paper_text(docs: DataFrame) -> DataFrame:
