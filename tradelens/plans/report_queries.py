@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tradelens.functions.config import V1
-from tradelens.operators import overlay, reports, resolve, signals
+from tradelens.operators import matching, overlay, reports, signals
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, LEGISLATOR_SQL, insider_results, insiders, legislator_scores, legislators, positioning_sql
@@ -124,7 +124,7 @@ def a25c(spark, sf_dir):
 @query("a28_vendor_match_report")
 def a28(spark, sf_dir):
     ours, theirs = _vendor(spark, sf_dir)
-    return reports.vendor_match_report(resolve.match_vendor_trades(resolve.vendor_pair_scores(ours, theirs)), ours, theirs)
+    return reports.vendor_match_report(matching.match_trades(ours, theirs), ours, theirs)
 
 
 _PAIRED = f"""{WITH}, a AS (SELECT record_id AS id, ticker, action, execution_date AS date, value AS amount, filing_id AS k FROM trades WHERE source = 'congress'),
