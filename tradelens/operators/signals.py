@@ -69,9 +69,15 @@ def winsorize(scored: DataFrame, keys: list[str], percentile: float = 0.95, colu
     return out.withColumn(column, F.when(F.abs(column) > F.col("threshold"), F.signum(column) * F.col("threshold")).otherwise(F.col(column))).drop("threshold")
 
 
+def net(c: str) -> Column:
+    """Sum of ``c``, and 0 if it is within the rounding of a sum of its terms in any order: terms that cancel leave 0, not a residue with a sign."""
+    total = F.sum(c)
+    return F.when(F.abs(total) <= F.sum(F.abs(c)) * F.count(c) * 2.0**-52, 0.0).otherwise(total)
+
+
 def cap_sweep(scored: DataFrame, caps: list[float], cfg: Config = V2) -> DataFrame:
     """``positioning`` of all trades under each member cap: cap and its fields. Trades are aggregated to members once; only those are copied per cap."""
-    members = winsorize(scored, [], cfg.winsor).groupBy("member_id").agg(F.sum("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
+    members = winsorize(scored, [], cfg.winsor).groupBy("member_id").agg(net("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
     return _positioning_of_members(members.withColumn("cap", F.explode(F.array(*map(F.lit, caps)))), ["cap"], F.col("cap"))
 
 
