@@ -13,3 +13,8 @@ def scored(spark):
 def test_a_member_whose_trades_cancel_is_neutral_in_the_sweep(scored):
     rows = signals.cap_sweep(scored, [0.5, 0.9]).collect()
     assert [(r.buyers, r.sellers, r.neutral) for r in rows] == [(1, 1, 1)] * 2
+
+
+def test_a_member_whose_trades_cancel_is_neutral_in_the_market(scored):
+    row = signals.market_positioning(scored, scored, 1).first()
+    assert (row.buyers, row.sellers, row.neutral, row.breadth) == (1, 1, 1, 0.0)

@@ -84,7 +84,7 @@ def cap_sweep(scored: DataFrame, caps: list[float], cfg: Config = V2) -> DataFra
 def positioning(scored: DataFrame, keys: list[str], cfg: Config = V2) -> DataFrame:
     """Member-capped aggregate per key of scored legislator trades (member_id, final, stale, record_id): the fields of the positioning table."""
     clipped = winsorize(scored, keys, cfg.winsor)
-    members = clipped.groupBy(*keys, "member_id").agg(F.sum("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
+    members = clipped.groupBy(*keys, "member_id").agg(net("final").alias("m"), F.count("*").alias("n"), F.sum("stale").alias("stale"))
     return _positioning_of_members(members, keys, cfg.member_cap)
 
 
