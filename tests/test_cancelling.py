@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
+
 from tradelens.operators import signals
 
 # three trades of member 1 cancel, but 0.1 + 0.2 - 0.3 is not 0 in doubles, whatever the order
@@ -18,3 +20,9 @@ def test_a_member_whose_trades_cancel_is_neutral_in_the_sweep(scored):
 def test_a_member_whose_trades_cancel_is_neutral_in_the_market(scored):
     row = signals.market_positioning(scored, scored, 1).first()
     assert (row.buyers, row.sellers, row.neutral, row.breadth) == (1, 1, 1, 0.0)
+
+
+def test_a_member_whose_trades_cancel_is_no_buyer_of_a_sector(scored):
+    seats = scored.select("member_id").distinct().withColumns({"sector": F.lit("Energy"), "exposure": F.lit(1.0)})
+    row = signals.sector_positioning(scored, seats).first()
+    assert (row.buyers, row.sellers, row.members) == (1, 1, 3)

@@ -136,9 +136,9 @@ def member_sector_exposure(memberships: DataFrame) -> DataFrame:
 
 def sector_positioning(scored: DataFrame, exposures: DataFrame) -> DataFrame:
     """Members' net scores spread over sectors in proportion to exposure, per sector."""
-    net = scored.groupBy("member_id").agg(F.sum("final").alias("net"))
+    nets = scored.groupBy("member_id").agg(net("final").alias("net"))
     share = F.col("exposure") / F.sum("exposure").over(W.partitionBy("member_id"))
-    spread = net.join(exposures, "member_id").withColumn("v", F.col("net") * share)
+    spread = nets.join(exposures, "member_id").withColumn("v", F.col("net") * share)
     agg = spread.groupBy("sector").agg(
         F.sum(F.when(F.col("v") > 0, F.col("v")).otherwise(0)).alias("buy_volume"), F.sum(F.when(F.col("v") < 0, -F.col("v")).otherwise(0)).alias("sell_volume"),
         F.count_distinct(F.when(F.col("v") > 0, F.col("member_id"))).alias("buyers"), F.count_distinct(F.when(F.col("v") < 0, F.col("member_id"))).alias("sellers"),
