@@ -16,7 +16,7 @@ from tradelens.llm.common import cut, mix
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 #: Bytes of text that are hashed together, and fingerprints that a task counts before it hands them on.
-BLOCK_BYTES, HELD = 1 << 20, 1 << 19
+BLOCK_BYTES, HELD = 1 << 19, 1 << 19
 #: Bits of a filter for each frequent fingerprint, and of a filter at most; a full one lets more pass, which costs time only.
 FILTER_BITS_EACH, FILTER_BITS = 16, 1 << 28
 PROBES = (0, 18, 36)
