@@ -552,3 +552,17 @@ def test_bound_of_candidates_changes_no_result(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, rows), 85).select("doc_id", "component_id").collect()}
     assert got == brute_components(rows, 85)
     assert F is not None
+
+
+def test_counting_contexts_keeps_no_array_of_all_bits():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 123, 9, dtype=np.uint8)) for _ in range(60_000)]
+    counter = lm_score.Counter(lm_score.prefix_code(np.ones(256)), 16, np.empty(0, np.uint64))
+    bits = len(lm_score.Spelling([*words, b""], counter.code, 16).bit)
+    tracemalloc.start()
+    counter.add([b" ".join(words)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * bits  # 62 bytes a bit when all bits were expanded at once
