@@ -79,3 +79,13 @@ def test_senate_paper(spark):
         ("spouse", "AAPL", "purchase", D(2024, 1, 5), 1001, 15000), ("joint", None, "sale", D(2024, 2, 7), 50000001, 100000000), ("self", None, "exchange", D(1969, 3, 8), None, None),
     ]
     assert rows[0].asset_name == "Apple Inc Purchase Spouse"
+
+
+def test_fields_are_computed_once(spark):
+    """No filter computes a field a second time: each pattern stands once in the plan."""
+    docs = spark.createDataFrame([("d", 1, "05/06/2020 Some Company (ABC)\nPurchase $1,001 - $15,000")], "doc string, page int, text string")
+    senate = paper.parse_senate_paper_text(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert senate.count(r"\(([A-Z]{1,5})\)") == 1
+    assert senate.count(r"^\s+|\s+$") == 1
+    house = paper.parse_house_pages(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert house.count("^(SP|DC|JT) ") == 1

@@ -51,10 +51,15 @@ def _any_day(text: Column) -> Column:
     return F.when(F.length(year) == 4, F.try_to_date(text, "M/d/yyyy")).when(F.length(year) == 2, short)
 
 
+def _once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with columns that are computed once. They are exploded, as a later filter on them would be pushed below a plain column and compute it a second time."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def _lines(docs: DataFrame, *keys: str) -> DataFrame:
     """Trimmed lines that are not blank, with their position."""
-    lines = docs.select(*keys, F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    return lines.withColumn("line", F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))).where("line <> ''")
+    trimmed = F.transform(F.split("text", "\n"), lambda x: F.trim(F.regexp_replace(x, r"^\s+|\s+$", "")))
+    return docs.select(*keys, F.posexplode(trimmed).alias("i", "line")).where("line <> ''")
 
 
 def parse_house_metadata(docs: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def parse_house_pages(pages: DataFrame) -> DataFrame:
         F.when((starts("F") & within("S") & F.contains(line, F.lit(":"))) | (starts("L") & within(":")), "dropped").when(starts("S") & within("O") & F.contains(line, F.lit(":")), "sub_owner")
         .when(starts("D") & within(":"), "description").when(_has(line, "^(SP|DC|JT) ") | (dates >= 2) | ((dates == 1) & _has(line, AMOUNT)), "entry").when(starts("$"), "amount").otherwise("more")
     )
-    rows = rows.withColumn("kind", kind).where("kind <> 'dropped'")
+    rows = _once(rows, {"kind": kind}).where("kind <> 'dropped'")
     rows = rows.withColumn("entry", F.sum((F.col("kind") == "entry").cast("int")).over(so_far))
     rows = rows.withColumn("last", F.max("entry").over(W.partitionBy("doc", "page")))
     noted = F.col("kind").isin("description", "sub_owner")
@@ -104,12 +109,13 @@ def parse_house_pages(pages: DataFrame) -> DataFrame:
         "parts", F.array().cast("array<string>"),
         lambda acc, x: F.when((x["k"] == "amount") & (F.size(acc) > 0), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(F.try_element_at(acc, F.lit(-1)), F.lit(" "), x["t"])))).otherwise(F.concat(acc, F.array(x["t"]))),
     )
-    return grouped.where(F.size("parts") > 0).select("doc", "page", "entry", F.array_join(merged, " ").alias("text"), merged.alias("lines"), join(F.col("d"), " ").alias("description"), join(F.col("s"), " | ").alias("sub_owner"))
+    grouped = _once(grouped.where(F.size("parts") > 0), {"lines": merged})
+    return grouped.select("doc", "page", "entry", F.array_join("lines", " ").alias("text"), "lines", join(F.col("d"), " ").alias("description"), join(F.col("s"), " | ").alias("sub_owner"))
 
 
 def _entry_amount(text: Column, lines: Column) -> Column:
     """struct(low, high): a range; a dangling lower bound and a later upper one; two amounts in a line; an exact amount."""
-    direct = _found(text, AMOUNT)
+    direct = _named(_found(text, AMOUNT), lambda d: F.when(d.isNotNull(), amount_bracket(d)))
     n = F.size(lines)
     bound = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
     none = bound(F.lit(None).cast("long"), F.lit(None).cast("long"))
@@ -128,7 +134,7 @@ def _entry_amount(text: Column, lines: Column) -> Column:
     open_range = first(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), dangling), lambda x: x["low"].isNotNull() & x["high"].isNotNull())
     pair = first(F.transform(lines, two), lambda x: x.isNotNull())
     alone = first(exact, lambda x: x.isNotNull())
-    return F.coalesce(F.when(direct.isNotNull(), amount_bracket(direct)), open_range, pair, F.when(alone.isNotNull(), bound(alone, alone)), none)
+    return F.coalesce(direct, open_range, pair, F.when(alone.isNotNull(), bound(alone, alone)), none)
 
 
 def house_entry_fields(entries: DataFrame) -> DataFrame:
@@ -261,13 +267,13 @@ def parse_senate_paper_text(docs: DataFrame) -> DataFrame:
     dated = _has(F.col("line"), r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}")
     priced = _has(F.col("line"), r"\$[\d,]+")
     own = W.partitionBy("doc").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    rows = _lines(docs, "doc").withColumns({"dated": dated, "any": F.max(dated | priced).over(own)}).where("any")
+    rows = _once(_lines(docs, "doc"), {"dated": dated, "priced": priced}).withColumn("any", F.max(F.col("dated") | F.col("priced")).over(own)).where("any")
     first = F.row_number().over(W.partitionBy("doc").orderBy("i")) == 1
     rows = rows.withColumn("starts", (F.col("dated") | first).cast("int")).withColumn("entry", F.sum("starts").over(own))
     entries = rows.groupBy("doc", "entry").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n").alias("text"))
     text = F.col("text")
-    lower = F.lower(text)
-    ticker = _found(text, r"\(([A-Z]{1,5})\)")
+    entries = _once(entries.where(F.length("text") >= 10), {"ticker": _found(text, r"\(([A-Z]{1,5})\)"), "lower": F.lower(text)})
+    ticker, lower = F.col("ticker"), F.col("lower")
     day = F.coalesce(
         F.try_to_date(_found(text, r"(\d{1,2}/\d{1,2}/\d{4})"), "M/d/yyyy"), F.try_to_date(_found(text, r"(\d{1,2}-\d{1,2}-\d{4})"), "M-d-yyyy"),
         _any_day(_found(text, r"(\d{1,2}/\d{1,2}/\d{2})")),
@@ -285,8 +291,9 @@ def parse_senate_paper_text(docs: DataFrame) -> DataFrame:
     for pattern in (r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}", r"\$[\d,]+(?:\s*[-—]\s*\$[\d,]+)?"):
         bare = F.regexp_replace(bare, pattern, "")
     bare = F.trim(F.regexp_replace(bare, r"\s+", " "))
-    out = entries.where(F.length("text") >= 10).select(
-        "doc", "entry", owner.alias("owner"), F.when(F.length(bare) > 3, F.substring(bare, 1, 200)).alias("asset_name"), ticker.alias("ticker"), kind.alias("kind"), day.alias("trade_date"),
-        amount["low"].alias("low"), amount["high"].alias("high"),
+    out = _once(entries, {"bare": bare, "amount": amount})
+    out = out.select(
+        "doc", "entry", owner.alias("owner"), F.when(F.length("bare") > 3, F.substring("bare", 1, 200)).alias("asset_name"), "ticker", kind.alias("kind"), day.alias("trade_date"),
+        "amount.low", "amount.high",
     )
     return out.where("ticker is not null or asset_name is not null or (low > 0 and high > 0)")
