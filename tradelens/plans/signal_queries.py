@@ -178,11 +178,15 @@ a6 AS (SELECT subject_key, round(score, 6) AS score, round(composite, 6) AS conf
   CASE WHEN composite < 0.25 OR transactions < 2 THEN 'insufficient' WHEN score > 0.05 THEN 'bullish' WHEN score < -0.05 THEN 'bearish' ELSE 'neutral' END AS label, transactions FROM comp)"""
 
 
-def legislator_results(spark, sf_dir):
-    s = signals.legislator_entity_signal(legislator_scores(spark, sf_dir), ["subject_key"])
+def _entity_results(scored):
+    s = signals.legislator_entity_signal(scored, ["subject_key"])
     return s.select("subject_key", F.round("score", 6).alias("score"), F.round("composite", 6).alias("confidence"), "tier", "label", "transactions")
 
 
+def legislator_results(spark, sf_dir):
+    return _entity_results(legislator_scores(spark, sf_dir))
+
+
 @query("a6_legislator_entity_signal", f"{A6_SQL} SELECT * FROM a6")
 def a6(spark, sf_dir):
     return legislator_results(spark, sf_dir)
@@ -327,9 +331,23 @@ def a17(spark, sf_dir):
     return alerts.sector_summary(r.join(s, "ticker")).select("sector", "bullish", "bearish", "tickers", "net", "top_tickers")
 
 
-def sides(spark, sf_dir):
-    ins = insider_results(spark, sf_dir).where("window_days = 90 and label <> 'insufficient'")
-    leg = legislator_results(spark, sf_dir).where("label <> 'insufficient'")
+_INSIDER_COLUMNS = ["source", "record_id", "ticker", "subject_key", "actor_id", "direction", "value", "execution_date", "included", "reason_code", "direction_weight", "signal"]
+_LEGISLATOR_COLUMNS = ["source", "record_id", "ticker", "subject_key", "actor_id", "action", "direction", "sector", "chamber", "owner_type", "low", "high", "execution_date", "disclosure_date", "included", "reason_code"]
+
+
+def staged_sources(spark, sf_dir):
+    """Normalized trades of insiders and legislators and the results of both, for queries that read them many times: each is made once."""
+    ins = sinks.staged(insiders(spark, sf_dir).select(*_INSIDER_COLUMNS), "insiders")
+    legs = sinks.staged(legislators(spark, sf_dir).select(*_LEGISLATOR_COLUMNS), "legislators")
+    own = sinks.staged(signals.insider_company_signal(ins, ref()), "insider-results")
+    theirs = sinks.staged(_entity_results(normalize.score_legislator(legs, ref())), "legislator-results")
+    return ins, legs, own, theirs
+
+
+def sides(spark, sf_dir, own=None, theirs=None):
+    """Both sides of the overlay and the events of their resolution, from the results of both sources where they are given."""
+    ins = (insider_results(spark, sf_dir) if own is None else own).where("window_days = 90 and label <> 'insufficient'")
+    leg = (legislator_results(spark, sf_dir) if theirs is None else theirs).where("label <> 'insufficient'")
     # every seventh ticker resolves with low confidence, every eleventh is ambiguous
     k = lambda c: F.ascii(F.right(c, F.lit(1))) - F.ascii(F.lit("a")) + (F.ascii(F.substring(c, 9, 1)) - F.ascii(F.lit("a"))) * 10
     event = F.when(k("subject_key") % 7 == 0, F.concat(F.lit("e:"), "subject_key")).when(k("subject_key") % 11 == 0, F.concat(F.lit("x:"), "subject_key"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tradelens import sinks
 from tradelens.functions import numeric as N
-from tradelens.operators import overlay, reports, resolve, store
+from tradelens.operators import alerts, overlay, reports, resolve, store
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
-from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislator_results, legislators, matched, sides
+from tradelens.plans.signal_queries import A1_SQL, INSIDER_SQL, LEGISLATOR_SQL, OVERLAY_SQL, insider_results, insiders, legislators, memberships, sides, staged_sources
 from tradelens.plans.source_queries import file_of, tag
 from tradelens.plans.trades import table, trades
 from tradelens.sources import forms, rosters
@@ -385,12 +385,13 @@ BRIEF_SQL = " UNION ALL ".join(
 def a16(spark, sf_dir):
     from tradelens.plans.signal_queries import dt
 
-    ins, leg, events = sides(spark, sf_dir)
+    trades_in, legs, own, theirs = staged_sources(spark, sf_dir)
+    ins, leg, events = sides(spark, sf_dir, own, theirs)
     ticker = F.upper(F.replace("subject_key", F.lit("entity:"), F.lit("")))
-    results = insider_results(spark, sf_dir).select(F.lit("insider").alias("source"), ticker.alias("ticker"), "label", "score", "confidence", "window_days", F.col("buy_count").alias("included_count"))
-    t = trades(spark, sf_dir).select("ticker").distinct()
+    results = own.select(F.lit("insider").alias("source"), ticker.alias("ticker"), "label", "score", "confidence", "window_days", F.col("buy_count").alias("included_count"))
+    t = trades_in.select("ticker").unionByName(legs.select("ticker")).distinct()
     calendar = t.withColumn("earnings_date", F.date_add(F.lit(dt.date(1999, 11, 15)), (F.ascii(F.right("ticker", F.lit(1))) - 65) * 3))
-    sections = store.daily_brief(insiders(spark, sf_dir), results, overlay.overlay(ins, leg, events).where("eligible"), calendar, matched(spark, sf_dir), ref())
+    sections = store.daily_brief(trades_in, results, overlay.overlay(ins, leg, events).where("eligible"), calendar, alerts.committee_trades(legs, memberships(spark, sf_dir)), ref())
     return store.brief_lines(sections).groupBy("section").agg(F.count("*").alias("lines"))
 
 
@@ -404,12 +405,13 @@ def a16(spark, sf_dir):
 )
 def a16b(spark, sf_dir):
     """What the brief says on results of both sources, not only how much of it there is."""
-    ins, leg, events = sides(spark, sf_dir)
+    trades_in, legs, own, theirs = staged_sources(spark, sf_dir)
+    ins, leg, events = sides(spark, sf_dir, own, theirs)
     ticker = F.upper(F.replace("subject_key", F.lit("entity:"), F.lit("")))
-    own = insider_results(spark, sf_dir).select(F.lit("insider").alias("source"), ticker.alias("ticker"), "label", F.col("score").cast("double").alias("score"), F.col("confidence").cast("double").alias("confidence"), "window_days", F.col("buy_count").alias("included_count"))
-    theirs = legislator_results(spark, sf_dir).select(F.lit("congress").alias("source"), ticker.alias("ticker"), "label", "score", "confidence", F.lit(0).alias("window_days"), F.col("transactions").alias("included_count"))
+    own = own.select(F.lit("insider").alias("source"), ticker.alias("ticker"), "label", F.col("score").cast("double").alias("score"), F.col("confidence").cast("double").alias("confidence"), "window_days", F.col("buy_count").alias("included_count"))
+    theirs = theirs.select(F.lit("congress").alias("source"), ticker.alias("ticker"), "label", "score", "confidence", F.lit(0).alias("window_days"), F.col("transactions").alias("included_count"))
     calendar = own.select("ticker", F.lit(None).cast("date").alias("earnings_date")).limit(0)
-    brief = store.daily_brief(insiders(spark, sf_dir), own.unionByName(theirs), overlay.overlay(ins, leg, events).where("eligible"), calendar, matched(spark, sf_dir), ref())
+    brief = store.daily_brief(trades_in, own.unionByName(theirs), overlay.overlay(ins, leg, events).where("eligible"), calendar, alerts.committee_trades(legs, memberships(spark, sf_dir)), ref())
     row = lambda section, name, first, second: brief[section].select(F.lit(section).alias("section"), F.col(name).alias("name"), *[F.round(F.col(c).cast("double"), 4).alias(k) for c, k in ((first, "first"), (second, "second"))])
     strong = [row(s, "ticker", "score", "confidence") for s in ("strong_insider", "strong_legislator")]
     return strong[0].unionByName(strong[1]).unionByName(row("stats", "source", "bullish", "bearish")).unionByName(row("cross_source", "ticker", "insider_score", "legislator_score"))
@@ -419,9 +421,9 @@ _OBSERVED_SQL = f"""{OVERLAY_SQL}, q AS (SELECT subject_key, eligible, outcome,
   CASE outcome WHEN 'SINGLE_SOURCE_ONLY' THEN 'MISSING_COUNTERPART' WHEN 'BLOCKED_LOW_CONFIDENCE' THEN 'LOW_RESOLUTION_CONFIDENCE' WHEN 'BLOCKED_AMBIGUOUS' THEN 'AMBIGUOUS_ENTITY_MATCH' END AS reason_code FROM o)"""
 
 
-def _overlaid(spark, sf_dir) -> DataFrame:
+def _overlaid(spark, sf_dir, own=None, theirs=None) -> DataFrame:
     """Overlay decisions of three runs, with their references and reasons as JSON texts."""
-    rows = overlay.overlay(*sides(spark, sf_dir))
+    rows = overlay.overlay(*sides(spark, sf_dir, own, theirs))
     run = F.concat(F.lit("run-"), (F.ascii(F.right("subject_key", F.lit(1))) % 3).cast("string"))
     refs = F.to_json(F.struct(F.concat(F.lit("i:"), "subject_key").alias("insider"), F.concat(F.lit("c:"), "subject_key").alias("congress")))
     return rows.withColumns({"run_id": run, "refs": refs, "payload": F.to_json(F.create_map(F.lit("outcome"), "outcome"))})
@@ -452,8 +454,9 @@ def a23b(spark, sf_dir):
         ledger.start(f"run-{status}", {"status": status})
         ledger.finish(f"run-{status}", {}, failed=status == "P")
     columns = ["source", "included", "reason_code", "ticker"]
-    normalized = insiders(spark, sf_dir).select(columns).unionByName(legislators(spark, sf_dir).select(columns))
-    return reports.run_observability(normalized, _overlaid(spark, sf_dir).where("not eligible"), ledger.runs())
+    ins, legs, own, theirs = staged_sources(spark, sf_dir)
+    normalized = ins.select(columns).unionByName(legs.select(columns))
+    return reports.run_observability(normalized, _overlaid(spark, sf_dir, own, theirs).where("not eligible"), ledger.runs())
 
 
 @query("k2_append_blocks", f"{WITH} SELECT filing_id, 2 * count(*) AS n, min('{{\"ticker\":\"' || ticker || '\"}}') AS first_ref FROM trades WHERE planned GROUP BY filing_id")
