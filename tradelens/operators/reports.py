@@ -206,19 +206,24 @@ def crossref_summary(legislators: DataFrame, insiders: DataFrame, crossed: DataF
     return crossed.agg(F.count("*").alias("crossed"), rate.alias("agreement_rate")).crossJoin(alone)
 
 
-def vendor_discrepancies(matches: DataFrame, ours: DataFrame, theirs: DataFrame, days: int = 7) -> DataFrame:
-    """What differs in each match (a_id, b_id) of trades (id, ticker, action, date, amount): rows (a_id, b_id, kind).
-
-    Tickers, actions and dates differ only where both sides have one, dates by more than ``days``; an amount that one side lacks differs.
-    """
+def _compared(matches: DataFrame, ours: DataFrame, theirs: DataFrame, days: int = 7) -> DataFrame:
+    """Each match with the kinds in which its trades differ, and whether its tickers are equal: a_id, b_id, kinds, same_ticker."""
     a = ours.select(*[F.col(c).alias(f"a_{c}") for c in ("id", "ticker", "action", "date", "amount")])
     b = theirs.select(*[F.col(c).alias(f"b_{c}") for c in ("id", "ticker", "action", "date", "amount")])
-    both = matches.select("a_id", "b_id").join(a, "a_id").join(b, "b_id")
+    both = matches.select("a_id", "b_id").join(b, "b_id").join(a, "a_id")
     close = F.abs(F.col("a_amount") - F.col("b_amount")) <= 0.1 * F.greatest("a_amount", "b_amount")
     close = F.coalesce(close, F.col("a_amount").isNull() & F.col("b_amount").isNull())
     apart = F.abs(F.datediff("a_date", "b_date")) > days
     kinds = F.array(F.when(F.col("a_ticker") != F.col("b_ticker"), "ticker"), F.when(F.col("a_action") != F.col("b_action"), "action"), F.when(apart, "date"), F.when(~close, "amount"))
-    return both.select("a_id", "b_id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"))
+    return both.select("a_id", "b_id", F.array_compact(kinds).alias("kinds"), (F.col("a_ticker") == F.col("b_ticker")).alias("same_ticker"))
+
+
+def vendor_discrepancies(matches: DataFrame, ours: DataFrame, theirs: DataFrame, days: int = 7) -> DataFrame:
+    """What differs in each match (a_id, b_id) of trades (id, ticker, action, date, amount): rows (a_id, b_id, kind).
+
+    Tickers, actions and dates differ only where both sides have one, dates by more than ``days``; an amount that one side lacks differs.
+    """
+    return _compared(matches, ours, theirs, days).select("a_id", "b_id", F.explode("kinds").alias("kind"))
 
 
 def vendor_validation(matches: DataFrame, ours: DataFrame, theirs: DataFrame, samples: int = 10) -> DataFrame:
@@ -227,10 +232,11 @@ def vendor_validation(matches: DataFrame, ours: DataFrame, theirs: DataFrame, sa
     ``metric``: trades of both sides, matched and unmatched ones, the share of ours that is matched, and the shares of matches with equal tickers and with
     amounts that agree; ``discrepancy``: how many matches differ in each kind; ``sample``: the first matches that differ, by a_id, with their kinds.
     """
-    found = staged(vendor_discrepancies(matches, ours, theirs), "discrepancies")
-    tickers = [side.select(F.col("id").alias(i), F.col("ticker").alias(t)) for side, i, t in ((ours, "a_id", "x"), (theirs, "b_id", "y"))]
-    equal = matches.join(tickers[0], "a_id").join(tickers[1], "b_id").agg(F.count("*").alias("matched"), F.count_if(F.col("x") == F.col("y")).alias("same_ticker"))
-    one = equal.crossJoin(found.agg(F.count_if(F.col("kind") == "amount").alias("other_amount"))).crossJoin(ours.agg(F.count("*").alias("ours"))).crossJoin(theirs.agg(F.count("*").alias("theirs")))
+    compared = _compared(matches, ours, theirs).select(F.when(F.size("kinds") > 0, F.col("a_id")).alias("a_id"), "kinds", "same_ticker")
+    compared = staged(compared, "compared")
+    found = compared.select("a_id", F.explode("kinds").alias("kind"))
+    equal = compared.agg(F.count("*").alias("matched"), F.count_if("same_ticker").alias("same_ticker"), F.count_if(F.array_contains("kinds", "amount")).alias("other_amount"))
+    one = equal.crossJoin(ours.agg(F.count("*").alias("ours"))).crossJoin(theirs.agg(F.count("*").alias("theirs")))
     share = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
     m = F.col("matched")
     metrics = {

@@ -11,8 +11,9 @@ from tradelens.operators import matching, overlay, reports, signals
 from tradelens.plans.catalog import ORACLES, query
 from tradelens.plans.expressions import D0, WITH, ref
 from tradelens.plans.signal_queries import A1_SQL, LEGISLATOR_SQL, insider_results, insiders, legislator_scores, legislators, positioning_sql
-from tradelens.plans.study_queries import _issuers, _vendor
+from tradelens.plans.study_queries import _congress, _issuers, _vendor
 from tradelens.plans.trades import BENCHMARK_SQL, PRICES_SQL, benchmark_prices, table, trades
+from tradelens.sinks import staged
 
 A2_SQL = (
     A1_SQL.replace("CASE code WHEN 'P' THEN 1.0 ELSE 0.0 END *", "CASE code WHEN 'P' THEN 1.0 WHEN 'S' THEN -0.5 ELSE 0.0 END *").replace("CASE WHEN planned THEN 0.05 ELSE 1.0 END", "CASE WHEN planned THEN 0.25 ELSE 1.0 END")
@@ -123,7 +124,7 @@ def a25c(spark, sf_dir):
 
 @query("a28_vendor_match_report")
 def a28(spark, sf_dir):
-    ours, theirs = _vendor(spark, sf_dir)
+    ours, theirs = _vendor(_congress(spark, sf_dir))
     return reports.vendor_match_report(matching.match_trades(ours, theirs), ours, theirs)
 
 
@@ -136,8 +137,9 @@ n AS (SELECT (SELECT count(*) FROM a) AS ours, (SELECT count(*) FROM b) AS their
 
 def _paired(spark, sf_dir):
     """Both sides, and the vendor's copies of most of our trades as matches."""
-    ours, theirs = _vendor(spark, sf_dir)
-    ids = legislators(spark, sf_dir).where("filing_id % 7 <> 0").select(F.col("record_id").alias("a_id"))
+    base = staged(_congress(spark, sf_dir), "congress")
+    ours, theirs = _vendor(base)
+    ids = base.where("k % 7 <> 0").select(F.col("id").alias("a_id"))
     return ids.join(theirs.select(F.col("id").alias("b_id")), F.col("b_id") == F.concat(F.lit("v:"), "a_id")), ours, theirs
 
 
