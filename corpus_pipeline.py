@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import cut, table
+from tradelens.llm.common import arrow_batches, cut, table
 from tradelens.llm.decontaminate import without_items
 from tradelens.llm.near_dedup import without_near_duplicates
 from tradelens.llm.packing import packed_sequences
@@ -23,6 +23,8 @@ from tradelens.llm.toxicity import fit_toxicity, toxicity_mask
 THRESHOLD = 0.3
 #: Percent of shingles that near-duplicates share, and share of an item's shingles that contaminates.
 SIMILARITY, CONTAINMENT = 80, 0.8
+#: Bytes of an Arrow batch of texts, nodes or sets that an executor and its worker each hold in the near-duplicate stage.
+NEAR_DEDUP_BATCH = "4m"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id, and of equal rows one."""
-    return without_near_duplicates(docs, SIMILARITY)
+    with arrow_batches(spark, NEAR_DEDUP_BATCH):
+        return without_near_duplicates(docs, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
