@@ -45,12 +45,29 @@ def reads(monkeypatch):
     return count
 
 
-@pytest.mark.parametrize("name, most", [("a16_daily_brief", 2), ("a16b_brief_contents", 2), ("a23b_run_observability", 2), ("a28b_vendor_validation", 1)])
+@pytest.mark.parametrize("name, most", [("a16_daily_brief", 2), ("a16b_brief_contents", 2), ("a23b_run_observability", 2), ("a28b_vendor_validation", 1), ("t5_stream_supersede", 1)])
 def test_trades_are_made_once_per_source(spark, reads, name, most):
     registry.QUERIES[name](spark, FOLDER)
     assert len(reads) <= most
 
 
+def test_filings_of_the_supersede_stream_need_no_join(spark, monkeypatch, no_broadcast):
+    landed = []
+    monkeypatch.setattr(store_queries.sinks, "staging_path", lambda spark, name: landed.append(name) or "/nowhere")
+
+    class Stop(Exception):
+        pass
+
+    def write(self, path):
+        landed.append(exchanges(self._df))
+        raise Stop
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", write)
+    with pytest.raises(Stop):
+        registry.QUERIES["t5_stream_supersede"](spark, FOLDER)
+    assert landed[-1] == 4
+
+
 def test_vendor_validation_counts_what_its_discrepancies_list(spark):
     columns = "id string, ticker string, action string, date date, amount double"
     import datetime as dt

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens import sinks
@@ -519,8 +519,10 @@ def t5(spark, sf_dir):
 
     landed, out, checkpoint = (sinks.staging_path(spark, name) for name in ("filings", "superseded", "checkpoint"))
     t = trades(spark, sf_dir).where("source = 'insider'")
-    dates = t.groupBy("filing_id").agg(F.min("execution_date").alias("filing_date"))
-    filings = t.select("filing_id", F.col("ticker").alias("issuer"), (F.col("actor_id") % 20).cast("string").alias("owner"), F.lit("all").alias("period"), (F.col("filing_id") % 4 == 0).alias("is_amendment")).distinct().join(dates, "filing_id")
+    # a filing has one row per issuer, all with its first date; both groupings are by filing, as trades are already
+    rows = t.groupBy("filing_id", F.col("ticker").alias("issuer"), (F.col("actor_id") % 20).cast("string").alias("owner")).agg(F.min("execution_date").alias("first"))
+    rows = rows.withColumn("filing_date", F.min("first").over(Window.partitionBy("filing_id")))
+    filings = rows.select("filing_id", "issuer", "owner", F.lit("all").alias("period"), (F.col("filing_id") % 4 == 0).alias("is_amendment"), "filing_date")
     filings.write.parquet(landed)
     stream = spark.readStream.schema(filings.schema).option("maxFilesPerTrigger", 1).parquet(landed)
     with streams.rocksdb(spark):
