@@ -16,7 +16,8 @@ def insider_company_signal(scored: DataFrame, reference: Column, cfg: Config = V
 
     ``scored``: subject_key, actor_id, execution_date, included (boolean), direction_weight, signal. Every
     subject gets a row per window. A lone insider is not capped, others at the share of what the rest carry.
-    Windows have no upper bound unless ``strict``.
+    Windows have no upper bound unless ``strict``. Sums per insider are staged: made twice, by trades in another order, a lone
+    insider's could differ in the last bit from the total, which would leave a rest that is not there and cap the insider at it.
     """
     windows = F.explode(F.array(*map(F.lit, cfg.windows))).alias("window_days")
     frame = scored.select("subject_key").distinct().select("subject_key", windows)
@@ -25,6 +26,7 @@ def insider_company_signal(scored: DataFrame, reference: Column, cfg: Config = V
     inside = inside & (F.col("execution_date") <= reference) if strict else inside
     buy, sell = F.col("direction_weight") > 0, F.col("direction_weight") < 0
     by_insider = trades.where(inside).groupBy("subject_key", "window_days", "actor_id").agg(F.sum("signal").alias("s"), F.count("*").alias("n"), F.count_if(buy).alias("buys"), F.count_if(sell).alias("sells"))
+    by_insider = staged(by_insider, "insiders")
     key = ["subject_key", "window_days"]
     totals = by_insider.groupBy(*key).agg(F.sum(F.abs("s")).alias("total"))
     others = F.col("total") - F.abs("s")
