@@ -566,3 +566,17 @@ def test_counting_contexts_keeps_no_array_of_all_bits():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 40 * bits  # 62 bytes a bit when all bits were expanded at once
+
+
+def test_the_word_before_takes_part_in_all_bits_of_a_word():
+    """Two words are alike in their first 60 bits and more; only the word before tells which one comes."""
+    long, rng = b"characterisations", random.Random(16)
+    pairs = [(b"one", long + b"x"), (b"two", long + b"y")]
+    texts = [b" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(60)]
+    code = lm_score.prefix_code(np.ones(256))
+    counter = lm_score.Counter(code, 16, np.empty(0, np.uint64))
+    counter.add(texts)
+    mixer = lm_score.Mixer(code, 16, np.empty(0, np.uint64), lm_score.tables_of(counter.counts))
+    mixer.spell([b"one", b"two", long + b"x", long + b"y", b""])
+    bits = lambda before, word: mixer.text(np.array([before, word]), spelled=1)
+    assert bits(0, 2) < bits(0, 3) - 0.5 and bits(1, 3) < bits(1, 2) - 0.5
