@@ -81,3 +81,27 @@ def test_vendor_validation_counts_what_its_discrepancies_list(spark):
     report = {(r.part, r.name): (r.value, r.detail) for r in reports.vendor_validation(matches, ours, theirs).collect()}
     assert report["metric", "matched"][0] == 4 and report["metric", "ticker_rate"][0] == 0.5 and report["metric", "amount_rate"][0] == 0.5
     assert report["discrepancy", "amount"][0] == 2 and report["sample", "2"][1] == "amount,ticker" and ("sample", "1") not in report
+
+
+def test_patterns_of_forms_run_only_where_they_may_match(spark):
+    from tradelens.functions import text
+    from tradelens.sources import forms
+
+    issuer, owner = "<issuer><issuerCik>7</issuerCik></issuer>", "<reportingOwner><reportingOwnerId><rptOwnerCik>9</rptOwnerCik></reportingOwnerId></reportingOwner>"
+    txn = "<nonDerivativeTransaction><securityTitle><value>A</value></securityTitle><transactionCoding><transactionCode>P</transactionCode></transactionCoding><transactionAmounts><transactionShares><value>1,200</value></transactionShares></transactionAmounts></nonDerivativeTransaction>"
+    doc = lambda attributes, t: f"<ownershipDocument{attributes}>{issuer}{owner}<nonDerivativeTable>{t}</nonDerivativeTable></ownershipDocument>"
+    plain = doc("", txn)
+    prefixed = doc(' xmlns:n="http://e.org"', txn).replace("</", "</n:").replace("<", "<n:").replace("<n:/n:", "</n:")
+    bare = doc("", "<nonDerivativeTransaction><securityTitle><value>A: b</value></securityTitle></nonDerivativeTransaction>")
+    rows = [("plain", plain), ("default", doc(' xmlns="urn"', txn)), ("prefixed", prefixed), ("undeclared", prefixed.replace(' xmlns:n="http://e.org"', "")), ("bare", bare), ("broken", plain[:-5])]
+    files = spark.createDataFrame(rows, "file string, content string")
+    always = F.regexp_replace(F.regexp_replace("content", r'\sxmlns(:\w+)?="[^"]*"', ""), r"<(/?)\w+:", "<$1")
+    cleaned = files.select("file", forms.without_namespaces(F.col("content")).alias("c"), always.alias("a"))
+    assert cleaned.where("c <> a").count() == 0
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("Contains(content") >= 2
+    got = {r.file: (r.parse_error, r.code, r.shares) for r in forms.parse_form4(files).collect()}
+    assert got == {**dict.fromkeys(("plain", "default", "prefixed", "undeclared"), (False, "P", 1200.0)), "bare": (False, None, None), "broken": (True, None, None)}
+    names = ["Some Issuer, Inc.", "OC Oerlikon - OC", "  ACME Cl. Class A", "Foo ADR", "Foo Sponsored ADR B", "x CMN CLASS A y", "Bar Common Stock", "Bar cmln", "", "...", None, "a b Procter c"]
+    want = ["some issuer inc", "oerlikon", "acme cl", "foo", "foo b", "x y", "bar", "bar", None, None, None, "procter c"]
+    got = [r.n for r in spark.createDataFrame([(k, n) for k, n in enumerate(names)], "k int, s string").coalesce(1).select(text.entity_name_norm(F.col("s")).alias("n")).collect()]
+    assert got == want

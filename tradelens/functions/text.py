@@ -16,11 +16,13 @@ def literal_map(mapping: dict) -> Column:
 
 def entity_name_norm(name: Column) -> Column:
     """Issuer name without instrument words, punctuation and short leading or trailing tokens; null if nothing is left."""
-    s = F.lower(name)
+    s = low = F.lower(name)
     for word in ("cmn class a", "common stock"):
         s = F.replace(s, F.lit(word), F.lit(" "))
     for pattern in (r"\bcm[i|l]?n\b", r"\bclass\s+[a-z]\b", r"\bsponsored\s+adr\b", r"\badr\b", r"^[^a-z0-9]+", r"\boc\b", r"[^a-z0-9]+"):
         s = F.regexp_replace(s, pattern, " ")
+    # each instrument word holds one of these; names without them only lose their punctuation
+    s = F.when(F.rlike(low, F.lit("cm|class|adr|oc")), s).otherwise(F.regexp_replace(low, r"[^a-z0-9]+", " "))
     tokens = F.split(F.trim(s), " +")
 
     def dropped(words: Column, longer: int) -> Column:

@@ -9,27 +9,33 @@ FORM_SCHEMA = """periodOfReport string, issuer struct<issuerCik string, issuerNa
 reportingOwner array<struct<reportingOwnerId struct<rptOwnerCik string, rptOwnerName string>, reportingOwnerRelationship struct<isDirector string, isOfficer string, isTenPercentOwner string, isOther string, officerTitle string>>>,
 nonDerivativeTable struct<nonDerivativeTransaction array<{t}>>, derivativeTable struct<derivativeTransaction array<{t}>>, footnotes struct<footnote array<struct<_VALUE string, _id string>>>, _corrupt_record string""".replace(
     "{t}",
-    """struct<securityTitle struct<value string>, transactionDate struct<value string>, transactionCoding struct<transactionCode string, equitySwapInvolved string, footnoteId array<struct<_id string>>>,
+    """struct<transactionDate struct<value string>, transactionCoding struct<transactionCode string, footnoteId array<struct<_id string>>>,
 transactionAmounts struct<transactionShares struct<value string, footnoteId array<struct<_id string>>>, transactionPricePerShare struct<value string, footnoteId array<struct<_id string>>>>,
 postTransactionAmounts struct<sharesOwnedFollowingTransaction struct<value string>>, ownershipNature struct<directOrIndirectOwnership struct<value string>>>""",
 )
 
 
 def _number(text: Column) -> Column:
-    return F.regexp_replace(text, ",", "").try_cast("double")
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
 
 def _flag(text: Column) -> Column:
     return F.coalesce(text.isin("1", "true", "True", "TRUE"), F.lit(False))
 
 
+def without_namespaces(xml: Column) -> Column:
+    """XML text without declarations of namespaces and prefixes of elements. Most documents have neither, so patterns only run where they may match."""
+    undeclared = F.when(F.contains(xml, F.lit("xmlns")), F.regexp_replace(xml, r'\sxmlns(:\w+)?="[^"]*"', "")).otherwise(xml)
+    return F.when(F.contains(xml, F.lit(":")), F.regexp_replace(undeclared, r"<(/?)\w+:", "<$1")).otherwise(undeclared)
+
+
 def parse_form4(files: DataFrame) -> DataFrame:
     """Transactions of ownership filings: ``files`` has file and content (whole XML text).
 
     One row per transaction, non-derivative ones first; further owners as an array; ``parse_error`` is set, and
     the transaction columns are null, where the document is malformed. Namespaces are stripped.
     """
-    clean = F.regexp_replace(F.regexp_replace("content", r'\sxmlns(:\w+)?="[^"]*"', ""), r"<(/?)\w+:", "<$1")
+    clean = without_namespaces(F.col("content"))
     # exploded from an array of one, so that filters on the rows are not pushed below it, which would parse each document again
     x = files.select("file", F.explode(F.array(F.from_xml(clean, FORM_SCHEMA, {"mode": "PERMISSIVE", "attributePrefix": "_", "valueTag": "_VALUE"}))).alias("x"))
     t = lambda name, derivative: F.transform(F.coalesce(F.col(name), F.array()), lambda r: F.struct(F.lit(derivative).alias("is_derivative"), r.alias("t")))
